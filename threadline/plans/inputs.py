@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,10 +150,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    text = f"WITH {', '.join(_with_clause((name,)))} SELECT * FROM {name}"
     for base in TABLES:
-        table(spark, sf_dir, base).createOrReplaceTempView(base)
-    parts = _with_clause((name,))
-    return spark.sql(f"WITH {', '.join(parts)} SELECT * FROM {name}")
+        if re.search(rf"(FROM|JOIN) {base}\b", text):
+            table(spark, sf_dir, base).createOrReplaceTempView(base)
+    return spark.sql(text)
 
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
