@@ -1,6 +1,6 @@
 """All checked queries."""
 
-from threadline.plans import queries_graph  # noqa: F401
+from threadline.plans import queries_graph, queries_lineage  # noqa: F401
 from threadline.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
