@@ -9,16 +9,14 @@ from pyspark.sql import functions as F
 
 from threadline.functions.text import edge_id
 from threadline.schemas import ALLOWED_RELATIONSHIPS, RELATIONSHIP_MAP
+from threadline.session import stack
 
 ENTITY_ORDER = ("path", "cell_no", "ord")
 
 
 def union_lineage(*parts: DataFrame) -> DataFrame:
     """Rows of several extractions under one set of columns."""
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part, allowMissingColumns=True)
-    return merged
+    return stack(*parts)
 
 
 def dedupe_entities(entities: DataFrame, order: Sequence[str] = ENTITY_ORDER) -> DataFrame:

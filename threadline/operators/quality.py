@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadline.schemas import ALLOWED_RELATIONSHIPS
+from threadline.session import stack
 
 # The warn-only rules of the edges table.
 EDGE_RULES = {
@@ -47,7 +48,7 @@ def check_referential_integrity(edges: DataFrame, nodes: DataFrame) -> DataFrame
     rows = edges.select("src", "dst", "relationship")
     no_src = rows.join(ids, rows["src"] == ids["id"], "left_anti").withColumn("missing", F.lit("src"))
     no_dst = rows.join(ids, rows["dst"] == ids["id"], "left_anti").withColumn("missing", F.lit("dst"))
-    return no_src.unionByName(no_dst)
+    return stack(no_src, no_dst)
 
 
 def check_unique_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -73,10 +74,7 @@ def graph_metrics(
         parts.append(added(nodes, previous_nodes, "nodes_added", ["id"]))
     if previous_edges is not None:
         parts.append(added(edges, previous_edges, "edges_added", ["src", "dst", "relationship"]))
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    return merged
+    return stack(*parts)
 
 
 def embedding_coverage(nodes: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from threadline.functions.text import tokens
 from threadline.functions.vectors import hyperplane_signs
-from threadline.session import materialize
+from threadline.session import materialize, stack
 
 SHIPPED_QUERIES = 4096
 GROUP_ROWS = 50_000
@@ -48,6 +48,10 @@ def _best(ids: np.ndarray, vectors, query_ids: np.ndarray, unit_queries: np.ndar
     return pd.concat(parts, ignore_index=True)
 
 
+def _numbers(count: int) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))
+
+
 def _types(nodes: DataFrame, queries: DataFrame) -> str:
     return f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {nodes.schema['id'].dataType.simpleString()}, score double"
 
@@ -91,11 +95,11 @@ def _blocked_scores(nodes: DataFrame, queries: DataFrame, k: int, block: int) ->
     slices = -(-nodes.count() // GROUP_ROWS)
     placed_nodes = nodes.select(
         "id", "embedding", F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"),
+        F.explode(_numbers(blocks)).alias("block"),
     )
     placed_queries = queries.select(
         "query_id", "embedding", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long").alias("slice"),
+        F.explode(_numbers(slices)).alias("slice"),
     )
     return _grouped_scores(placed_nodes, placed_queries, ["block", "slice"], k)
 
@@ -127,8 +131,8 @@ def approx_vector_top_k(
     placed_queries = queries.select(
         "query_id", "embedding", F.explode(buckets("embedding")).alias("bucket"),
         F.pmod(F.xxhash64("query_id"), F.lit(max(query_shares, 1))).alias("share"),
-    ).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(max(slices, 1) - 1))).cast("long"))
-    shared_nodes = placed_nodes.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(max(query_shares, 1) - 1))).cast("long"))
+    ).withColumn("slice", F.explode(_numbers(max(slices, 1))))
+    shared_nodes = placed_nodes.withColumn("share", F.explode(_numbers(max(query_shares, 1))))
     found = _grouped_scores(shared_nodes, placed_queries, ["bucket", "slice", "share"], k)
     return top_k_per_query(found.groupBy("query_id", "id").agg(F.max("score").alias("score")), k)
 
@@ -178,9 +182,7 @@ def fuse_ranks(*rankings: DataFrame, k: int = 8, constant: int = 60) -> DataFram
 
     The lists are stacked and summed, which is their full outer join without one.
     """
-    stacked = rankings[0].select("query_id", "id", "rank")
-    for ranking in rankings[1:]:
-        stacked = stacked.unionByName(ranking.select("query_id", "id", "rank"))
+    stacked = stack(*[ranking.select("query_id", "id", "rank") for ranking in rankings])
     scored = stacked.groupBy("query_id", "id").agg(F.round(F.sum(1.0 / (constant + F.col("rank"))), 9).alias("score"))
     return top_k_per_query(scored, k)
 
@@ -305,7 +307,7 @@ def grounded_context(hits: DataFrame, nodes: DataFrame, edges: DataFrame, cache:
         F.concat(F.array_join("path", " > "), F.lit(" in "), F.col("min_hops").cast("string"), F.lit(" hops")).alias("fact"),
         F.col("id").alias("citation"),
     )
-    facts = entity.unionByName(direct).unionByName(paths)
+    facts = stack(entity, direct, paths)
     listed = facts.groupBy("query_id").agg(
         F.array_sort(F.collect_list(F.struct("rank", "place", "fact"))).alias("facts"), F.array_sort(F.collect_set("citation")).alias("citations")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadline.functions import sql_text as t
-from threadline.functions.text import entity_id
+from threadline.session import stack
 
 _KEYS = ("path", "cell_no", "stmt_no")
 
@@ -122,7 +122,7 @@ def embedded_sql_lineage(python_rows: DataFrame) -> DataFrame:
     read = marked.where("dst IS NOT NULL").selectExpr("path", "dst", f"explode({t.sorted_tables_in('text')}) AS n")
     to_variable = read.selectExpr("path", "'L4' AS rule", "concat('table:', n) AS src", "dst", "'reads_from' AS rel")
     inner = sql_lineage(sql_components(sql_statements(found.select("path", "cell_no", "content"))))
-    return to_variable.unionByName(inner.where("kind = 'relationship'").select("path", F.lit("L4").alias("rule"), "src", "dst", "rel"))
+    return stack(to_variable, inner.where("kind = 'relationship'").select("path", F.lit("L4").alias("rule"), "src", "dst", "rel"))
 
 
 def column_lineage(components: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadline.session import materialize
+from threadline.session import materialize, stack
 
 MAX_HOPS = 5
 
@@ -56,7 +56,7 @@ def reach(pairs: DataFrame, starts: DataFrame, hops: int = MAX_HOPS) -> DataFram
     state = begin
     for _ in range(hops):
         step = state.join(out, "node").select("root", F.col("next").alias("node"), F.shiftleft("depths", 1).alias("depths"))
-        state = begin.unionByName(step).groupBy("root", "node").agg(F.bit_or("depths").alias("depths"))
+        state = stack(begin, step).groupBy("root", "node").agg(F.bit_or("depths").alias("depths"))
     seen = F.filter(F.sequence(F.lit(1), F.lit(hops)), lambda d: F.getbit("depths", d) == 1)
     return state.select("root", "node", F.explode(seen).alias("depth"))
 
@@ -85,7 +85,7 @@ def upstream_walks(edges: DataFrame, roots: DataFrame, hops: int = 10) -> DataFr
             "root", F.col("next").alias("node"), zero.alias("w0"),
             *[F.col(f"w{d - 1}").alias(f"w{d}") for d in range(1, hops)],
         )
-        state = begin.unionByName(step).groupBy("root", "node").agg(
+        state = stack(begin, step).groupBy("root", "node").agg(
             *[F.sum(f"w{d}").alias(f"w{d}") for d in range(hops)]
         )
     depths = F.array(*[F.struct(F.lit(d + 1).alias("depth"), F.col(f"w{d}").alias("n_walks")) for d in range(hops)])
@@ -122,7 +122,7 @@ def lineage_edges(pairs_with_kind: DataFrame, starts: DataFrame, hops: int, dire
     begin = starts.select("root", "node", F.lit(0).alias("depth"))
     if hops > 1:
         inner = reach(walked, starts, hops - 1)
-        begin = begin.unionByName(inner)
+        begin = stack(begin, inner)
     closest = begin.groupBy("root", "node").agg(F.min("depth").alias("depth"))
     return (
         pairs_with_kind.join(closest, pairs_with_kind[near] == closest["node"])
@@ -166,7 +166,7 @@ def lineage(
 
 
 def lineage_both(upstream: DataFrame, downstream_rows: DataFrame) -> DataFrame:
-    return upstream.unionByName(downstream_rows)
+    return stack(upstream, downstream_rows)
 
 
 def lineage_nodes(found_edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -197,7 +197,7 @@ def contract(pairs: DataFrame, kept: DataFrame, max_rounds: int | None = None) -
         fresh = materialize(step.distinct().join(visited.select("src", "dst"), ["src", "dst"], "left_anti"))
         if fresh.isEmpty():
             break
-        visited = visited.unionByName(fresh)
+        visited = stack(visited, fresh)
         frontier = fresh
         if max_rounds and rounds >= max_rounds:
             break
@@ -244,7 +244,7 @@ def shortest_pairs(
     found = None
     for number, level in enumerate(levels, 1):
         part = level.withColumn("min_hops", F.lit(number))
-        found = part if found is None else found.unionByName(part)
+        found = part if found is None else stack(found, part)
     columns = ["src", F.col("node").alias("tgt"), "min_hops"] + (["path"] if with_path else [])
     return found.select(*columns)
 
@@ -273,17 +273,17 @@ def refresh_path_cache(
     in at most ``hops - 1`` steps, over old and new edges together.
     """
     before, after = links(old_edges), links(new_edges)
-    changed = before.join(after, ["src", "dst"], "left_anti").unionByName(after.join(before, ["src", "dst"], "left_anti"))
+    changed = stack(before.join(after, ["src", "dst"], "left_anti"), after.join(before, ["src", "dst"], "left_anti"))
     ends = materialize(changed.select(F.col("src").alias("node")).distinct())
-    either = before.unionByName(after).distinct()
+    either = stack(before, after).distinct()
     marked = ends.select(F.lit("changed").alias("root"), "node")
     impacted = ends.select(F.col("node").alias("id"))
     if hops > 1:
-        impacted = impacted.unionByName(reach(reverse(either), marked, hops - 1).select(F.col("node").alias("id")))
+        impacted = stack(impacted, reach(reverse(either), marked, hops - 1).select(F.col("node").alias("id")))
     impacted = materialize(impacted.distinct())
     kept = cache.join(impacted.select(F.col("id").alias("src_node_id")), "src_node_id", "left_anti")
     again = _as_cache(shortest_pairs(after, impacted, hops), stamp)
-    return kept.unionByName(again)
+    return stack(kept, again)
 
 
 def bfs(pairs: DataFrame, sources: DataFrame, targets: DataFrame, hops: int = MAX_HOPS) -> DataFrame:
@@ -297,7 +297,7 @@ def shortest_paths(pairs: DataFrame, landmarks: DataFrame, hops: int | None = No
     """(id, landmark, hops): distance from every node to each landmark it reaches, 0 from itself."""
     found = shortest_pairs(reverse(pairs), landmarks, hops, with_path=False)
     own = landmarks.select("id", F.col("id").alias("landmark"), F.lit(0).alias("hops"))
-    return found.select(F.col("tgt").alias("id"), F.col("src").alias("landmark"), F.col("min_hops").alias("hops")).unionByName(own)
+    return stack(found.select(F.col("tgt").alias("id"), F.col("src").alias("landmark"), F.col("min_hops").alias("hops")), own)
 
 
 def find_cycles(pairs: DataFrame, hops: int = MAX_HOPS) -> DataFrame:
@@ -354,8 +354,8 @@ def descendants(pairs: DataFrame, starts: DataFrame, hops: int | None = None) ->
         new = materialize(step.join(seen, ["root", "node"], "left_anti"))
         if new.isEmpty():
             break
-        found = new if found is None else found.unionByName(new)
-        seen = seen.unionByName(new)
+        found = new if found is None else stack(found, new)
+        seen = stack(seen, new)
         frontier = new
     return found if found is not None else frontier.limit(0)
 
@@ -375,7 +375,7 @@ def impact_analysis(affected: DataFrame, cache: DataFrame, nodes: DataFrame, edg
         F.col("tgt_node_id").alias("entity"), F.lit("upstream").alias("direction"),
         F.col("src_node_id").alias("related"), F.col("min_hops").alias("hops"), "path",
     )
-    found = up.unionByName(down)
+    found = stack(up, down)
     steps = nodes.where(F.col("entity_type") == "transformation").select(F.col("id").alias("step"))
     key = ["entity", "direction", "related"]
     passed = (
@@ -417,7 +417,7 @@ def pagerank(edges: DataFrame, nodes: DataFrame, iterations: int = 10, damping:
     Ranks are scaled to sum to one at the end; for the fixed point this equals
     spreading the mass of nodes without outgoing edges evenly.
     """
-    ids = nodes.select("id").unionByName(edges.select(F.col("src").alias("id"))).unionByName(edges.select(F.col("dst").alias("id"))).distinct()
+    ids = stack(nodes.select("id"), edges.select(F.col("src").alias("id")), edges.select(F.col("dst").alias("id"))).distinct()
     ids = materialize(ids)
     weighted = edges.groupBy("src", "dst").agg(F.sum(F.coalesce(F.col("weight").cast("double"), F.lit(1.0))).alias("weight"))
     totals = weighted.groupBy("src").agg(F.sum("weight").alias("total"))
@@ -426,7 +426,7 @@ def pagerank(edges: DataFrame, nodes: DataFrame, iterations: int = 10, damping:
     ranks = ids.select("id", F.lit(1.0).alias("rank"))
     for number in range(1, iterations + 1):
         flow = ranks.join(shares, "id").select(F.col("dst").alias("id"), (F.col("rank") * F.col("share") * damping).alias("rank"))
-        ranks = base.unionByName(flow).groupBy("id").agg(F.sum("rank").alias("rank"))
+        ranks = stack(base, flow).groupBy("id").agg(F.sum("rank").alias("rank"))
         if number % 5 == 0:
             ranks = materialize(ranks)
     return ranks.select("id", (F.col("rank") / ranks.agg(F.sum("rank")).scalar()).alias("rank"))
@@ -438,7 +438,7 @@ def tagged_flows(edges: DataFrame, tags: DataFrame, hops: int = MAX_HOPS) -> Dat
     flow = oriented(edges)
     up = lineage_edges(flow, starts, hops, "upstream")
     down = lineage_edges(flow, starts, hops, "downstream")
-    return up.unionByName(down).select(F.col("root").alias("regulation"), "src", "dst", "relationship").distinct()
+    return stack(up, down).select(F.col("root").alias("regulation"), "src", "dst", "relationship").distinct()
 
 
 def project_lineage(edges: DataFrame, nodes: DataFrame, kinds: Sequence[str] = ("table", "path")) -> DataFrame:

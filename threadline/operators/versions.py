@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadline.session import materialize
+from threadline.session import materialize, stack
 
 
 def latest_by_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -49,19 +49,33 @@ def assign_batches(rows: DataFrame, order: str, size: int = 20) -> DataFrame:
 def number_versions(history: DataFrame, key: str, content: str, order: Sequence[str]) -> DataFrame:
     """Version per key that rises with each content change.
 
-    A version depends on all earlier rows of its key in order, so a key's rows are
-    sorted in one task; the rows are reduced to key, order and hash before that,
-    and the window spills.
+    Rows are range-partitioned by key and order, so a key with many rows spans many
+    tasks. Each range counts its own changes; the few ranges of a key are then added
+    up, comparing the last row of one with the first of the next.
     """
-    window = Window.partitionBy(key).orderBy(*order)
-    running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    digest = F.xxhash64(content)
-    changed = F.when(F.lag("_digest").over(window).eqNullSafe(F.col("_digest")), 0).otherwise(1)
+    ranged = materialize(history.withColumn("_digest", F.xxhash64(content)).orderBy(key, *order))
+    placed = ranged.withColumn("_part", F.spark_partition_id())
+    local = Window.partitionBy("_part", key).orderBy(*order)
+    before = F.lag("_digest").over(local)
+    counted = placed.withColumn("_changed", F.when(before.isNull() | (before == F.col("_digest")), 0).otherwise(1))
+    ranges = counted.groupBy("_part", key).agg(
+        F.min_by("_digest", F.struct(*order)).alias("_first"),
+        F.max_by("_digest", F.struct(*order)).alias("_last"),
+        F.sum("_changed").alias("_inner"),
+    )
+    along = Window.partitionBy(key).orderBy("_part")
+    opens = F.when(F.lag("_last").over(along).eqNullSafe(F.col("_first")), 0).otherwise(1)
+    opened = ranges.withColumn("_opens", opens)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = opened.select(
+        "_part", key, (F.coalesce(F.sum(F.col("_inner") + F.col("_opens")).over(earlier), F.lit(0)) + F.col("_opens")).alias("_offset")
+    )
+    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = counted.withColumn("_running", F.sum("_changed").over(running))
     return (
-        history.withColumn("_digest", digest)
-        .withColumn("_changed", changed)
-        .withColumn("version", F.sum("_changed").over(running).cast("int"))
-        .drop("_digest", "_changed")
+        numbered.join(offsets, ["_part", key])
+        .withColumn("version", (F.col("_offset") + F.col("_running")).cast("int"))
+        .select(*history.columns, "version")
     )
 
 
@@ -99,7 +113,7 @@ def upsert_batch(stored: DataFrame, batch: DataFrame, keys: Sequence[str], order
     """
     columns = stored.columns
     fresh = latest_by_key(batch.select(*columns), keys, order)
-    return latest_by_key(stored.unionByName(fresh), keys, order)
+    return latest_by_key(stack(stored, fresh), keys, order)
 
 
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -130,12 +144,6 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     return joined.select(*keys, F.inline(events)).select(*keys, "change_type", "row.*")
 
 
-def with_validity(history: DataFrame, keys: Sequence[str], at: str, order: Sequence[str]) -> DataFrame:
-    """Add ``valid_from`` and ``valid_to`` to versioned rows."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return history.withColumn("valid_from", F.col(at)).withColumn("valid_to", F.lead(at).over(window))
-
-
 def graph_as_of(history: DataFrame, keys: Sequence[str], at: str, moment: Column, order: Sequence[str]) -> DataFrame:
     """The rows as they stood at a moment: the newest per key not after it, if active.
 

@@ -378,10 +378,10 @@ def q7(spark, sf):
 
 @query(
     "q10_validate_types",
-    """SELECT c AS "column", k AS declared, CAST(n AS BIGINT) AS non_null, CAST(bad AS BIGINT) AS invalid FROM (
+    """SELECT c AS "column", k AS declared, CAST(present AS BIGINT) AS non_null, CAST(bad AS BIGINT) AS invalid FROM (
         SELECT count(*) AS n, count(*) FILTER (try_cast(regexp_extract(props, '"k": ([0-9]+)', 1) AS INT) IS NULL) AS bad_k,
                count(*) FILTER (try_cast(event_type AS INT) IS NULL) AS bad_e FROM events),
-        LATERAL (VALUES ('k', 'int', n, bad_k), ('event_type', 'int', n, bad_e)) AS v(c, k, n, bad)""",
+        LATERAL (VALUES ('k', 'int', n, bad_k), ('event_type', 'int', n, bad_e)) AS v(c, k, present, bad)""",
 )
 def q10(spark, sf):
     rows = inputs.table(spark, sf, "events").select(F.regexp_extract("props", '"k": ([0-9]+)', 1).alias("k"), "event_type")

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_UNION_RULE = "spark.sql.unionOutputPartitioning"
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "threadline") -> SparkSession:
     """A session for tests, the bench and small jobs; a cluster passes its own."""
@@ -15,6 +17,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(_UNION_RULE, "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -49,6 +52,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/threadline/{name}-{uuid.uuid4().hex}"
 
 
+def prepare(spark: SparkSession) -> None:
+    """Settings results depend on, for a session built elsewhere."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set(_UNION_RULE, "false")
+
+
+def stack(*frames: DataFrame) -> DataFrame:
+    """All rows of the frames, columns matched by name and absent ones NULL.
+
+    Spark 4.1 lets a union keep the partitioning its inputs share, and an aggregate
+    above it then needs no shuffle. When one input becomes a reused exchange, the
+    union runs as a plain one after all, equal keys stay in different partitions,
+    and the aggregate returns them twice. That planning rule is switched off here.
+    """
+    frames[0].sparkSession.conf.set(_UNION_RULE, "false")
+    merged = frames[0]
+    for frame in frames[1:]:
+        merged = merged.unionByName(frame, allowMissingColumns=True)
+    return merged
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint; keeps the output partitioning."""
     shared_dir(df.sparkSession)
