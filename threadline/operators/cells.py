@@ -148,10 +148,13 @@ def assemble_python_source(cells: DataFrame) -> DataFrame:
     """One Python source per notebook from a table of cells.
 
     A group is one notebook. Its cells came out of one exported document, so a
-    group is never larger than one value of the exports table.
+    group is never larger than one value of the exports table. What follows is
+    parsing, which costs time rather than bytes, so the number of tasks is stated and
+    not left to be merged by size.
     """
     ordered = F.array_sort(F.collect_list(F.struct("cell_no", "cell_type", "content")))
-    python = cells.where(F.col("cell_type") == "python")
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    python = cells.where(F.col("cell_type") == "python").repartition(tasks, "path")
     return (
         python.groupBy("path").agg(ordered.alias("cells"))
         .select("path", python_units(F.col("cells")).alias("u"))

@@ -112,17 +112,23 @@ def embedded_sql(python_rows: DataFrame) -> DataFrame:
     return python_rows.where("kind = 'sql'").select("path", F.col("ord").alias("cell_no"), F.col("sql").alias("content"), "dst")
 
 
-def embedded_sql_lineage(python_rows: DataFrame) -> DataFrame:
+def tables_to_variables(python_rows: DataFrame) -> DataFrame:
     """(path, rule, src, dst, rel) for ``x = spark.sql(text)``: tables of the text to the variable.
 
     The text's row carries the variable along, so no join brings them together again.
     """
+    found = embedded_sql(python_rows).where("dst IS NOT NULL")
+    marked = found.selectExpr("path", "dst", f"{t.without_inner_from(t.marked('content') + '.text')} AS text")
+    read = marked.selectExpr("path", "dst", f"explode({t.sorted_tables_in('text')}) AS n")
+    return read.selectExpr("path", "'L4' AS rule", "concat('table:', n) AS src", "dst", "'reads_from' AS rel")
+
+
+def embedded_sql_lineage(python_rows: DataFrame) -> DataFrame:
+    """Relationships of SQL text inside Python: to the variable, and those the text itself states."""
     found = embedded_sql(python_rows)
-    marked = found.selectExpr("path", "cell_no", "dst", f"{t.without_inner_from(t.marked('content') + '.text')} AS text")
-    read = marked.where("dst IS NOT NULL").selectExpr("path", "dst", f"explode({t.sorted_tables_in('text')}) AS n")
-    to_variable = read.selectExpr("path", "'L4' AS rule", "concat('table:', n) AS src", "dst", "'reads_from' AS rel")
     inner = sql_lineage(sql_components(sql_statements(found.select("path", "cell_no", "content"))))
-    return stack(to_variable, inner.where("kind = 'relationship'").select("path", F.lit("L4").alias("rule"), "src", "dst", "rel"))
+    stated = inner.where("kind = 'relationship'").select("path", F.lit("L4").alias("rule"), "src", "dst", "rel")
+    return stack(tables_to_variables(python_rows), stated)
 
 
 def column_lineage(components: DataFrame) -> DataFrame:

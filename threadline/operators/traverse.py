@@ -175,33 +175,43 @@ def lineage_nodes(found_edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return ends.join(nodes.select("id", "entity_type", "entity_name"), "id")
 
 
-def contract(pairs: DataFrame, kept: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def contract(pairs: DataFrame, kept: DataFrame, doublings: int = 3) -> DataFrame:
     """(src, dst) between kept nodes that a walk through only other nodes joins.
 
-    Walks stop at the first kept node, and a (start, node) state is visited once.
+    Walks among the other nodes are first composed with themselves a few times, so
+    that one step covers up to ``2 ** doublings`` edges; then each kept node walks
+    in such steps until it meets no new node. Composing alone would join all pairs
+    with all pairs, stepping alone would need a round per edge of the longest chain.
     """
-    marked = (
-        pairs.join(kept.select(F.col("id").alias("src"), F.lit(True).alias("src_kept")), "src", "left")
-        .join(kept.select(F.col("id").alias("dst"), F.lit(True).alias("dst_kept")), "dst", "left")
-        .select("src", "dst", F.coalesce("src_kept", F.lit(False)).alias("src_kept"), F.coalesce("dst_kept", F.lit(False)).alias("dst_kept"))
-    )
-    marked = materialize(marked)
-    through = marked.where(~F.col("src_kept")).select(F.col("src").alias("at"), F.col("dst").alias("next"), F.col("dst_kept").alias("next_kept"))
-    frontier = marked.where("src_kept").select("src", "dst", "dst_kept")
-    visited = frontier
-    rounds = 0
-    while True:
-        rounds += 1
-        open_ends = frontier.where(~F.col("dst_kept"))
-        step = open_ends.join(through, F.col("dst") == F.col("at")).select("src", F.col("next").alias("dst"), F.col("next_kept").alias("dst_kept"))
-        fresh = materialize(step.distinct().join(visited.select("src", "dst"), ["src", "dst"], "left_anti"))
-        if fresh.isEmpty():
-            break
-        visited = stack(visited, fresh)
-        frontier = fresh
-        if max_rounds and rounds >= max_rounds:
+    marks = kept.select("id", F.lit(True).alias("is_kept")).distinct()
+
+    def marked(rows: DataFrame, column: str) -> DataFrame:
+        named = marks.select(F.col("id").alias(column), F.col("is_kept").alias(f"{column}_kept"))
+        return rows.join(named, column, "left").withColumn(f"{column}_kept", F.coalesce(f"{column}_kept", F.lit(False)))
+
+    edges = materialize(marked(marked(pairs.select("src", "dst").distinct(), "src"), "dst"))
+    steps = materialize(edges.where("NOT src_kept AND NOT dst_kept").select("src", "dst"))
+    size = steps.count()
+    for _ in range(doublings):
+        ahead = steps.select(F.col("src").alias("dst"), F.col("dst").alias("next"))
+        steps = materialize(stack(steps, steps.join(ahead, "dst").select("src", F.col("next").alias("dst"))).distinct())
+        grown = steps.count()
+        if grown == size:
             break
-    return visited.where("dst_kept").select("src", "dst")
+        size = grown
+    ahead = steps.select(F.col("src").alias("at"), F.col("dst").alias("next"))
+    frontier = materialize(edges.where("src_kept AND NOT dst_kept").select(F.col("src").alias("root"), F.col("dst").alias("at")))
+    visited = [frontier]
+    while not frontier.isEmpty():
+        step = frontier.join(ahead, "at").select("root", F.col("next").alias("at")).distinct()
+        if len(visited) == 8:
+            tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            visited = [materialize(stack(*visited).repartition(tasks, "root", "at"))]
+        frontier = materialize(step.join(stack(*visited), ["root", "at"], "left_anti"))
+        visited.append(frontier)
+    left = edges.where("NOT src_kept AND dst_kept").select(F.col("src").alias("at"), "dst")
+    through = stack(*visited).join(left, "at").select(F.col("root").alias("src"), "dst")
+    return stack(edges.where("src_kept AND dst_kept").select("src", "dst"), through).distinct()
 
 
 def shortest_pairs(

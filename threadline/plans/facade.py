@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadline.functions.text import embedding_text
@@ -59,41 +59,42 @@ def answer_lineage(
 def extract_lineage(exports: DataFrame, readers: Mapping[str, Mapping] | None = None) -> DataFrame:
     """Entities, relationships and errors of notebooks in one table (``LINEAGE_DDL``, kind says which).
 
-    Notebooks stay on their own rows until their lineage is out; nothing is shuffled.
-    An error row has its message as name.
+    Notebooks stay on their own rows and nothing is shuffled; what is parsed is
+    checkpointed, since several parts of the result read it. An error row has its
+    message as name.
     """
-    parsed = python_lineage.parse_statements(cell_jobs.python_sources(exports))
-    python = python_lineage.lineage_rows(parsed, readers)
-    sql_cells = cell_jobs.extract_cells(exports).where("cell_type = 'sql'").select("path", "cell_no", "content")
+    exports = materialize(exports.select("path", "format", "content"))
+    parsed = materialize(python_lineage.parse_statements(cell_jobs.python_sources(exports)))
+    python = materialize(python_lineage.lineage_rows(parsed, readers))
+    cells = cell_jobs.extract_cells(exports).where("cell_type = 'sql'").select("path", "cell_no", "content")
     embedded = sql_lineage.embedded_sql(python)
-    statements = sql_lineage.sql_statements(stack(sql_cells, embedded.select("path", "cell_no", "content")))
-    sql = sql_lineage.sql_lineage(sql_lineage.sql_components(statements))
-
-    def entity(rows: DataFrame) -> DataFrame:
-        return rows.select(F.lit("entity").alias("kind"), "*")
-
-    def relationship(rows: DataFrame) -> DataFrame:
-        return rows.select(F.lit("relationship").alias("kind"), "*")
-
-    def error(rows: DataFrame) -> DataFrame:
-        return rows.select(F.lit("error").alias("kind"), "path", "cell_no", F.col("error").alias("name"))
-
-    to_variables = sql_lineage.embedded_sql_lineage(python).where("dst LIKE 'var:%'").select(
-        F.lit("relationship").alias("kind"), "path", "src", "dst", F.col("rel").alias("type"), F.lit(1.0).cast("float").alias("confidence_score")
+    statements = materialize(sql_lineage.sql_statements(stack(cells, embedded.select("path", "cell_no", "content"))))
+    components = materialize(sql_lineage.sql_components(statements))
+    found = F.col("kind").isin("entity", "relationship")
+    from_python = python.where(found).select(
+        "path", F.lit(0).alias("cell_no"), (F.col("ord") * 10000 + F.col("place")).alias("ord"), "kind", "id",
+        F.coalesce("rel", "type").alias("type"), "name", "src", "dst", F.col("confidence").alias("confidence_score"),
+        F.when(F.col("operation").isNotNull(), F.create_map(F.lit("operation"), F.col("operation"))).alias("properties"),
+    )
+    from_sql = sql_lineage.sql_lineage(components).select(
+        "path", "cell_no", (F.col("stmt_no") * 10000 + F.col("place")).alias("ord"), "kind", "id",
+        F.coalesce("rel", "type").alias("type"), "name", "src", "dst", F.lit(1.0).alias("confidence_score"),
+        F.when(F.col("is_cte"), F.create_map(F.lit("is_cte"), F.lit("true"))).alias("properties"),
     )
-    columns = sql_lineage.column_lineage(sql_lineage.sql_components(statements)).select(
-        F.lit("relationship").alias("kind"), "path", "src", "dst", F.col("rel").alias("type"),
-        F.create_map(F.lit("expression"), F.col("expression")).alias("properties"), F.lit(1.0).cast("float").alias("confidence_score"),
+    to_variables = sql_lineage.tables_to_variables(python).select(
+        F.lit("relationship").alias("kind"), "path", "src", "dst", F.col("rel").alias("type"), F.lit(1.0).alias("confidence_score")
+    )
+    columns = sql_lineage.column_lineage(components)
+    column_edges = columns.select(
+        F.lit("relationship").alias("kind"), "path", "src", "dst", F.col("rel").alias("type"), F.lit(1.0).alias("confidence_score"),
+        F.create_map(F.lit("expression"), F.col("expression")).alias("properties"),
     )
     column_ends = columns.select(F.lit("entity").alias("kind"), "path", F.explode(F.array("src", "dst")).alias("id")).select(
         "*", F.lit("column").alias("type"), F.substr("id", F.lit(8)).alias("name")
     )
-    unread = cell_jobs.unreadable_exports(exports).select(F.lit("error").alias("kind"), "path", F.col("error").alias("name"))
-    merged = graph.union_lineage(
-        entity(python_lineage.entities(python)), relationship(python_lineage.relationships(python)),
-        entity(sql_lineage.entities(sql)), relationship(sql_lineage.relationships(sql)),
-        to_variables, columns, column_ends, error(python_lineage.parse_errors(parsed)), error(sql_lineage.sql_errors(statements)), unread,
-    )
+    errors = stack(python_lineage.parse_errors(parsed), sql_lineage.sql_errors(statements), cell_jobs.unreadable_exports(exports).drop("format"))
+    error_rows = errors.select(F.lit("error").alias("kind"), "path", "cell_no", F.col("error").alias("name"))
+    merged = stack(from_python, from_sql, to_variables, column_edges, column_ends, error_rows)
     kinds = [field.strip().split(" ", 1) for field in LINEAGE_DDL.split(", ")]
     return merged.select(*[F.col(name).cast(kind).alias(name) for name, kind in kinds])
 
@@ -161,9 +162,3 @@ def update_graph(
         materialize(_carry(old.nodes, nodes, ["id"], stamp)),
         materialize(_carry(old.edges, edges, ["edge_id"], stamp)),
     )
-
-
-def load_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """A stored table, or None where there is none yet."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return spark.read.parquet(path) if jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path) else None

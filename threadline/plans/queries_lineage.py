@@ -96,16 +96,18 @@ def p6(spark, sf):
 
 
 _SOURCE_TEXT = """source_text AS (
-    SELECT path, count(*) AS n_cells, md5(string_agg(content, chr(10) ORDER BY cell_no)) AS digest FROM cells GROUP BY path)"""
+    SELECT path, o_custkey, count(*) AS n_cells, md5(string_agg(content, chr(10) ORDER BY cell_no)) AS digest FROM cells GROUP BY path, o_custkey)"""
 
 
 @query(
     "s3_read_notebook_exports",
-    _over_cells("SELECT format, n_cells, digest FROM source_text, (VALUES ('SOURCE'), ('JUPYTER')) AS f(format)", _SOURCE_TEXT),
+    _over_cells("SELECT CASE WHEN o_custkey % 2 = 0 THEN 'SOURCE' ELSE 'JUPYTER' END AS format, n_cells, digest FROM source_text", _SOURCE_TEXT),
 )
 def s3(spark, sf):
     folder = scratch_path(spark, "exports")
-    text = inputs.exports(spark, sf).select(F.col("content").cast("string"))
+    even = F.element_at(F.split("path", "/"), -1).cast("long") % 2 == 0
+    chosen = (F.col("format") == "SOURCE") == even
+    text = inputs.exports(spark, sf).where(chosen).select(F.col("content").cast("string"))
     text.write.option("maxRecordsPerFile", 1).text(folder)
     files = export_files.read_notebook_exports(spark, folder)
     cells = cell_jobs.cells_of(F.col("format"), F.col("content"))

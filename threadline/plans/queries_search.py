@@ -289,3 +289,50 @@ def e1(spark, sf):
         "query_id", "insufficient", F.md5("context").alias("digest"), F.array_join("citations", ",").alias("citations"),
         F.coalesce("n_origins", F.lit(0)).alias("n_origins"), F.coalesce("n_destinations", F.lit(0)).alias("n_destinations"),
     )
+
+
+# keeping the graph current
+
+from threadline.plans import queries_lineage as ql  # noqa: E402
+from threadline.session import scratch_path, stack  # noqa: E402
+from threadline.streaming import updates  # noqa: E402
+
+_EDGES_SQL = ql._over_cells(
+    "SELECT src, dst, CASE type WHEN 'derives_from' THEN 'transforms' ELSE type END AS relationship FROM all_relationships",
+    ql._python_expected(), ql._SQL_EXPECTED, ql._ALL_RELATIONSHIPS,
+)
+
+
+def _table_edges(edges):
+    """Edges but those of operations and columns."""
+    outer = ~F.col("src").rlike("^(op|column):") & ~F.col("dst").rlike("^(op|column):")
+    return edges.where(outer & F.col("is_active")).select("src", "dst", "relationship")
+
+
+def _setup_only(text):
+    """The first cell of a SOURCE export, as a notebook once was."""
+    return F.encode(F.substring_index(text.cast("string"), "\n\n# COMMAND", 1), "UTF-8")
+
+
+@query("e2_update_graph", _EDGES_SQL)
+def e2(spark, sf):
+    """A first run over notebooks in their early form, then a run over what they became."""
+    now = inputs.exports(spark, sf).where("format = 'SOURCE'")
+    early = now.where(F.length("path") % 2 == 0).withColumn("content", _setup_only(F.col("content")))
+    first = facade.update_graph(None, early, stored.fixed_stamp())
+    second = facade.update_graph(first, now, F.lit("2024-07-01 00:00:00").cast("timestamp"))
+    return _table_edges(second.edges)
+
+
+@query("t6_stream_lineage_updates", _EDGES_SQL)
+def t6(spark, sf):
+    """The same by stream: notebooks arrive early, then as they became, some of them twice."""
+    folder, log, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "lineage-log"), scratch_path(spark, "stream")
+    now = inputs.exports(spark, sf).where("format = 'SOURCE'").select("path", "format", "content", F.lit(2).alias("seq"))
+    early = now.withColumn("content", _setup_only(F.col("content"))).withColumn("seq", F.lit(1))
+    for arrivals in (early, stack(now, early)):
+        arrivals.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(now.schema).parquet(folder)
+        updates.start_lineage_updates(stream, log, checkpoint).awaitTermination()
+    _, edges = updates.current_graph(spark, log, stored.fixed_stamp())
+    return _table_edges(edges)

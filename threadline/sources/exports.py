@@ -34,5 +34,10 @@ def prefer_jupyter_export(exports: DataFrame) -> DataFrame:
 
 
 def decode_export_payload(content: Column) -> Column:
-    """Bytes of a base64 payload; a value that is not base64 is taken as it is."""
-    return F.coalesce(F.try_to_binary(content, F.lit("base64")), F.encode(content, "UTF-8"))
+    """Bytes of a base64 payload; a value that is not base64 is taken as it is.
+
+    Line breaks may stand inside a payload, blanks may not: prose in words of four
+    letters would decode otherwise.
+    """
+    payload = F.when(content.rlike(r"^[A-Za-z0-9+/=\r\n]+$"), F.try_to_binary(content, F.lit("base64")))
+    return F.coalesce(payload, F.encode(content, "UTF-8"))

@@ -29,9 +29,12 @@ def lineage_documents(entities: DataFrame, relationships: DataFrame) -> DataFram
     return listed.join(linked, "path", "left").select("path", document.alias("document"))
 
 
-def write_lineage_json(documents: DataFrame, path: str) -> None:
-    """One file per document."""
-    documents.select("document").write.option("maxRecordsPerFile", 1).text(path)
+def write_lineage_json(documents: DataFrame, path: str, file_per_document: bool = False) -> None:
+    """One document per line; a file for each only on request, since small files cost a listing and a task each."""
+    writer = documents.select("document").write
+    if file_per_document:
+        writer = writer.option("maxRecordsPerFile", 1)
+    writer.text(path)
 
 
 def export_csv(rows: DataFrame, path: str) -> None:
