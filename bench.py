@@ -36,6 +36,7 @@ def main() -> None:
 
     stored.graph_folder(spark, folder)
     stored.cache_folder(spark, folder)
+    stored.notebook_cells(spark, folder)
     prepared = time.time() - start
     seconds = {}
     for name in HEADLINE:

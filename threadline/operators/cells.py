@@ -88,9 +88,9 @@ def unreadable_exports(exports: DataFrame) -> DataFrame:
 
 
 def _explode(exports: DataFrame, cells: Column) -> DataFrame:
-    return exports.select("path", F.posexplode(cells).alias("cell_no", "cell")).select(
-        "path", "cell_no", "cell.cell_type", "cell.content", "cell.metadata"
-    )
+    # the outer form, since the optimizer would split the text again to filter for the inner one
+    found = exports.select("path", F.posexplode_outer(cells).alias("cell_no", "cell")).where("cell_no IS NOT NULL")
+    return found.select("path", "cell_no", "cell.cell_type", "cell.content", "cell.metadata")
 
 
 def classify_cells(cells: DataFrame) -> DataFrame:

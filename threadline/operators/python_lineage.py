@@ -181,7 +181,9 @@ def _statement_rows_sql() -> str:
 def lineage_rows(parsed: DataFrame, readers: Mapping[str, Mapping] | None = None) -> DataFrame:
     """(path, ord, place, rule, kind, id, type, name, src, dst, rel, confidence, bare, sql, operation).
 
-    ``kind`` is entity, relationship, or sql for SQL text found in the code.
+    ``kind`` is entity, relationship, or sql for SQL text found in the code. Generators
+    are the outer kind throughout: for an inner one the optimizer adds a filter on the
+    size of its array and so computes the array again.
     """
     kept = "s.ord, s.parent, s.target, s.shape, s.steps, s.union_of"
     ruled = parsed.selectExpr(
@@ -192,12 +194,12 @@ def lineage_rows(parsed: DataFrame, readers: Mapping[str, Mapping] | None = None
     marked = ruled.selectExpr("path", "statements", f"{_MARKS_SQL} AS marks")
     judged = marked.selectExpr(
         "path",
-        f"""inline(transform(statements, s -> struct({kept}, s.source, s.sink, s.root, {_known('s.names')} AS inputs,
+        f"""inline_outer(transform(statements, s -> struct({kept}, s.source, s.sink, s.root, {_known('s.names')} AS inputs,
             filter({_known('s.later_names')}, n -> n <> s.target) AS others, {_known('s.union_of')} AS parents, {_LIVE} AS live,
             {_LAST}.name AS last,
             transform(filter(s.steps, x -> x.called AND x.name IN ({_words(OPERATIONS)})), x -> x.name) AS used)))""",
     )
-    rows = judged.selectExpr("path", "ord", f"posexplode({_statement_rows_sql()}) AS (place, r)")
+    rows = judged.selectExpr("path", "ord", f"posexplode_outer({_statement_rows_sql()}) AS (place, r)").where("place IS NOT NULL")
     return rows.select("path", "ord", "place", "r.*")
 
 

@@ -140,22 +140,25 @@ def approx_vector_top_k(
 def keyword_scores(docs: DataFrame, queries: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """(query_id, id, score): BM25 of ``docs`` (id, text) for ``queries`` (query_id, text).
 
-    Postings are kept only for words some query holds, counted before the shuffle,
-    and keyed by document and word, so a frequent word is no hot key.
+    Postings are kept only for words some query holds and counted before the
+    shuffle. They are then placed by document: a frequent word is no hot key, and
+    the words a document shares with a query are summed up before the next shuffle.
     """
+    spark = docs.sparkSession
     words = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("word"))
     asked = words.select("word").distinct()
-    sized = docs.select("id", tokens(F.col("text")).alias("words")).select("id", "words", F.size("words").alias("length"))
+    length = F.regexp_count("text", F.lit(r"[\p{L}\p{N}_]+"))
+    totals = docs.agg(F.count("*").alias("n"), F.avg(length).alias("mean_length")).first()
+    n, mean_length = F.lit(totals["n"]), F.lit(totals["mean_length"] or 1.0)
     postings = (
-        sized.select("id", "length", F.explode("words").alias("word"))
+        docs.select("id", tokens(F.col("text")).alias("words"))
+        .select("id", F.size("words").alias("length"), F.explode_outer("words").alias("word"))  # the inner form tokenises again to filter
         .join(asked, "word", "left_semi")
         .groupBy("id", "word")
         .agg(F.count("*").alias("tf"), F.first("length").alias("length"))
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
     )
     postings = materialize(postings)
-    totals = sized.agg(F.count("*").alias("n"), F.avg("length").alias("mean_length"))
-    totals = materialize(totals)
-    n, mean_length = totals.select("n").scalar(), totals.select("mean_length").scalar()
     df = postings.groupBy("word").agg(F.count("*").alias("df"))
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = words.join(df.select("word", idf.alias("idf")), "word")
@@ -251,8 +254,8 @@ def fuzzy_match(names: DataFrame, typed: DataFrame, distance: int = 1) -> DataFr
     an equi-join on those finds every pair and almost no other; no block of names is
     compared with itself. Only hashes are shuffled, and the distance is checked.
     """
-    left = names.select("name").distinct().select("name", F.explode(_deletions(F.col("name"), distance)).alias("v"))
-    right = typed.select("typed").distinct().select("typed", F.explode(_deletions(F.col("typed"), distance)).alias("v"))
+    left = names.select("name").distinct().select("name", F.explode_outer(_deletions(F.col("name"), distance)).alias("v"))
+    right = typed.select("typed").distinct().select("typed", F.explode_outer(_deletions(F.col("typed"), distance)).alias("v"))
     pairs = (
         left.select("name", F.xxhash64("v").alias("v"))
         .join(right.select("typed", F.xxhash64("v").alias("v")), "v")

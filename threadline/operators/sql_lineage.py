@@ -19,8 +19,8 @@ def sql_statements(cells: DataFrame) -> DataFrame:
     marked = cells.selectExpr("path", "cell_no", f"{t.marked('content')} AS m")
     return marked.selectExpr(
         "path", "cell_no", "m.depth = 0 AND m.lowest >= 0 AS balanced",
-        f"posexplode({t.statements(t.without_inner_from('m.text'))}) AS (stmt_no, text)",
-    )
+        f"posexplode_outer({t.statements(t.without_inner_from('m.text'))}) AS (stmt_no, text)",
+    ).where("stmt_no IS NOT NULL")
 
 
 def sql_errors(statements: DataFrame) -> DataFrame:
@@ -89,8 +89,8 @@ def sql_lineage(components: DataFrame) -> DataFrame:
         transform(c.sources.table_functions, n -> {edge('L2c', "concat('function:', n)", 'c.name')}))))"""
     listed = f"if(target IS NULL AND merge_target IS NULL, transform(tables, n -> {entity('L2h', 'table', 'n')}), {none})"
     return components.selectExpr(
-        *_KEYS, f"posexplode(concat({written}, {merged}, {cte_rows}, {listed})) AS (place, r)"
-    ).select(*_KEYS, "place", "r.*")
+        *_KEYS, f"posexplode_outer(concat({written}, {merged}, {cte_rows}, {listed})) AS (place, r)"
+    ).where("place IS NOT NULL").select(*_KEYS, "place", "r.*")
 
 
 def entities(rows: DataFrame) -> DataFrame:
@@ -119,7 +119,7 @@ def tables_to_variables(python_rows: DataFrame) -> DataFrame:
     """
     found = embedded_sql(python_rows).where("dst IS NOT NULL")
     marked = found.selectExpr("path", "dst", f"{t.without_inner_from(t.marked('content') + '.text')} AS text")
-    read = marked.selectExpr("path", "dst", f"explode({t.sorted_tables_in('text')}) AS n")
+    read = marked.selectExpr("path", "dst", f"explode_outer({t.sorted_tables_in('text')}) AS n").where("n IS NOT NULL")
     return read.selectExpr("path", "'L4' AS rule", "concat('table:', n) AS src", "dst", "'reads_from' AS rel")
 
 
@@ -144,8 +144,8 @@ def column_lineage(components: DataFrame) -> DataFrame:
     sources = f"""filter(transform(concat({listed}, {joins}),
         i -> struct({t.clean_name(t.extract('i', item, 1))} AS table_name, {t.extract('i', item, 2)} AS alias)), s -> s.table_name IS NOT NULL)"""
     selected = components.where("target IS NOT NULL").selectExpr(
-        *_KEYS, "target", f"{sources} AS sources", f"explode({t.select_items('main')}) AS item"
-    )
+        *_KEYS, "target", f"{sources} AS sources", f"explode_outer({t.select_items('main')}) AS item"
+    ).where("item IS NOT NULL")
     explicit = r"^(.*?)\s+AS\s+`?([\w$]+)`?\s*$"
     operators = "AND|OR|NOT|LIKE|IN|IS|BETWEEN|DIV|THEN|ELSE|WHEN|DISTINCT"
     implicit = rf"^(.*[\w`)'\x02])(?<!\b(?:{operators}))\s+(?!(?:END|NULL|TRUE|FALSE)\s*$)`?([\w$]+)`?\s*$"
@@ -160,7 +160,7 @@ def column_lineage(components: DataFrame) -> DataFrame:
     words = "'AS', 'CASE', 'WHEN', 'THEN', 'ELSE', 'END', 'AND', 'OR', 'NOT', 'NULL', 'IS', 'IN', 'LIKE', 'BETWEEN', 'DISTINCT', 'TRUE', 'FALSE', 'OVER', 'PARTITION', 'BY', 'ORDER', 'ASC', 'DESC', 'INTERVAL', 'DATE', 'TIMESTAMP', 'YEAR', 'MONTH', 'DAY', 'CAST', 'FROM', 'BOTH', 'LEADING', 'TRAILING', 'DIV'"
     used = named.where("output IS NOT NULL").selectExpr(
         *_KEYS, "target", "sources", "output", f"{t.plain('marked_expression')} AS expression",
-        f"explode(array_distinct(transform(filter({columns}, n -> upper(n) NOT IN ({words}) AND n NOT RLIKE '^[0-9]'), n -> {t.clean_name('n')}))) AS reference",
+        f"explode_outer(array_distinct(transform(filter({columns}, n -> upper(n) NOT IN ({words}) AND n NOT RLIKE '^[0-9]'), n -> {t.clean_name('n')}))) AS reference",
     )
     qualifier = "substring_index(reference, '.', size(split(reference, '[.]')) - 1)"
     resolved = f"""if(contains(reference, '.'),

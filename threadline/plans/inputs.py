@@ -149,6 +149,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows over as many tasks as there are cores.
+
+    Each test table is one row group, hence one task; a real one has many, and the
+    work on its texts must not be timed or tested in one.
+    """
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = f"WITH {', '.join(_with_clause((name,)))} SELECT * FROM {name}"
     for base in TABLES:

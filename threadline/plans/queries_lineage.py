@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from threadline.functions import text as fx
 from threadline.operators import cells as cell_jobs
 from threadline.operators import graph, python_lineage, quality, sql_lineage, traverse
-from threadline.plans import inputs
+from threadline.plans import inputs, stored
 from threadline.plans.catalog import query
 from threadline.plans.inputs import sql_over
 from threadline.session import scratch_path
@@ -27,7 +27,7 @@ def _over_cells(select: str, *ctes: str) -> str:
 
 
 def _typed_cells(spark, sf):
-    return cell_jobs.classify_cells(inputs.cells(spark, sf))
+    return cell_jobs.classify_cells(stored.notebook_cells(spark, sf))
 
 
 def _sources(spark, sf):

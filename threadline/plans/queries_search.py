@@ -93,7 +93,7 @@ def questions(spark, sf):
     "SELECT id AS doc_id, slot, round(value, 5) AS value FROM (SELECT id, unnest(embedding) AS value, unnest(range(64))::INT AS slot FROM v) WHERE value <> 0",
 )
 def r1(spark, sf):
-    docs = inputs.table(spark, sf, "documents")
+    docs = inputs.spread(inputs.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     rows = docs.select("doc_id", F.posexplode(hashed_embedding(F.col("text"))).alias("slot", "value"))
     return rows.where("value <> 0").select("doc_id", "slot", F.round(F.col("value").cast("double"), 5).alias("value"))
 
@@ -141,7 +141,7 @@ def o2(spark, sf):
     f"{_top('best', 'kw', 8)} SELECT query_id, id, score, rank FROM best",
 )
 def r3(spark, sf):
-    docs = inputs.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = inputs.spread(inputs.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), "id")
     asked = inputs.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return search.keyword_search(docs, asked, 8)
 

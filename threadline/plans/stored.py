@@ -46,6 +46,15 @@ def flow_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edges(spark, sf_dir).where(F.col("relationship") != "contains")
 
 
+def notebook_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, cell_no, content) as notebooks hold it, magics included, in several files."""
+
+    def write(path: str) -> None:
+        inputs.spread(inputs.cells(spark, sf_dir), "path").write.parquet(path)
+
+    return spark.read.parquet(_once(spark, sf_dir, "cells", write))
+
+
 def cache_folder(spark: SparkSession, sf_dir: str) -> str:
     return _once(
         spark, sf_dir, "path-cache",
