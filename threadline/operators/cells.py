@@ -117,20 +117,24 @@ def _common_margin(lines: Column) -> Column:
 
 def clean_python(code: Column) -> Column:
     """Drop magic lines, remove the common indent, trim."""
-    lines = F.filter(F.split(code, r"\r\n|\n|\r"), lambda l: ~l.rlike(r"^\s*%"))
-    margin = _common_margin(lines)
-    flush = F.transform(lines, lambda l: F.when(l.rlike(r"\S"), F.substr(l, F.length(margin) + 1)).otherwise(F.lit("")))
-    return strip_blank(F.array_join(flush, "\n"))
+
+    def once(value: Column, use) -> Column:
+        """``use`` of a value that is computed once: a lambda variable is not expanded again."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def flush(lines: Column, width: Column) -> Column:
+        return F.array_join(F.transform(lines, lambda l: F.when(l.rlike(r"\S"), F.substr(l, width + 1)).otherwise(F.lit(""))), "\n")
+
+    kept = F.filter(F.split(code, r"\r\n|\n|\r"), lambda l: ~l.rlike(r"^\s*%"))
+    return strip_blank(once(kept, lambda lines: once(F.length(_common_margin(lines)), lambda width: flush(lines, width))))
 
 
 def python_units(cells: Column) -> Column:
-    """struct(source, units): the whole Python text and, apart, each cell's text."""
-    bodies = F.transform(F.filter(cells, lambda c: c["cell_type"] == "python"), lambda c: c["content"])
-    numbers = F.transform(F.filter(cells, lambda c: c["cell_type"] == "python"), lambda c: c["cell_no"])
+    """struct(source, units): the whole Python text and, apart, each cell's text as it is."""
+    python = F.filter(cells, lambda c: c["cell_type"] == "python")
     return F.struct(
-        clean_python(F.array_join(bodies, "\n\n")).alias("source"),
-        F.transform(F.arrays_zip(numbers.alias("cell_no"), bodies.alias("text")),
-                    lambda c: F.struct(c["cell_no"].alias("cell_no"), clean_python(c["text"]).alias("text"))).alias("units"),
+        clean_python(F.array_join(F.transform(python, lambda c: c["content"]), "\n\n")).alias("source"),
+        F.transform(python, lambda c: F.struct(c["cell_no"].alias("cell_no"), c["content"].alias("text"))).alias("units"),
     )
 
 

@@ -7,6 +7,7 @@ call that may write, with the pieces the Spark rules look at.
 from __future__ import annotations
 
 import ast
+import textwrap
 
 import pyarrow as pa
 
@@ -137,8 +138,8 @@ def notebook_rows(source: str, units: list[dict]) -> tuple[list[dict], list[dict
     rows, errors, bound = [], [], {}
     for unit in units:
         try:
-            tree = ast.parse(unit["text"] or "")
-            statement_rows(tree, bound, rows)
+            lines = [x for x in (unit["text"] or "").splitlines() if not x.lstrip().startswith("%")]
+            statement_rows(ast.parse(textwrap.dedent("\n".join(lines)).strip()), bound, rows)
         except (SyntaxError, ValueError, RecursionError, MemoryError) as error:
             errors.append({"cell_no": unit["cell_no"], "error": type(error).__name__})
     return rows, errors
