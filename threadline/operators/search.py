@@ -92,7 +92,7 @@ def _grouped_scores(nodes: DataFrame, queries: DataFrame, keys: list[str], k: in
 def _blocked_scores(nodes: DataFrame, queries: DataFrame, k: int, block: int) -> DataFrame:
     """Every node meets every block of queries; both sides of a group have a bounded size."""
     blocks = -(-queries.count() // block)
-    slices = -(-nodes.count() // GROUP_ROWS)
+    slices = max(-(-nodes.count() // GROUP_ROWS), 1)
     placed_nodes = nodes.select(
         "id", "embedding", F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice"),
         F.explode(_numbers(blocks)).alias("block"),
@@ -123,16 +123,16 @@ def approx_vector_top_k(
         codes = (side * weights).sum(axis=2) + np.arange(tables) * 2**planes
         return pd.Series(list(codes))
 
-    slices = -(-nodes.count() // GROUP_ROWS)
+    slices = max(-(-nodes.count() // GROUP_ROWS), 1)
     placed_nodes = nodes.select(
-        "id", "embedding", F.explode(buckets("embedding")).alias("bucket"), F.pmod(F.xxhash64("id"), F.lit(max(slices, 1))).alias("slice")
+        "id", "embedding", F.explode(buckets("embedding")).alias("bucket"), F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice")
     )
-    query_shares = -(-queries.count() // SHIPPED_QUERIES)
+    query_shares = max(-(-queries.count() // SHIPPED_QUERIES), 1)
     placed_queries = queries.select(
         "query_id", "embedding", F.explode(buckets("embedding")).alias("bucket"),
-        F.pmod(F.xxhash64("query_id"), F.lit(max(query_shares, 1))).alias("share"),
-    ).withColumn("slice", F.explode(_numbers(max(slices, 1))))
-    shared_nodes = placed_nodes.withColumn("share", F.explode(_numbers(max(query_shares, 1))))
+        F.pmod(F.xxhash64("query_id"), F.lit(query_shares)).alias("share"),
+    ).withColumn("slice", F.explode(_numbers(slices)))
+    shared_nodes = placed_nodes.withColumn("share", F.explode(_numbers(query_shares)))
     found = _grouped_scores(shared_nodes, placed_queries, ["bucket", "slice", "share"], k)
     return top_k_per_query(found.groupBy("query_id", "id").agg(F.max("score").alias("score")), k)
 
