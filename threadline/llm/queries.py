@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from threadline.llm import huffman, packing, token_counts
+from threadline.llm import huffman, line_quality, packing, simhash, substring, token_counts
 from threadline.llm.frames import table
 
 QUERIES, ORACLES = {}, {}
@@ -20,6 +20,14 @@ def op1_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op2_line_quality(spark, sf_dir):
+    return line_quality.report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_line_quality"] = line_quality.ORACLE
+
+
 @query
 def op4_huffman_token_files(spark, sf_dir):
     return huffman.token_files_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -28,3 +36,13 @@ def op4_huffman_token_files(spark, sf_dir):
 @query
 def op5_nnls_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op6_repeated_passages(spark, sf_dir):
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op9_simhash_near_dedup(spark, sf_dir):
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
