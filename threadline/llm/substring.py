@@ -62,6 +62,12 @@ def rolled(lane: np.ndarray, base: np.uint64, size: int) -> np.ndarray:
     return out
 
 
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    steps = np.full(n, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(31))
     x = x * np.uint64(0x7FB5D329728EA185)
@@ -85,9 +91,8 @@ def factors(lanes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.
         begins = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
         counts = np.diff(np.concatenate([begins, [n - window + 1]]))
         # content: words from the first window's first to the last window's last
-        powers = np.cumprod(np.concatenate([[1], np.full(n, _BASES[1])]).astype(np.uint64))
-        inverse = np.uint64(pow(int(_BASES[1]), -1, 1 << 64))
-        inverses = np.cumprod(np.concatenate([[1], np.full(n, inverse)]).astype(np.uint64))
+        powers = _powers(_BASES[1], n + 1)
+        inverses = _powers(np.uint64(pow(int(_BASES[1]), -1, 1 << 64)), n + 1)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(lanes[1] * powers[:n])])
         content = (sums[begins + counts + window - 1] - sums[begins]) * inverses[begins]
         content = _mixed(content + counts.astype(np.uint64))
