@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from threadline.llm import huffman, line_quality, packing, simhash, substring, token_counts
+from threadline.llm import decontaminate, huffman, line_quality, packing, pii, revisits, simhash, substring, token_counts, toxicity
 from threadline.llm.frames import table
 
 QUERIES, ORACLES = {}, {}
@@ -28,6 +28,11 @@ def op2_line_quality(spark, sf_dir):
 ORACLES["op2_line_quality"] = line_quality.ORACLE
 
 
+@query
+def op3_crf_pii(spark, sf_dir):
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_huffman_token_files(spark, sf_dir):
     return huffman.token_files_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -43,6 +48,24 @@ def op6_repeated_passages(spark, sf_dir):
     return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+@query
+def op7_latent_decontamination(spark, sf_dir):
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_revisit_resolution(spark, sf_dir):
+    return revisits.resolved_pages(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op8_revisit_resolution"] = revisits.ORACLE
+
+
 @query
 def op9_simhash_near_dedup(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_nearest_toxic_examples(spark, sf_dir):
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
