@@ -126,14 +126,22 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 0,
     def tokenize(batches):
         part, at = TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
+        schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
+        rows, held = [], 0
         for batch, values in each_text(batches):
-            for key_, value in zip(batch.column("doc_id"), values, strict=True):
+            for doc, value in zip(batch.column("doc_id").to_pylist(), values, strict=True):
                 ids = np.frombuffer(bpe.token_bytes(path, value) + end, "<u4")
                 narrow = ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else ids.tobytes()
-                yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "doc_id": pa.array([key_.as_py()], pa.int64()), "at": pa.array([at], pa.int64()), "n": pa.array([len(ids)], pa.int64()), "ids": pa.array([narrow], pa.binary())})
+                rows.append((part, doc, at, len(ids), narrow))
                 at += len(ids)
+                held += len(narrow)
+                if held > 8_000_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                    rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    tokens = stored(ordered.mapInArrow(_gathered(tokenize), "part int, doc_id long, at long, n long, ids binary"), "token-ids")
+    tokens = stored(ordered.mapInArrow(tokenize, "part int, doc_id long, at long, n long, ids binary"), "token-ids")
 
     def histogram(batches):
         counts = np.zeros(1, np.int64)
@@ -226,20 +234,3 @@ def token_files_digest(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame
 
 def _wide(packed: bytes, n: int) -> np.ndarray:
     return np.frombuffer(packed, "<u2" if len(packed) == 2 * n else "<u4").astype(np.int64)
-
-
-def _gathered(rows):
-    """Join batches of one row into batches of some megabytes."""
-
-    def run(batches):
-        held, size = [], 0
-        for batch in rows(batches):
-            held.append(batch)
-            size += batch.nbytes
-            if size > 8_000_000:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, size = [], 0
-        if held:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-    return run
