@@ -17,10 +17,12 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _RUN = rf"(?:[{_LETTERS}]+(?=[ \t\n\r!-@\[-`{{-~]|\Z)|[^ \t\n\r]+)"
 WITH_SPACE = re.compile(rf"[ \t\n\r]*{_RUN}|[ \t\n\r]+")
 WITHOUT_SPACE = re.compile(_RUN)
-UNUSUAL_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+UNUSUAL_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+#: Letters whose small form may depend on their neighbours or on composition.
+NOT_LATIN = re.compile("[İɐ-῿⁰-\U0010ffff]")
 
-#: Answers kept by one Python worker, and the longest chunk kept; beyond them the library is asked again.
-CACHE_ROWS, CACHE_CHARS = 600_000, 80
+#: Answers of one generation kept by a Python worker, and the longest chunk kept.
+CACHE_ROWS, CACHE_CHARS = 450_000, 80
 
 
 @lru_cache(maxsize=4)
@@ -34,16 +36,19 @@ def tokenizer(path: str):
 
 
 class Answers(dict):
-    """Chunk to answer; asks on first use and starts afresh when full."""
+    """Chunk to answer; asks on first use. Two generations are kept, so that what is in use outlives a full one."""
 
     def __init__(self, ask):
         super().__init__()
-        self.ask = ask
+        self.ask, self.older = ask, {}
 
     def __missing__(self, chunk: str):
-        answer = self.ask(chunk)
+        answer = self.older.get(chunk)
+        if answer is None:
+            answer = self.ask(chunk)
         if len(chunk) <= CACHE_CHARS:
             if len(self) >= CACHE_ROWS:
+                self.older = dict(self)
                 self.clear()
             self[chunk] = answer
         return answer
@@ -66,10 +71,22 @@ def drops_space(path: str) -> bool:
     return encode(" a \n", add_special_tokens=False).ids == encode("a", add_special_tokens=False).ids
 
 
+@lru_cache(maxsize=4)
+def lowers(path: str) -> bool:
+    """Whether capitals and small letters have the same ids."""
+    encode = tokenizer(path).encode
+    return encode("ÀB", add_special_tokens=False).ids == encode("àb", add_special_tokens=False).ids
+
+
+def chunks_of(path: str, text: str) -> list[str]:
+    if lowers(path) and not NOT_LATIN.search(text):
+        text = text.lower()
+    return (WITHOUT_SPACE if drops_space(path) else WITH_SPACE).findall(text)
+
+
 def token_bytes(path: str, text: str) -> bytes:
     """Ids of a text as little-endian unsigned 32-bit integers."""
     answers = _packed_answers(path)
     if UNUSUAL_SPACE.search(text):
         return answers.ask(text)
-    chunks = (WITHOUT_SPACE if drops_space(path) else WITH_SPACE).findall(text)
-    return b"".join(map(answers.__getitem__, chunks))
+    return b"".join(map(answers.__getitem__, chunks_of(path, text)))

@@ -52,8 +52,7 @@ def token_count(path: str, text: str) -> int:
     counts = _counter(path)
     if bpe.UNUSUAL_SPACE.search(text):
         return counts.ask(text)
-    pattern = bpe.WITHOUT_SPACE if bpe.drops_space(path) else bpe.WITH_SPACE
-    return sum(map(counts.__getitem__, pattern.findall(text)))
+    return sum(map(counts.__getitem__, bpe.chunks_of(path, text)))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 512, key: str = "doc_id", text: str = "text") -> DataFrame:
