@@ -21,8 +21,9 @@ from threadline.llm.frames import each_text, stored, texts
 
 #: Passages of a block, words of a passage and of half a window, latent dimensions and spare ones.
 BLOCK, PASSAGE, HALF, RANK, SPARE = 2048, 48, 32, 128, 16
-#: Terms in more than this share of documents tell nothing; least cosine and share of a candidate.
-COMMON, COSINE, SHARE = 0.2, 0.3, 0.4
+#: Terms in more than this share of documents, and in more than that many, tell nothing; least cosine and
+#: share of a candidate.
+COMMON, FEW, COSINE, SHARE = 0.05, 100, 0.3, 0.4
 #: Parts of a passage in common order: enough alone; enough with that part of the answer; least words.
 WHOLE, PARTLY, ANSWER, LEAST = 0.75, 0.6, 0.8, 6
 
@@ -54,6 +55,13 @@ def passages(text: str) -> list[list[str]]:
     return [words[a:b] for a, b in zip(cuts, cuts[1:], strict=False) if b - a >= LEAST]
 
 
+class _Numbers(dict):
+    """Numbers of terms; -1 for any other word."""
+
+    def __missing__(self, word: str) -> int:
+        return -1
+
+
 def _terms(words: list[str], index: dict[str, int]) -> np.ndarray:
     return np.array([index[w] for w in words if w in index], np.int64)
 
@@ -112,12 +120,13 @@ def _frequencies(docs: DataFrame, vocabulary: set[str]) -> tuple[dict[str, int],
 def _search(docs: DataFrame, block: list[tuple[int, list[str]]]) -> DataFrame:
     spark = docs.sparkSession
     seen, n_docs = _frequencies(docs, {w for _, ws in block for w in ws})
-    rare = sorted(w for w, n in seen.items() if n <= max(COMMON * n_docs, 1))
+    telling = {w for w, n in seen.items() if n <= max(COMMON * n_docs, FEW)}
     for _, ws in block:
-        if not any(w in set(rare) for w in ws):  # a passage of common terms only keeps them
-            rare = sorted({*rare, *ws})
+        if len(telling.intersection(ws)) < 3:  # a passage of common terms keeps them
+            telling.update(ws)
+    rare = sorted(telling)
     index = {w: i for i, w in enumerate(rare)}
-    idf = np.array([np.log((n_docs + 1) / (seen[w] + 1)) + 1 for w in rare])
+    idf = np.array([np.log((n_docs + 1) / (seen.get(w, 0) + 1)) + 1 for w in rare])
     space = latent_space(spark, [ws for _, ws in block], index, idf)
     folded = (space * idf[:, None]).astype(np.float32)  # a term's occurrence as a latent vector
     queries = np.stack([folded[_terms(ws, index)].sum(axis=0) for _, ws in block])
@@ -125,14 +134,16 @@ def _search(docs: DataFrame, block: list[tuple[int, list[str]]]) -> DataFrame:
     least = SHARE * float(np.sqrt(squares.min()))
 
     def search(batches):
+        number = _Numbers(index)
         for batch, values in each_text(batches):
             found = []
             for key, value in zip(batch.column("doc_id"), values, strict=True):
                 words = words_of(value)
-                hits = [(i // HALF, index[w]) for i, w in enumerate(words) if w in index]
-                if not hits:
+                numbers = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+                hits = np.flatnonzero(numbers >= 0)
+                if not len(hits):
                     continue
-                part, term = np.array(hits).T
+                part, term = hits // HALF, numbers[hits]
                 begins = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1])
                 sums = np.zeros((int(part[-1]) + 2, folded.shape[1]), np.float32)
                 sums[part[begins]] = np.add.reduceat(folded[term], begins, axis=0)
