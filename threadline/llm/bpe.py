@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_LETTERS, _SMALL = "A-Za-zÀ-ÖØ-öø-ÿ", "a-zß-öø-ÿ"
 _RUN = rf"(?:[{_LETTERS}]+(?=[ \t\n\r!-@\[-`{{-~]|\Z)|[^ \t\n\r]+)"
 WITH_SPACE = re.compile(rf"[ \t\n\r]*{_RUN}|[ \t\n\r]+")
 WITHOUT_SPACE = re.compile(_RUN)
@@ -54,9 +54,25 @@ class Answers(dict):
         return answer
 
 
+@lru_cache(maxsize=1)
+def _byte_signs() -> dict[int, str]:
+    """The sign the byte-level alphabet has for each byte: printable Latin-1 itself, the others from 256 up."""
+    own = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
+    return {b: chr(b if b in own else 256 + b - sum(o < b for o in own)) for b in range(256)}
+
+
 def _packed(path: str):
-    encode = tokenizer(path).encode
-    return lambda chunk: np.array(encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    encode, merge, signs, small = tokenizer(path).encode, tokenizer(path).model.tokenize, _byte_signs(), lowers(path)
+    one = re.compile(rf"{'' if drops_space(path) else ' ?'}[{_SMALL if small else _LETTERS}]+")
+
+    def ask(chunk: str) -> bytes:
+        if one.fullmatch(chunk):  # a single pre-token: only the merges are left to do
+            ids = [t.id for t in merge(chunk.encode().decode("latin-1").translate(signs))]
+        else:
+            ids = encode(chunk, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
+
+    return ask
 
 
 @lru_cache(maxsize=4)
