@@ -14,6 +14,11 @@ from threadline.session import stack
 ENTITY_ORDER = ("path", "cell_no", "ord")
 
 
+def statement_order(statement: str, place: str) -> Column:
+    """One number that sorts by statement, then by place within it: the place has 32 bits of its own."""
+    return F.shiftleft(F.col(statement).cast("bigint"), 32) + F.col(place)
+
+
 def union_lineage(*parts: DataFrame) -> DataFrame:
     """Rows of several extractions under one set of columns."""
     return stack(*parts)

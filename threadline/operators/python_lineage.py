@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadline.operators import python_syntax
+from threadline.operators import graph, python_syntax
 
 # Names never listed as variables, and the wrapper readers known without registration.
 BLOCKED_NAMES = ("col", "when", "sum", "lit", "broadcast", "reduce", "DataFrame", "current_timestamp")
@@ -216,7 +216,7 @@ def entities(rows: DataFrame) -> DataFrame:
     """(path, cell_no, ord, id, type, name, properties) of a lineage table."""
     properties = F.when(F.col("operation").isNotNull(), F.create_map(F.lit("operation"), F.col("operation")))
     return rows.where(F.col("kind") == "entity").select(
-        "path", F.lit(0).alias("cell_no"), (F.col("ord") * 10000 + F.col("place")).alias("ord"), "id", "type", "name", properties.alias("properties")
+        "path", F.lit(0).alias("cell_no"), graph.statement_order("ord", "place").alias("ord"), "id", "type", "name", properties.alias("properties")
     )
 
 

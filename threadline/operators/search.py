@@ -279,34 +279,40 @@ def suggest_names(nodes: DataFrame, edges: DataFrame, typed: DataFrame, k: int =
     return top_k_per_query(matches, k, "typed", "in_degree", "entity_name")
 
 
-def grounded_context(hits: DataFrame, nodes: DataFrame, edges: DataFrame, cache: DataFrame, facts_per_hit: int = 8) -> DataFrame:
+def grounded_context(hits: DataFrame, nodes: DataFrame, edges: DataFrame, cache: DataFrame, facts_per_hit: int | None = None) -> DataFrame:
     """(query_id, context, citations): bulleted facts about each question's hits.
 
-    Facts are direct edges and cached paths that leave a hit; each list is cut to
-    the nearest ``facts_per_hit`` per hit, since a prompt has room for few.
+    Facts are direct edges and cached paths that leave a hit, the nearest first. A caller whose prompt has
+    room for few names how many of each list a hit may give; without a number all are given.
     """
     named = hits.join(nodes.select("id", "entity_type", "entity_name"), "id")
     entity = named.select(
-        "query_id", "rank", F.lit(0).alias("place"), F.concat_ws(" ", "entity_type", "entity_name").alias("fact"), F.col("id").alias("citation")
+        "query_id", "rank", F.struct(F.lit(0).alias("kind"), F.lit(0).alias("hops"), F.lit("").alias("end"), F.lit("").alias("label")).alias("place"),
+        F.concat_ws(" ", "entity_type", "entity_name").alias("fact"), F.col("id").alias("citation"),
     )
     wanted = hits.select("id").distinct()
 
-    def nearest(rows: DataFrame, order: list) -> DataFrame:
-        window = Window.partitionBy("id").orderBy(*order)
-        return rows.withColumn("n", F.row_number().over(window)).where(F.col("n") <= facts_per_hit)
+    def nearest(rows: DataFrame) -> DataFrame:
+        if facts_per_hit is None:
+            return rows
+        return rows.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("place"))).where(F.col("n") <= facts_per_hit)
+
+    def place(kind: int, hops: Column, end: str, label: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), hops.cast("int").alias("hops"), F.col(end).alias("end"), label.alias("label")).alias("place")
 
     out = nearest(
-        edges.select(F.col("src").alias("id"), "dst", "relationship").distinct().join(wanted, "id", "left_semi"), ["dst", "relationship"]
+        edges.select(F.col("src").alias("id"), "dst", "relationship").distinct().join(wanted, "id", "left_semi")
+        .withColumn("place", place(1, F.lit(1), "dst", F.col("relationship")))
     )
     direct = hits.select("query_id", "rank", "id").join(out, "id").select(
-        "query_id", "rank", (F.lit(100) + F.col("n")).alias("place"), F.concat_ws(" ", "id", "relationship", "dst").alias("fact"), F.col("id").alias("citation")
+        "query_id", "rank", "place", F.concat_ws(" ", "id", "relationship", "dst").alias("fact"), F.col("id").alias("citation")
     )
     far = nearest(
-        cache.select(F.col("src_node_id").alias("id"), "tgt_node_id", "min_hops", "path").where("min_hops > 1").join(wanted, "id", "left_semi"),
-        ["min_hops", "tgt_node_id"],
+        cache.select(F.col("src_node_id").alias("id"), "tgt_node_id", "min_hops", "path").where("min_hops > 1").join(wanted, "id", "left_semi")
+        .withColumn("place", place(2, F.col("min_hops"), "tgt_node_id", F.lit("")))
     )
     paths = hits.select("query_id", "rank", "id").join(far, "id").select(
-        "query_id", "rank", (F.lit(1000) + F.col("n")).alias("place"),
+        "query_id", "rank", "place",
         F.concat(F.array_join("path", " > "), F.lit(" in "), F.col("min_hops").cast("string"), F.lit(" hops")).alias("fact"),
         F.col("id").alias("citation"),
     )

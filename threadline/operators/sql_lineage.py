@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadline.functions import sql_text as t
+from threadline.operators import graph
 from threadline.session import stack
 
 _KEYS = ("path", "cell_no", "stmt_no")
@@ -97,7 +98,7 @@ def entities(rows: DataFrame) -> DataFrame:
     """(path, cell_no, ord, id, type, name, properties) in order of appearance."""
     properties = F.when(F.col("is_cte"), F.create_map(F.lit("is_cte"), F.lit("true")))
     return rows.where("kind = 'entity'").select(
-        "path", "cell_no", (F.col("stmt_no") * 10000 + F.col("place")).alias("ord"), "id", "type", "name", properties.alias("properties")
+        "path", "cell_no", graph.statement_order("stmt_no", "place").alias("ord"), "id", "type", "name", properties.alias("properties")
     )
 
 

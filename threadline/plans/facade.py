@@ -72,12 +72,12 @@ def extract_lineage(exports: DataFrame, readers: Mapping[str, Mapping] | None =
     components = materialize(sql_lineage.sql_components(statements))
     found = F.col("kind").isin("entity", "relationship")
     from_python = python.where(found).select(
-        "path", F.lit(0).alias("cell_no"), (F.col("ord") * 10000 + F.col("place")).alias("ord"), "kind", "id",
+        "path", F.lit(0).alias("cell_no"), graph.statement_order("ord", "place").alias("ord"), "kind", "id",
         F.coalesce("rel", "type").alias("type"), "name", "src", "dst", F.col("confidence").alias("confidence_score"),
         F.when(F.col("operation").isNotNull(), F.create_map(F.lit("operation"), F.col("operation"))).alias("properties"),
     )
     from_sql = sql_lineage.sql_lineage(components).select(
-        "path", "cell_no", (F.col("stmt_no") * 10000 + F.col("place")).alias("ord"), "kind", "id",
+        "path", "cell_no", graph.statement_order("stmt_no", "place").alias("ord"), "kind", "id",
         F.coalesce("rel", "type").alias("type"), "name", "src", "dst", F.lit(1.0).alias("confidence_score"),
         F.when(F.col("is_cte"), F.create_map(F.lit("is_cte"), F.lit("true"))).alias("properties"),
     )

@@ -9,7 +9,7 @@ from threadline.plans import inputs, stored
 from threadline.plans.catalog import query
 from threadline.plans.inputs import sql_over
 
-_FLOW = "flow AS (SELECT DISTINCT src, dst FROM graph_edges WHERE relationship <> 'contains')"
+_FLOW = "flow AS MATERIALIZED (SELECT DISTINCT src, dst FROM graph_edges WHERE relationship <> 'contains')"
 
 
 def _walks(name: str, hops: int, flow: str = "flow", starts: str = "SELECT DISTINCT src FROM flow", near: str = "src", far: str = "dst") -> str:
@@ -26,19 +26,19 @@ def _walks(name: str, hops: int, flow: str = "flow", starts: str = "SELECT DISTI
 # Shortest pairs: first level of each pair, smallest path on that level.
 def _pairs(name: str, hops: int, flow: str = "flow", cycles: bool = False) -> str:
     keep = "true" if cycles else "e.dst <> p.src"
-    parts = [f"{name}0 AS (SELECT DISTINCT src, src AS tgt, [src] AS path FROM {flow})"]
+    parts = [f"{name}0 AS MATERIALIZED (SELECT DISTINCT src, src AS tgt, [src] AS path FROM {flow})"]
     seen = []
     for hop in range(1, hops + 1):
         old = " AND ".join(
             [f"NOT EXISTS (SELECT 1 FROM {name}{h} q WHERE q.src = p.src AND q.tgt = e.dst)" for h in seen] or ["true"]
         )
         parts.append(
-            f"{name}{hop} AS (SELECT p.src, e.dst AS tgt, min(list_append(p.path, e.dst)) AS path "
+            f"{name}{hop} AS MATERIALIZED (SELECT p.src, e.dst AS tgt, min(list_append(p.path, e.dst)) AS path "
             f"FROM {name}{hop - 1} p JOIN {flow} e ON e.src = p.tgt WHERE {keep} AND {old} GROUP BY p.src, e.dst)"
         )
         seen.append(hop)
     union = " UNION ALL ".join(f"SELECT src, tgt, {hop} AS min_hops, path FROM {name}{hop}" for hop in range(1, hops + 1))
-    return ", ".join(parts + [f"{name} AS ({union})"])
+    return ", ".join(parts + [f"{name} AS MATERIALIZED ({union})"])
 
 
 _CACHE = _pairs("pc", 5)
@@ -283,13 +283,13 @@ def g13(spark, sf):
 
 
 _IMPACT = """
-    facts AS (
+    facts AS MATERIALIZED (
         SELECT src AS entity, 'downstream' AS direction, tgt AS related, min_hops AS hops, path FROM pc
         WHERE src IN (SELECT id FROM graph_nodes WHERE entity_type = 'column')
         UNION ALL
         SELECT tgt, 'upstream', src, min_hops, path FROM pc
         WHERE tgt IN (SELECT id FROM graph_nodes WHERE entity_type = 'column')),
-    steps AS (
+    steps AS MATERIALIZED (
         SELECT entity, direction, related, string_agg(step, ',' ORDER BY place) AS transformations
         FROM (SELECT entity, direction, related, unnest(path) AS step, generate_subscripts(path, 1) AS place FROM facts)
         WHERE step IN (SELECT id FROM graph_nodes WHERE entity_type = 'transformation') GROUP BY ALL)"""

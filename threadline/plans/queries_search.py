@@ -240,15 +240,15 @@ def r12(spark, sf):
 
 
 _FACTS = """facts AS (
-    SELECT h.query_id, h.rank, 0 AS place, concat_ws(' ', n.entity_type, n.entity_name) AS fact, h.id AS citation FROM hits h JOIN graph_nodes n ON n.id = h.id
+    SELECT h.query_id, h.rank, 0 AS kind, 0 AS hops, '' AS finish, '' AS label, concat_ws(' ', n.entity_type, n.entity_name) AS fact, h.id AS citation
+    FROM hits h JOIN graph_nodes n ON n.id = h.id
     UNION ALL
-    SELECT h.query_id, h.rank, 100 + e.n, concat_ws(' ', e.src, e.relationship, e.dst), h.id FROM hits h JOIN (
-        SELECT src, dst, relationship, row_number() OVER (PARTITION BY src ORDER BY dst, relationship) AS n
-        FROM (SELECT DISTINCT src, dst, relationship FROM graph_edges WHERE relationship <> 'contains')) e ON e.src = h.id AND e.n <= 8
+    SELECT h.query_id, h.rank, 1, 1, e.dst, e.relationship, concat_ws(' ', e.src, e.relationship, e.dst), h.id FROM hits h JOIN (
+        SELECT DISTINCT src, dst, relationship FROM graph_edges WHERE relationship <> 'contains') e ON e.src = h.id
     UNION ALL
-    SELECT h.query_id, h.rank, 1000 + p.n, array_to_string(p.path, ' > ') || ' in ' || p.min_hops || ' hops', h.id FROM hits h JOIN (
-        SELECT *, row_number() OVER (PARTITION BY src ORDER BY min_hops, tgt) AS n FROM pc WHERE min_hops > 1) p ON p.src = h.id AND p.n <= 8)"""
-_CONTEXT = """contexts AS (SELECT query_id, '- ' || string_agg(fact, chr(10) || '- ' ORDER BY rank, place, fact) AS context,
+    SELECT h.query_id, h.rank, 2, p.min_hops, p.tgt, '', array_to_string(p.path, ' > ') || ' in ' || p.min_hops || ' hops', h.id
+    FROM hits h JOIN pc p ON p.src = h.id AND p.min_hops > 1)"""
+_CONTEXT = """contexts AS (SELECT query_id, '- ' || string_agg(fact, chr(10) || '- ' ORDER BY rank, kind, hops, finish, label, fact) AS context,
     array_to_string(list_sort(list_distinct(list(citation))), ',') AS citations FROM facts GROUP BY query_id)"""
 
 

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 def read_notebook_exports(spark: SparkSession, folder: str) -> DataFrame:
     """(path, format, content) of every file below a folder.
 
-    The format follows the extension, and for others whether the text begins like JSON.
+    The format follows the extension, and for others whether the first sign of the text that is no blank begins a JSON object.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    lead = F.ltrim(F.substring(F.col("content"), 1, 64).cast("string"))
+    looks_like_json = F.col("content").cast("string").rlike(r"\A[\x{FEFF}\s]*+\{")
     kind = (
         F.when(F.lower("path").endswith(".ipynb"), "JUPYTER")
         .when(F.lower("path").endswith(".py"), "SOURCE")
-        .when(lead.startswith("{"), "JUPYTER")
+        .when(looks_like_json, "JUPYTER")
         .otherwise("SOURCE")
     )
     return files.select("path", kind.alias("format"), "content")
