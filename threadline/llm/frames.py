@@ -23,14 +23,11 @@ def each_text(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
             yield batch, (value.as_py() for value in batch.column("text"))
 
 
-def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to a new folder in the shared store and read it back, so nothing behind it runs again."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
