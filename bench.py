@@ -21,6 +21,9 @@ HEADLINE = (
     "r4_hybrid_search",
     "w1_latest_by_key",
     "t1_scd1_paths",
+    "e1_answer_lineage",
+    "e2_update_graph",
+    "t6_stream_lineage_updates",
 )
 
 
