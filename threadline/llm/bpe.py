@@ -9,10 +9,9 @@ before needs no second encoding. Texts with unusual white space go to the librar
 from __future__ import annotations
 
 import re
+import struct
 from functools import lru_cache
 
-import numpy as np
-
 _LETTERS, _SMALL = "A-Za-zÀ-ÖØ-öø-ÿ", "a-zß-öø-ÿ"
 _RUN = rf"(?:[{_LETTERS}]+(?=[ \t\n\r!-@\[-`{{-~]|\Z)|[^ \t\n\r]+)"
 WITH_SPACE = re.compile(rf"[ \t\n\r]*{_RUN}|[ \t\n\r]+")
@@ -22,7 +21,7 @@ UNUSUAL_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]
 NOT_LATIN = re.compile("[İɐ-῿⁰-\U0010ffff]")
 
 #: Answers of one generation kept by a Python worker, and the longest chunk kept.
-CACHE_ROWS, CACHE_CHARS = 450_000, 80
+CACHE_ROWS, CACHE_CHARS = 250_000, 80
 
 
 @lru_cache(maxsize=4)
@@ -70,7 +69,7 @@ def _packed(path: str):
             ids = [t.id for t in merge(chunk.encode().decode("latin-1").translate(signs))]
         else:
             ids = encode(chunk, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     return ask
 
@@ -80,6 +79,11 @@ def _packed_answers(path: str) -> Answers:
     return Answers(_packed(path))
 
 
+def forget() -> None:
+    """Give up the answers this worker keeps; later stages reuse its process and need the memory."""
+    _packed_answers.cache_clear()
+
+
 @lru_cache(maxsize=4)
 def drops_space(path: str) -> bool:
     """Whether white space leaves no ids of its own, so that chunks can do without it."""

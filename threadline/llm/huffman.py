@@ -168,6 +168,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 0,
         total += r["n"]
 
     def pack(batches):
+        bpe.forget()
         codes = canonical_codes(lengths)
         rows, ids, part = [], [], None
 
@@ -205,6 +206,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         lengths[r["id"]] = r["bits"]
 
     def unpack(batches):
+        bpe.forget()
         decoder = Decoder(lengths)
         for batch in batches:
             for start, docs, sizes, checkpoints, payload in zip(*(batch.column(c).to_pylist() if c in ("doc_ids", "lengths") else (v.as_py() for v in batch.column(c)) for c in ("start", "doc_ids", "lengths", "checkpoints", "payload")), strict=True):
