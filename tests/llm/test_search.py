@@ -256,3 +256,48 @@ def test_sql_twins(spark, name):
 
     assert duckdb.__version__
     assert difference(spark, SF, QUERIES[name], ORACLES[name], connect(SF))[0] is None
+
+
+def test_crf_finds_secrets_of_several_tokens():
+    crf = pii.train()
+    rng = random.Random(7)
+
+    def of(letters, n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    people = [f"{a} {b}" for a in ("Rosalind", "Tobias", "Priscilla", "Maria", "Edward") for b in ("Thornbury", "Gonzalez", "Whitaker", "Kowalczyk")]
+    places = [f"{n} {s}" for n in (12, 408, 7) for s in ("Elm Street", "Juniper Hollow Road", "Cedar Avenue", "Windmill Lane")]
+    passwords = ["correcthorsebattery", "purplemonkeydishwasher", "swordfishlantern", "quietriverstone", "BlueHarvestMoon"]
+    digits, letters = "0123456789", "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    kinds = {
+        "name": [f"please ask. Contact: {p}, who knows" for p in people],
+        "address": [f"the parcel will ship to {p}. Thanks" for p in places],
+        "password": [f"then login with {c}{p} and go" for p in passwords for c in ("password = ", "passphrase: ", "Password: ")],
+        "grouped": [f"enter license key: {'-'.join(of(letters, 4) for _ in range(4))} to start" for _ in range(40)],
+        "uuid": [f"with api key = \"{'-'.join(of(digits + 'abcdef', n) for n in (8, 4, 4, 4, 12))}\" set" for _ in range(40)],
+    }
+    values = {"name": people, "address": places, "password": [p for p in passwords for _ in range(3)]}
+    recall = {}
+    for kind, texts in kinds.items():
+        wanted = values.get(kind) or [max(re.findall(r"[\w-]+", t), key=len) for t in texts]
+        got = [[t[a:b] for a, k, b in spans if k == 4] for t, (_, spans) in zip(texts, pii._all_spans(crf, texts), strict=True)]
+        recall[kind] = sum([w] == g for w, g in zip(wanted, got, strict=True)) / len(texts)
+    print(recall)
+    assert min(recall.values()) >= 0.8, recall
+    (_, spans), = pii._all_spans(crf, ["Maria Gonzalez, 12 Elm Street"])
+    assert [(a, b) for a, _, b in spans] == [(0, 14), (16, 29)]
+
+
+def test_cutting_the_chain_changes_no_label(monkeypatch):
+    scorer = pii._Scorer(pii.train())
+    texts = ["".join(t) for t, _ in pii.labelled_table()[:150]] + ["", " ", "é"]
+    cut = pii.secrets(scorer, texts)
+    monkeypatch.setattr(pii, "_may_be_inside", lambda step, scores: np.ones(len(scores) - 1, bool))
+    assert pii.secrets(scorer, texts) == cut and any(cut)
+    monkeypatch.setattr(pii, "_SCORED", 7)
+    assert pii.secrets(scorer, texts) == cut
+    table = [t for t, _ in pii.labelled_table()[:20]]
+    for tokens in table:  # the shares of tokens add up to the features' weights
+        ids = np.array([0, 0, 0, *map(scorer.id_of, tokens), 0, 0, 0], np.int32)
+        plain = scorer.crf.emissions([pii._features(tokens[max(0, i - 3) : i], t, tokens[i + 1 : i + 3]) for i, t in enumerate(tokens)])
+        assert np.allclose(scorer.emissions(ids, 3, 3 + len(tokens)), plain)

@@ -1,9 +1,10 @@
 """Personal data: patterns for e-mail, IP, card and phone, and a linear-chain CRF for secrets.
 
 The CRF labels tokens as outside, beginning or inside of a secret from their shapes and their neighbours'
-words. It is trained on the driver from a small labelled table made from sentence patterns. A secret has a
-digit and eight characters at least, so every other token is outside for certain; the chain falls apart at
-those, and Viterbi decodes only the runs between them, many at a time.
+words. It is trained on the driver from a labelled table made from sentence patterns: keys, passwords,
+grouped keys, UUIDs, names and addresses. All tokens of a text are scored. Where the scores rule out every
+label but outside, the chain falls apart, and Viterbi decodes the runs between, many at a time, with the
+result it has on the whole chain.
 """
 
 from __future__ import annotations
@@ -11,7 +12,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -71,67 +74,249 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 # the CRF
 
-_TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
-_CANDIDATE = re.compile(r"(?<![^\W_])(?=[^\W_]{8})[^\W\d_]*+\d[^\W_]*+")
-_BEFORE, _AFTER = 48, 24
+#: A word, a sign or an underscore, with one white space before it where there is one.
+_TOKEN = re.compile(r"\s?(?:[^\W_]+|[^\w\s]|_)")
+#: Tokens known to a worker at once, the characters they may have together, tokens scored at once, and
+#: characters of the texts decoded at once.
+_KNOWN, _KNOWN_CHARS, _SCORED, _TOGETHER = 300_000, 16_000_000, 1 << 17, 1 << 20
+#: Places of the neighbours a token is judged with.
+_PLACES = (-3, -2, -1, 1, 2)
+#: How far back a token may stand once more.
+_SAME = (1, 2)
+
+_GIVEN = frozenset(
+    "james john robert michael william david richard joseph thomas charles daniel matthew anthony mark paul steven andrew kevin brian george "
+    "edward peter henry frank alice mary patricia jennifer linda elizabeth barbara susan jessica sarah karen nancy lisa margaret sandra emily "
+    "emma olivia laura anna maria sofia julia helen ruth diane grace hannah jose juan carlos luis miguel pedro pablo diego javier manuel carmen "
+    "lucia elena isabel rosa ana marta pilar jean pierre jacques michel philippe nicolas antoine claire camille sophie chloe julie isabelle "
+    "hans klaus peter stefan jürgen wolfgang thomas andreas lukas felix max heike sabine ursula petra monika ingrid anja lena katrin marco "
+    "luca giulia francesca giovanni ahmed mohammed ali fatima omar yusuf wei ming li mei hiroshi yuki priya raj amit ivan olga dmitri natasha".split()
+)
+_STREET = frozenset(
+    "street st avenue ave road rd lane ln drive dr boulevard blvd court ct way place square terrace crescent close highway parkway strasse "
+    "straße weg platz allee gasse rue calle avenida plaza via".split()
+)
 
 
 def _shape(token: str) -> str:
     return re.sub(r"(.)\1+", r"\1", "".join("d" if c.isdigit() else "X" if c.isupper() else "x" if c.isalpha() else c for c in token))[:12]
 
 
+def _kind(low: str) -> str:
+    return "given" if low in _GIVEN else "street" if low in _STREET or low.endswith(("strasse", "straße")) else ""
+
+
+def _looks(token: str) -> tuple:
+    """What features but those of the word itself rest on; few tokens look different."""
+    word = token.lstrip()
+    low = word.lower()
+    gap = "glued" if word == token else "line" if token[0] in "\n\r" else "space"
+    hexed = not low.strip("0123456789abcdef")
+    if word.isascii() and word.isalpha() and word == low:
+        letters, turns, shape = len(word), 0, "x"
+    else:
+        letters = sum(c.isalpha() for c in word)
+        turns = sum(a.isdigit() != b.isdigit() for a, b in zip(word, word[1:], strict=False))
+        shape = _shape(word)[:6]
+    sign = word if len(word) == 1 and not word.isalnum() else ""
+    return gap, min(len(word), 40) // 4, hexed and letters > 0, 0 < letters < len(word), min(turns, 8) // 2, letters == 0, shape, _kind(low), sign
+
+
+def _own(looks: tuple) -> list[str]:
+    """Features of a token by its looks."""
+    gap, size, hexed, mixed, turns, digits, shape, kind, _ = looks
+    return [
+        "bias", f"gap={gap}", f"len={size}", f"hex={hexed}", f"mixed={mixed}", f"turns={turns}", f"digits={digits}", f"shape={shape}", f"shape={shape} {gap}",
+        f"kind={kind}", f"kind={kind} {shape}",
+    ]
+
+
+def _near(place: int, looks: tuple) -> list[str]:
+    """Features the looks of a token give to the one that has it at ``place``."""
+    gap, size, _, _, _, _, shape, kind, sign = looks
+    return [f"{place}shape={shape} {min(size, 3)}", f"{place}kind={kind}", *([f"glued={gap == 'glued'} {sign}"] if place == 1 else [])]
+
+
 def _features(before: list[str], token: str, after: list[str]) -> list[str]:
     """Features of one token between its neighbours, nearest last in ``before`` and first in ``after``."""
-    low = token.lower()
-    hexed = all(c in "0123456789abcdef" for c in low)
-    letters = sum(c.isalpha() for c in token)
-    turns = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:], strict=False))
-    out = [
-        "bias", f"len={min(len(token), 40) // 4}", f"hex={hexed and letters > 0}", f"mixed={0 < letters < len(token)}", f"turns={min(turns, 8) // 2}",
-        f"digits={letters == 0}", f"shape={_shape(token)[:6]}",
-    ]
-    for k in (1, 2, 3):
-        out.append(f"-{k}={before[-k].lower() if len(before) >= k else ''}")
-    out.append(f"+1={after[0].lower() if after else ''}")
-    return out
+    out = [*_own(_looks(token)), f"0={token.strip().lower()}"]
+    for place in _PLACES:
+        side, k = (before, place) if place < 0 else (after, place - 1)
+        if -len(side) <= k < len(side):
+            out += [*_near(place, _looks(side[k])), f"{place}={side[k].strip().lower()}"]
+        else:
+            out.append(f"{place}=")
+    return out + [f"same {k}" for k in _SAME if len(before) >= k and before[-k] == token]
+
+
+def _sentences(rng: random.Random):
+    """Endless sentences as parts ``text, is it a secret``, one kind of secret or look-alike after the other."""
+    digits, small = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    alnum = small + small.upper() + digits
+    common = "the of and data server when please use this with for report les und der que la von is was on in to by new from".split()
+    syllables = "ba cor den el fa gri ho in jo ka lor mi nu or pe qui ras so tan ul ve wis xa yor zem ber ston man ley ard ez er son ier au".split()
+    given = sorted(_GIVEN)
+
+    def of(letters, n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    def made(low=2, high=3):
+        return "".join(rng.choice(syllables) for _ in range(rng.randint(low, high)))
+
+    def word():
+        return rng.choice(common) if rng.random() < 0.5 else made(1, 4)
+
+    def prose(low, high):
+        out = ""
+        for k in range(rng.randint(low, high)):
+            w = word()
+            out += (rng.choice((" ", " ", " ", " ", ", ", ". ", "\n", " | ", " - ")) if k else "") + (w.capitalize() if rng.random() < 0.2 or k == 0 and rng.random() < 0.6 else w)
+        return out
 
+    def signed():
+        marks = rng.sample("#*$%&<>|!_=+~-/", rng.randint(1, 5))
+        return " ".join(word() + rng.choice(("", ",", ".")) + rng.choice(marks) * rng.randint(1, 4) for _ in range(rng.randint(3, 8)))
 
-def labelled_table() -> list[tuple[list[str], list[int]]]:
-    """Sentences as tokens with their labels: 0 outside, 1 begins a secret, 2 continues it."""
-    rng = random.Random(11)
-    words = "the of and data server when please use this with for report les und der que la von is was".split()
-    alphabets = ("0123456789abcdef", "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
-    names = "token secret password key api apikey access auth bearer passwd credential".split()
+    def shouted():
+        marks = rng.choice(("", "!", "!!", "!!", "!!!"))
+        return " ".join(word() + rng.choice(("", "", ",", ".")) + marks for _ in range(rng.randint(4, 9))).upper()
+
+    def repeated():
+        one = rng.choice((word(), f"{word()}{rng.choice('.,')}", f"{word()} {word()}"))
+        return " ".join([rng.choice((one, one.capitalize(), one.capitalize(), one.capitalize()))] * rng.randint(4, 20))
 
-    def secret():
+    def key():
         while True:
-            value = "".join(rng.choice(rng_alphabet) for _ in range(rng.choice((16, 20, 24, 32, 40, 40, 64))))
+            value = of(rng.choice((digits + "abcdef", digits + "ABCDEF", alnum)), rng.choice((12, 16, 20, 24, 32, 40, 40, 64)))
             if re.search(r"\d", value) and re.search("[A-Za-z]", value):
                 return value
 
+    def grouped():
+        letters, size = rng.choice((alnum, alnum, digits + small.upper(), digits + small, digits + "abcdef")), rng.choice((4, 4, 5, 5, 6, 8))
+        return rng.choice("----_").join(of(letters, size) for _ in range(rng.randint(3, 6)))
+
+    def uuid():
+        return "-".join(of(digits + "abcdef", n) for n in (8, 4, 4, 4, 12))
+
+    def password():
+        style = rng.randrange(5)
+        if style < 2:
+            return "".join(made(2, 2) for _ in range(rng.randint(2, 5)))
+        if style == 2:
+            return of(small, rng.randint(8, 20))
+        if style == 3:
+            return "".join(made(1, 2).capitalize() for _ in range(rng.randint(2, 3)))
+        return made(2, 3) + rng.choice(("-", "_", "!", "#", "")) + rng.choice((made(1, 2), str(rng.randrange(10, 9999)))) + rng.choice(("", "!"))
+
+    def name():
+        first = rng.choice(given) if rng.random() < 0.6 else made()
+        last = [made(2, 3).capitalize()]
+        if rng.random() < 0.12:
+            last.append("-" + made().capitalize())
+        if rng.random() < 0.08:
+            last[0] = "O'" + last[0]
+        middle = f" {rng.choice(small.upper())}." if rng.random() < 0.12 else f" {rng.choice(given).capitalize()}" if rng.random() < 0.1 else ""
+        return f"{first.capitalize()}{middle} {''.join(last)}"
+
+    def address():
+        number = str(rng.randint(1, 9999)) + (rng.choice("abAB") if rng.random() < 0.1 else "")
+        street = " ".join(made(1, 3).capitalize() for _ in range(rng.choice((1, 1, 1, 2))))
+        style = rng.randrange(8)
+        if style < 5:
+            kind = rng.choice("Street St Avenue Ave Road Rd Lane Ln Drive Boulevard Court Way Place Square Terrace Crescent Close".split())
+            out = f"{number} {street} {kind}"
+        elif style == 5:
+            out = f"{made().capitalize()}{rng.choice(('strasse', 'straße'))} {number}" if rng.random() < 0.6 else f"{made().capitalize()} {rng.choice(('Weg', 'Platz', 'Allee', 'Gasse'))} {number}"
+        elif style == 6:
+            out = f"{number} {rng.choice(('rue', 'Rue', 'avenue'))} {rng.choice(('de', 'de la', 'du', ''))} {street}".replace("  ", " ")
+        else:
+            out = f"{rng.choice(('Calle', 'Avenida', 'Plaza', 'Via'))} {street} {number}"
+        if rng.random() < 0.15:
+            out += f", {rng.choice(('Apt', 'Suite', 'Unit', 'Floor'))} {rng.randint(1, 99)}"
+        if rng.random() < 0.45:
+            city = " ".join(made(2, 3).capitalize() for _ in range(rng.choice((1, 1, 2))))
+            out += rng.choice((f", {city}", f", {city}, {of(small.upper(), 2)} {of(digits, 5)}", f", {of(digits, 5)} {city}", f", {city} {of(digits, 5)}"))
+        return out
+
+    def cased(cue):
+        return rng.choice((cue, cue, cue.upper(), cue.capitalize()))
+
+    def cued(cue, value):
+        sign, quote = rng.choice((" = ", ": ", "=", ":", " : ", " is ", ": ")), rng.choice(('"', "'", "", ""))
+        return [(f"{cased(cue)}{sign}{quote}", False), (value, True), (quote, False)]
+
+    def lookalike():
+        title = " ".join(made(1, 3).capitalize() for _ in range(rng.randint(1, 4)))
+        return rng.choice((
+            lambda: f"{rng.choice(('number', 'id', 'the', 'see', 'card', 'on', '=', ':', 'in', 'paid', 'call'))} {rng.randrange(10**rng.randint(2, 15), 10**16)}",
+            lambda: f"{rng.choice(('number', 'id', 'the', 'see', 'for', 'order'))} " + rng.choice((
+                f"version{rng.randrange(10**4)}", f"Model{rng.randrange(1000, 9999)}X", f"{rng.randrange(1900, 2030)}01{rng.randrange(10, 28)}",
+                f"page{rng.randrange(10**5)}", "internationalisation2", f"mp{rng.randrange(10**6)}player", of("ABCDEFGHJK0123456789", rng.choice((8, 9, 10, 11))))),
+            lambda: f"{rng.randint(1, 31)} {rng.choice('January March April May June July August October'.split())} {rng.randint(1900, 2030)}",
+            lambda: f"{rng.randint(1900, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}, {rng.randint(1, 99)}-{rng.randint(1, 99)}",
+            lambda: f"{rng.choice(('the', 'a', 'in', 'of', 'under', 'by'))} {title}",
+            lambda: f"{rng.choice(('Chapter', 'Section', 'Figure', 'Table', 'Version', 'Page', 'Step'))} {rng.randint(1, 99)} {title}",
+            lambda: f"{rng.randint(2, 999)} {made().capitalize()} {rng.choice(('items', 'people', 'years', 'pages', 'Men', made(), made().capitalize()))}",
+            lambda: f"Licensed under the {title} License, Version {rng.randint(1, 9)}.{rng.randint(0, 9)}",
+            lambda: f"{rng.choice(('Home', 'About', 'Login', 'News'))} | {title} | {rng.choice(('Contact', 'Help', 'Search'))} | {made().capitalize()}",
+            lambda: f"{rng.choice(('the ', '', '. '))}{cased(rng.choice(('st', 'street', 'road', 'way', 'place', 'square', 'drive', 'court', 'name', 'address', 'key', 'token', 'password', 'secret')))}{rng.choice((' ', '. '))}{word()} {word()}",
+            lambda: f"{cased(rng.choice(('password', 'token', 'key', 'secret', 'name', 'address')))} {rng.choice(('reset', 'of', 'is', 'was', 'and', 'for', 'must', 'bar', 'field', 'required', 'changed', 'to'))} {word()}",
+            lambda: f"{cased(rng.choice(('password', 'token', 'name', 'address', 'key', 'contact')))}{rng.choice((':', ' ='))} {rng.choice(('required', 'optional', 'see', 'none', 'the', 'a', 'not', 'yes', 'no', 'string', 'null', 'true'))} {word()}",
+            lambda: f"{made()}-{made()}-{made()} {made()}-{made()}",
+            signed, signed, shouted, shouted, repeated, repeated, repeated, repeated,
+            lambda: f"{rng.choice(('under', 'Licensed under', 'see', 'by'))} {of(small.upper(), 2)} {of(small.upper(), 2)}-{of(small.upper(), 2)} {rng.randint(1, 9)}.{rng.randint(0, 9)}",
+            lambda: f"{rng.choice(('note', 'see', 'example', 'title', 'date', 'summary', 'total', 'time'))}: {rng.choice((title, made(), prose(2, 5), str(rng.randrange(10**6))))}",
+            lambda: rng.choice((of(small, rng.randint(8, 14)), made(4, 5))),
+            lambda: made(1, 2).capitalize() + ". " + prose(1, 6).capitalize() + ". " + made(1, 3).capitalize(),
+        ))()
+
+    people = ("name", "full name", "contact", "customer", "recipient", "patient", "client", "attn", "employee", "owner", "billed to", "signed by", "my name is", "Mr.", "Mrs.", "Ms", "Dr.", "Dear", "Best regards,", "Herr", "Frau", "Monsieur", "Señora")
+    homes = ("address", "home address", "ship to", "lives at", "living at", "deliver to", "located at", "street address", "mail to", "resident of", "Adresse", "dirección", "adresse", "moved to")
+    while True:
+        for kind in ("key", "key", "key", *["password"] * 8, "grouped", "grouped", "uuid", "uuid", "name", "name", "address", "address", "both", *["none"] * 14):
+            lead, tail = prose(0, 5), prose(0, 4)
+            if kind == "key":
+                parts = cued(rng.choice("token secret password key api_key apikey access auth bearer passwd credential".split() + ["api key", "access token", "secret key"]), key())
+            elif kind == "password":
+                parts = cued(rng.choice(("password", "password", "passwd", "pwd", "passphrase", "passphrase", "secret", "login password", "Passwort", "contraseña", "pass")), password())
+            elif kind == "grouped":
+                parts = cued(rng.choice(("license key", "product key", "serial", "activation code", "key", "api key", "token", "recovery code", "backup code", "secret")), grouped())
+            elif kind == "uuid":
+                parts = cued(rng.choice(("uuid", "token", "session", "session id", "api key", "client secret", "key", "user id", "secret")), uuid())
+            elif kind == "name":
+                cue = rng.choice(people)
+                sign = rng.choice((": ", " = ", " ", " is ", ": ")) if cue.islower() else " "
+                parts = [(f"{cased(cue) if cue.islower() else cue}{sign}", False), (name(), True)] if rng.random() < 0.75 else [("", False), (f"{rng.choice(given).capitalize()} {made(2, 3).capitalize()}", True)]
+            elif kind == "address":
+                cue = f"{cased(rng.choice(homes))}{rng.choice((': ', ' ', ' ', ' is '))}" if rng.random() < 0.7 else ""
+                parts = [(cue, False), (address(), True)]
+            elif kind == "both":
+                cue = f"{rng.choice(people)} " if rng.random() < 0.5 else ""
+                parts = [(cue, False), (name(), True), (rng.choice((", ", ", ", "\n", " lives at ", ", address: ")), False), (address(), True)]
+            else:
+                parts = [(lookalike() if rng.random() < 0.8 else prose(5, 14), False)]
+            before = (lead + rng.choice((" ", " ", ". ", "\n", ", "))) if lead else ""
+            after = (rng.choice((" ", " ", ". ", ". ", ". ", ", ", "\n", "; ")) + tail) if tail else rng.choice(("", "."))
+            yield [(before, False), *parts, (after, False)]
+
+
+def labelled_table() -> list[tuple[list[str], list[int]]]:
+    """Sentences as tokens with their labels: 0 outside, 1 begins a secret, 2 continues it."""
     rows = []
-    for i in range(420):
-        rng_alphabet = alphabets[i % 3]
-        lead = [rng.choice(words) for _ in range(rng.randrange(0, 6))]
-        tail = [rng.choice(words) for _ in range(rng.randrange(0, 5))]
-        name = rng.choice(names)
-        name = rng.choice((name, name.upper(), name.capitalize()))
-        kind = i % 7
-        if kind < 4:
-            sign, quote = rng.choice("=:"), rng.choice(("\"", "'", ""))
-            marks = [quote] if quote else []
-            tokens = [*lead, name, sign, *marks, secret(), *marks, *tail]
-            at = len(lead) + 2 + len(marks)
-            labels = [1 if k == at else 0 for k in range(len(tokens))]
-        else:  # look-alikes: numbers, cards, versions, product names, plain words
-            other = rng.choice((
-                str(rng.randrange(10**8, 10**15)), f"{rng.randrange(10**15, 10**16)}", f"version{rng.randrange(10**4)}", f"Model{rng.randrange(1000, 9999)}X",
-                f"{rng.randrange(1900, 2030)}01{rng.randrange(10, 28)}", f"page{rng.randrange(10**5)}", "internationalisation2", f"mp{rng.randrange(10**6)}player",
-                "".join(rng.choice("ABCDEFGHJK0123456789") for _ in range(rng.choice((8, 9, 10, 11)))),
-            ))
-            tokens = [*lead, rng.choice(("number", "id", "the", "see", "card", "on", "=", ":", "in")), other, *tail]
-            labels = [0] * len(tokens)
-        rows.append((tokens, labels))
+    for parts in islice(_sentences(random.Random(11)), 2000):
+        text = "".join(p for p, _ in parts)
+        tokens, labels, at, spans = [], [], 0, []
+        for part, secret in parts:
+            if secret:
+                spans.append((at, at + len(part)))
+            at += len(part)
+        for m in _TOKEN.finditer(text):
+            a = m.start() + m.group()[0].isspace()
+            own = next(((x, y) for x, y in spans if x <= a < y), None)
+            tokens.append(m.group())
+            labels.append(0 if own is None else 1 if own[0] == a else 2)
+        if len(tokens) <= 40:  # the longest sets the cost of training
+            rows.append((tokens, labels))
     return rows
 
 
@@ -183,8 +368,9 @@ class Crf:
 def train(rounds: int = 150, decay: float = 1e-3) -> Crf:
     """Weights of largest penalised likelihood, by forward and backward sums over all sentences at once."""
     table = labelled_table()
-    features = [[_features(t[max(0, i - 3) : i], t[i], t[i + 1 : i + 2]) for i in range(len(t))] for t, _ in table]
-    index = {f: i for i, f in enumerate(sorted({f for s in features for token in s for f in token}))}
+    features = [[_features(t[max(0, i - 3) : i], t[i], t[i + 1 : i + 3]) for i in range(len(t))] for t, _ in table]
+    often = Counter(f for s in features for token in s for f in token)
+    index = {f: i for i, f in enumerate(sorted(f for f, c in often.items() if c >= 4))}  # rarer ones would be learnt by heart
     n, longest = len(table), max(len(t) for t, _ in table)
     real = np.zeros((n, longest), bool)
     gold = np.zeros((n, longest), np.int64)
@@ -192,7 +378,7 @@ def train(rounds: int = 150, decay: float = 1e-3) -> Crf:
     for i, (tokens, labels) in enumerate(table):
         real[i, : len(tokens)] = True
         gold[i, : len(tokens)] = labels
-        rows += [(i * longest + k, index[f]) for k, fs in enumerate(features[i]) for f in fs]
+        rows += [(i * longest + k, index[f]) for k, fs in enumerate(features[i]) for f in fs if f in index]
     cell, which = np.array(rows).T
     emit, step = np.zeros((len(index), 3)), np.zeros((3, 3))
     moments = [np.zeros_like(emit), np.zeros_like(emit), np.zeros_like(step), np.zeros_like(step)]
@@ -204,9 +390,7 @@ def train(rounds: int = 150, decay: float = 1e-3) -> Crf:
         return np.log(np.exp(x - top).sum(axis=axis)) + top.squeeze(axis)
 
     for r in range(1, rounds + 1):
-        scores = np.zeros((n * longest, 3))
-        np.add.at(scores, cell, emit[which])
-        scores = scores.reshape(n, longest, 3)
+        scores = np.stack([np.bincount(cell, emit[which, y], n * longest) for y in range(3)], axis=1).reshape(n, longest, 3)
         moves = step + ban
         forward, backward = np.zeros_like(scores), np.zeros_like(scores)
         forward[:, 0] = scores[:, 0] + moves[0]
@@ -221,9 +405,7 @@ def train(rounds: int = 150, decay: float = 1e-3) -> Crf:
         slope = -marginal
         i, k = np.nonzero(real)
         slope[i, k, gold[i, k]] += 1
-        grads = np.zeros_like(emit)
-        np.add.at(grads, which, slope.reshape(-1, 3)[cell])
-        grads -= decay * n * emit
+        grads = np.stack([np.bincount(which, slope.reshape(-1, 3)[cell, y], len(index)) for y in range(3)], axis=1) - decay * n * emit
         pair = np.exp(forward[:, :-1, :, None] + moves + (scores + backward)[:, 1:, None, :] - mass[:, None, None, None]) * real[:, 1:, None, None]
         steps = -pair.sum(axis=(0, 1)) - decay * n * step
         np.add.at(steps, (gold[:, :-1][real[:, 1:]], gold[:, 1:][real[:, 1:]]), 1)
@@ -235,51 +417,146 @@ def train(rounds: int = 150, decay: float = 1e-3) -> Crf:
     return Crf(index, emit, step)
 
 
-def candidates(text: str) -> list[tuple[int, int, list[str]]]:
-    """Tokens that may be secrets: start, end and features."""
-    out = []
-    for m in _CANDIDATE.finditer(text):
-        a, b = m.span()
-        before = _TOKEN.findall(text, max(0, a - _BEFORE), a)[-3:]
-        after = _TOKEN.findall(text, b, b + _AFTER)[:1]
-        out.append((a, b, _features(before, m.group()[:256], after)))
+class _Scorer:
+    """Emissions of tokens. Each feature rests on one token, so a token's shares for every place are added up once."""
+
+    def __init__(self, crf: Crf):
+        self.crf = crf
+        self.words = {m.group(2) for m in map(re.compile(r"(-?\d)=(.+)", re.S).fullmatch, crf.index) if m}
+        self._empty()
+
+    def _empty(self):
+        self.ids, self.chars, self.looks = {}, 0, {}
+        self.shares = np.zeros((1024, 1 + len(_PLACES), 3))
+        self.shares[0, 1:] = self._sums([[f"{place}="] for place in _PLACES])  # no token
+
+    def _sums(self, lists: list[list[str]]) -> np.ndarray:
+        index = self.crf.index
+        return np.array([self.crf.emit[[index[f] for f in features if f in index]].sum(axis=0) for features in lists])
+
+    def start(self) -> None:
+        """Forget the tokens if there are too many; ids given out before are void."""
+        if len(self.ids) > _KNOWN or self.chars > _KNOWN_CHARS:
+            self._empty()
+
+    def id_of(self, token: str) -> int:
+        i = self.ids.get(token)
+        if i is None:
+            i = len(self.ids) + 1
+            if i == len(self.shares):
+                self.shares = np.concatenate([self.shares, np.zeros_like(self.shares)])
+            looks = _looks(token)
+            known = self.looks.get(looks)
+            if known is None:
+                known = self.looks[looks] = self._sums([_own(looks), *(_near(place, looks) for place in _PLACES)])
+            self.shares[i] = known
+            word = token.strip().lower()
+            if word in self.words:
+                self.shares[i] += self._sums([[f"{place}={word}"] for place in (0, *_PLACES)])
+            self.ids[token] = i
+            self.chars += len(token)
+        return i
+
+    def emissions(self, ids: np.ndarray, begin: int, end: int) -> np.ndarray:
+        """Of the tokens from ``begin`` to ``end`` of ids that have three zeros at both ends."""
+        out = self.shares[ids[begin:end], 0]
+        for k, place in enumerate(_PLACES, 1):
+            out += self.shares[ids[begin + place : end + place], k]
+        for k in _SAME:
+            if f"same {k}" in self.crf.index:
+                out[ids[begin:end] == ids[begin - k : end - k]] += self.crf.emit[self.crf.index[f"same {k}"]]
+        return out
+
+
+def _tokens(text: str):
+    return _TOKEN.findall(text) if len(text) <= _TOGETHER else (m.group() for m in _TOKEN.finditer(text))
+
+
+def _may_be_inside(step: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Which of all tokens but the last may have another label than 0 on a best path.
+
+    A label is ruled out where putting 0 for it raises every path. If the next label is 2, it becomes 1 then.
+    """
+    after = scores[1:, 2] - scores[1:, 1] + (step[2] - step[1]).max()
+    out = np.zeros(len(scores) - 1, bool)
+    for label in (1, 2):
+        earlier = (step[label - 1 :, label] - step[label - 1 :, 0]).max() if label == 2 else (step[:, 1] - step[:, 0]).max()
+        later = np.maximum((step[label, :2] - step[0, :2]).max(), step[label, 2] - step[0, 1] + after)
+        out |= scores[:-1, label] - scores[:-1, 0] + earlier + later >= -1e-9
     return out
 
 
-def secrets(crf: Crf, found: list[list[tuple[int, int, list[str]]]], values: list[str]) -> list[list[tuple[int, int]]]:
-    """Spans of secrets of several texts, decoded together."""
-    flat = [c for each in found for c in each]
-    if not flat:
-        return [[] for _ in found]
-    lengths, follows = [], []
-    for each, text in zip(found, values, strict=True):
-        for k, (a, *_) in enumerate(each):
-            joined = k > 0 and text[each[k - 1][1] : a].isspace()  # the next token, so the chain goes on
-            follows.append(joined)
-            if joined:
-                lengths[-1] += 1
-            else:
-                lengths.append(1)
-    labels = crf.decode(crf.emissions([c[2] for c in flat]), np.array(lengths))
-    out, at = [], 0
-    for each in found:
-        spans: list[tuple[int, int]] = []
-        for a, b, _ in each:
-            if labels[at] == 1:
-                spans.append((a, b))
-            elif labels[at] == 2 and spans:
-                spans[-1] = (spans[-1][0], b)
-            at += 1
-        out.append(spans)
+def _labels(scorer: _Scorer, values: list[str]):
+    """Numbers of the first tokens of the texts, and the numbers and labels of all tokens that are not outside."""
+    scorer.start()
+    ids, begins, at = [np.zeros(3, np.int32)], [], 3
+    for value in values:
+        begins.append(at)
+        own = np.fromiter(map(scorer.id_of, _tokens(value)), np.int32)
+        ids += [own, np.zeros(3, np.int32)]
+        at += len(own) + 3
+    ids = np.concatenate([*ids, np.zeros(1, np.int32)])
+    places, scores = [], []
+    for begin in range(3, at - 3, _SCORED):
+        end = min(begin + _SCORED, at - 3)
+        some = scorer.emissions(ids, begin, end + 1)  # and the one after
+        live = np.flatnonzero(_may_be_inside(scorer.crf.step, some) & (ids[begin:end] > 0))
+        places.append(live + begin)
+        scores.append(some[live])
+    places = np.concatenate(places) if places else np.empty(0, np.int64)
+    if not len(places):
+        return begins, places, places
+    cuts = np.flatnonzero(np.diff(places) > 1) + 1
+    labels = scorer.crf.decode(np.concatenate(scores), np.diff(np.concatenate([[0], cuts, [len(places)]])))
+    return begins, places[labels > 0], labels[labels > 0]
+
+
+def secrets(scorer: _Scorer, values: list[str]) -> list[list[tuple[int, int]]]:
+    """Spans of secrets of several texts, decoded together over all their tokens."""
+    begins, places, labels = _labels(scorer, values)
+    cuts = np.searchsorted(places, [*begins, np.iinfo(np.int64).max])
+    out = []
+    for value, begin, low, high in zip(values, begins, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        spans: list[list[int]] = []
+        if low < high:
+            wanted = dict(zip((places[low:high] - begin).tolist(), labels[low:high].tolist(), strict=True))
+            last = max(wanted)
+            for k, m in enumerate(islice(_TOKEN.finditer(value), last + 1)):
+                label = wanted.get(k)
+                if label == 1:
+                    spans.append([m.start() + m.group()[0].isspace(), m.end()])
+                elif label == 2:
+                    spans[-1][1] = m.end()
+        out.append([(a, b) for a, b in spans])
     return out
 
 
-def _all_spans(crf: Crf, values: list[str]):
-    """Base spans and all spans of each text; a secret that touches a base span is left out."""
-    for value, hidden in zip(values, secrets(crf, [candidates(v) for v in values], values), strict=True):
-        base = base_spans(value)
-        more = [(a, 4, b) for a, b in hidden if not any(x < b and a < y for x, _, y in base)]
-        yield base, sorted([*base, *more])
+def _outside(a: int, b: int, base: list[tuple[int, int, int]]):
+    """What base spans, sorted by their beginnings, leave of a secret."""
+    for x, _, y in base:
+        if x < b and a < y:
+            if a < x:
+                yield a, x
+            a = max(a, y)
+    if a < b:
+        yield a, b
+
+
+def _all_spans(crf: Crf | _Scorer, values: list[str]):
+    """Base spans and all spans of each text; of a secret that meets base spans, what they leave of it counts."""
+    scorer = crf if isinstance(crf, _Scorer) else _Scorer(crf)
+    at = 0
+    while at < len(values):
+        end, chars = at, 0
+        while end < len(values) and (end == at or chars + len(values[end]) <= _TOGETHER):
+            chars += len(values[end])
+            end += 1
+        some = values[at:end]
+        for value, hidden in zip(some, secrets(scorer, some), strict=True):
+            base = base_spans(value)
+            more = [(x, 4, y) for a, b in hidden for x, y in _outside(a, b, base) if any(c.isalnum() for c in value[x:y])]
+            yield base, sorted([*base, *more])
+        at = end
 
 
 def _joined(spans) -> str:
@@ -294,12 +571,13 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     crf = train()
 
     def find(batches):
+        scorer = _Scorer(crf)
         for batch, values in each_text(batches):
             keys = batch.column("doc_id")
             for at in range(0, batch.num_rows, _AT_ONCE):
                 some = [v for _, v in zip(range(_AT_ONCE), values, strict=False)]
                 rows = []
-                for base, every in _all_spans(crf, some):
+                for base, every in _all_spans(scorer, some):
                     counts = np.bincount([k for _, k, _ in every], minlength=5) if every else np.zeros(5, np.int64)
                     rows.append((*counts.tolist(), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(every)))
                 names = ["n_email", "n_ip", "n_card", "n_phone", "n_secret", "base_sha256", "spans"]
@@ -317,12 +595,13 @@ def redact(docs: DataFrame) -> DataFrame:
     crf = train()
 
     def replace(batches):
+        scorer = _Scorer(crf)
         for batch in batches:
             values = batch.column("text").to_pylist()
             new = []
             for at in range(0, len(values), _AT_ONCE):
                 some = values[at : at + _AT_ONCE]
-                for value, (_, every) in zip(some, _all_spans(crf, [v or "" for v in some]), strict=True):
+                for value, (_, every) in zip(some, _all_spans(scorer, [v or "" for v in some]), strict=True):
                     out, end = [], 0
                     for a, k, b in every:
                         if a >= end:
