@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from threadline.llm import decontaminate, huffman, line_quality, packing, pii, revisits, simhash, substring, token_counts, toxicity
+from threadline.llm import collocations, decontaminate, huffman, line_quality, packing, pii, revisits, simhash, substring, token_counts, toxicity
 from threadline.llm.frames import table
 
 QUERIES, ORACLES = {}, {}
@@ -69,3 +69,11 @@ def op9_simhash_near_dedup(spark, sf_dir):
 @query
 def op10_nearest_toxic_examples(spark, sf_dir):
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_phrase_collocations"] = collocations.ORACLE
