@@ -4,7 +4,21 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from threadline.llm import collocations, decontaminate, huffman, line_quality, packing, pii, revisits, simhash, substring, token_counts, toxicity
+from threadline.llm import (
+    collocations,
+    decontaminate,
+    huffman,
+    line_quality,
+    mixing,
+    packing,
+    pii,
+    revisits,
+    simhash,
+    substring,
+    token_counts,
+    toxicity,
+    whitening,
+)
 from threadline.llm.frames import table
 
 QUERIES, ORACLES = {}, {}
@@ -77,3 +91,16 @@ def op11_phrase_collocations(spark, sf_dir):
 
 
 ORACLES["op11_phrase_collocations"] = collocations.ORACLE
+
+
+@query
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_source_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_source_mixing"] = mixing.ORACLE
