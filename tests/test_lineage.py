@@ -1,7 +1,10 @@
 """Extraction rules on small inputs."""
 
+import time
+
 from pyspark.sql import functions as F
 
+from threadline.functions import sql_text
 from threadline.operators import cells, python_lineage, sql_lineage
 
 
@@ -98,7 +101,7 @@ def test_nested_sql(spark):
     assert other.sources.tables == ["a", "db.k"] and other.sources.table_functions == ["range"]
     assert first.final_select["from"] == ["a"] and first.final_select.order_by == ["s", "g(a,b) desc"]
     columns = sql_lineage.column_lineage(sql_lineage.sql_components(statements(spark, text))).collect()
-    assert {(r.src, r.dst) for r in columns} == {("column:a.s", "column:tgt.s1"), ("column:b.u", "column:tgt.u2")}
+    assert {(r.src, r.dst) for r in columns} == {("column:db.last.s", "column:tgt.s1"), ("column:db.last.u", "column:tgt.u2")}
 
 
 def test_false_froms_and_merge(spark):
@@ -116,6 +119,91 @@ def test_false_froms_and_merge(spark):
     assert sql_lineage.sql_errors(bad).count() == 1
 
 
+def components(spark, *texts):
+    return sql_lineage.sql_components(statements(spark, *texts))
+
+
+def edges_of(spark, *texts):
+    rows = sql_lineage.sql_lineage(components(spark, *texts)).collect()
+    return {(r.src, r.dst) for r in rows if r.kind == "relationship"}, {r.id for r in rows if r.kind == "entity"}
+
+
+def test_names_and_targets(spark):
+    assert edges_of(spark, "INSERT INTO ${cat}.db.t SELECT * FROM ${cat}.db.a JOIN {{ ref('b') }}.c ON 1 = 1")[0] == {
+        ("table:${cat}.db.a", "table:${cat}.db.t"), ("table:{{ ref('b') }}.c", "table:${cat}.db.t"),
+    }
+    assert edges_of(spark, "CREATE TABLE ventas_año AS SELECT país FROM `región`.tabla") == (
+        {("table:región.tabla", "table:ventas_año")}, {"table:ventas_año", "table:región.tabla"},
+    )
+    assert edges_of(spark, "SELECT 'INSERT INTO foo x' AS s FROM a") == (set(), {"table:a"})
+    assert edges_of(spark, "INSERT OVERWRITE LOCAL DIRECTORY '/x' USING parquet SELECT a FROM t")[0] == {("table:t", "path:/x")}
+    assert edges_of(spark, "SELECT * FROM (a JOIN (b JOIN c ON 1 = 1) ON a.x = b.x)")[1] == {f"table:{n}" for n in "abc"}
+    assert edges_of(spark, "UPDATE t SET x = 1 WHERE y IN (SELECT z FROM u)")[1] == {"table:t", "table:u"}
+    assert edges_of(spark, "FROM a INSERT OVERWRITE TABLE b SELECT x")[0] == {("table:a", "table:b")}
+
+
+def test_ctes_are_told_once(spark):
+    text = "WITH o AS (WITH i AS (SELECT a FROM db.deep) SELECT a FROM i) INSERT INTO t SELECT * FROM o"
+    rows = sql_lineage.sql_lineage(components(spark, text)).collect()
+    assert sorted((r.id, r.is_cte) for r in rows if r.kind == "entity" and r.name in "io") == [("table:i", True), ("table:o", True)]
+    assert {("table:db.deep", "table:i"), ("table:i", "table:o"), ("table:o", "table:t")} <= {(r.src, r.dst) for r in rows if r.kind == "relationship"}
+
+
+def test_window_flag(spark):
+    texts = ("SELECT over x FROM a", "SELECT sum(x) OVER (ORDER BY y) FROM a", "SELECT first(x) IGNORE NULLS over w FROM a WINDOW w AS (ORDER BY y)", "SELECT f(x) over FROM a")
+    flags = {r.cell_no: r.has_window for r in sql_lineage.feature_flags(statements(spark, *texts)).collect()}
+    assert flags == {0: False, 1: True, 2: True, 3: False}
+
+
+def columns(spark, text):
+    return {(r.src.removeprefix("column:"), r.dst.removeprefix("column:"), r.expression) for r in sql_lineage.column_lineage(components(spark, text)).collect()}
+
+
+def test_columns_through_subqueries_and_ctes(spark):
+    assert columns(spark, "INSERT INTO t SELECT u.x AS y FROM (SELECT a AS x FROM s) u") == {("s.a", "t.y", "u.x")}
+    assert columns(spark, "WITH c AS (SELECT a AS x FROM s) INSERT INTO t SELECT c.x + 1 AS y FROM c") == {("s.a", "t.y", "c.x + 1")}
+    assert columns(spark, "INSERT INTO t WITH c(p, q) AS (SELECT a, b FROM s), d AS (SELECT * FROM c) SELECT d.*, q AS r FROM d") == {
+        ("s.a", "t.p", "a"), ("s.b", "t.q", "b"), ("s.b", "t.r", "q"),
+    }
+
+
+def test_columns_through_unions_and_stars(spark):
+    assert columns(spark, "INSERT INTO t SELECT a, b m FROM s UNION ALL (SELECT c, 'x, y' || d FROM r ORDER BY c)") == {
+        ("s.a", "t.a", "a"), ("s.b", "t.m", "b"), ("r.c", "t.a", "c"), ("r.d", "t.m", "'x, y' || d"),
+    }
+    assert columns(spark, "INSERT INTO t SELECT k.v FROM (SELECT * FROM (SELECT * FROM s) i) k") == {("s.v", "t.v", "k.v")}
+    assert columns(spark, "INSERT INTO t SELECT k.v, k.w FROM (SELECT * EXCEPT (w) FROM s) k") == {("s.v", "t.v", "k.v")}
+    assert columns(spark, "INSERT INTO t SELECT * FROM ((SELECT a FROM s) UNION (SELECT b FROM r)) u") == {
+        ("s.a", "t.a", "a"), ("r.b", "t.a", "b"),
+    }
+
+
+def test_columns_of_several_sources(spark):
+    text = "INSERT INTO t SELECT x, a, z, r.n FROM s JOIN (SELECT x FROM q) u ON s.i = u.x"
+    assert columns(spark, text) == {("q.x", "t.x", "x"), ("s.a", "t.a", "a"), ("s.z", "t.z", "z")}
+    assert columns(spark, "INSERT INTO t SELECT x FROM s JOIN r ON s.i = r.i") == set()
+    assert columns(spark, "INSERT INTO t SELECT (SELECT max(v) FROM w) AS m, CAST(p.c AS date) d, extract(year FROM p.e) f, sum(g) OVER (PARTITION BY h ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS k FROM p") == {
+        ("w.v", "t.m", "(SELECT max(v) FROM w)"), ("p.c", "t.d", "CAST(p.c AS date)"), ("p.e", "t.f", "extract(year FROM p.e)"),
+        ("p.g", "t.k", "sum(g) OVER (PARTITION BY h ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)"), ("p.h", "t.k", "sum(g) OVER (PARTITION BY h ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)"),
+    }
+
+
+def test_recursive_query_ends(spark):
+    text = "WITH RECURSIVE r AS (SELECT a, 1 AS n FROM s UNION ALL SELECT r.a, r.n + 1 FROM r) INSERT INTO t SELECT a, n FROM r"
+    assert columns(spark, text) == {("s.a", "t.a", "a")}
+
+
+def test_long_statement_is_split_in_linear_time():
+    seconds = []
+    for n in (4_000, 32_000):
+        text = "SELECT " + ", ".join(f"f(a{i}, 'x{i}') AS b{i}" for i in range(n)) + " FROM t"
+        begun = time.process_time()
+        found, balanced = sql_text.split_statements(text)
+        seconds.append(time.process_time() - begun)
+        assert balanced and len(found) == 1 and len(found[0][1]) == n
+    assert seconds[1] < 24 * max(seconds[0], 0.01)
+
+
 def test_cells(spark):
     source = "# Databricks notebook source\n  x = 1\n# COMMAND ----------   \n%SQL\nselect 1\n# COMMAND ----------\n\n# COMMAND ----------\n  %sql   select 2\n"
     jupyter = '{"cells": [{"cell_type": "markdown", "source": ["# t"]}, {"cell_type": "code", "source": ["%%sql\\n", "select 1"]}, {"cell_type": "raw", "source": "z"}, {"cell_type": "code", "source": []}]}'

@@ -17,16 +17,42 @@ def vectors(spark, n, name, seed):
     return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(made)], f"{name} int, embedding array<float>"), made
 
 
-def test_vector_search_in_blocks_equals_shipped(spark):
+def test_vector_search_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(search, "QUERY_BLOCK", 10)  # three blocks of queries
     nodes, left = vectors(spark, 300, "id", 1)
     queries, right = vectors(spark, 25, "query_id", 2)
-    shipped = search.vector_top_k(nodes, queries, 5)
-    blocked = search.vector_top_k(nodes, queries, 5, shipped=10)
-    want = {(r.query_id, r.rank): r.id for r in shipped.collect()}
-    assert {(r.query_id, r.rank): r.id for r in blocked.collect()} == want
+    want = {(r.query_id, r.rank): r.id for r in search.vector_top_k(nodes, queries, 5).collect()}
     unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
-    best = np.argsort(-(unit(right.astype(float)) @ unit(left.astype(float)).T), axis=1)[:, :5]
-    assert all(want[(q, k + 1)] == best[q, k] for q in range(25) for k in range(5))
+    order = np.argsort(-(unit(right.astype(float)) @ unit(left.astype(float)).T), axis=1)
+    assert all(want[(q, k + 1)] == order[q, k] for q in range(25) for k in range(5)) and len(want) == 125
+    wanted = spark.createDataFrame([(q, int(order[q, k])) for q in range(25) for k in (0, 7, 150, 299)], "query_id int, id int")
+    places = {(r.query_id, r.id): r["rank"] for r in search.vector_ranks(nodes, queries, wanted).collect()}
+    assert places == {(q, order[q, k]): k + 1 for q in range(25) for k in (0, 7, 150, 299)}
+
+
+def test_score_ranks(spark):
+    rng = random.Random(4)
+    rows = [(q, f"d{i}", float(rng.randrange(12))) for q in "ab" for i in range(200)]
+    wanted = [(q, f"d{i}") for q in "ab" for i in (3, 50, 51, 199)] + [("a", "none"), ("c", "d1")]
+    got = search.score_ranks(spark.createDataFrame(rows, "query_id string, id string, score double"), spark.createDataFrame(wanted, "query_id string, id string"))
+    want = {}
+    for q in "ab":
+        order = sorted((r for r in rows if r[0] == q), key=lambda r: (-r[2], r[1]))
+        want |= {(q, r[1]): k + 1 for k, r in enumerate(order)}
+    assert {(r.query_id, r.id): r["rank"] for r in got.collect()} == {k: want[k] for k in wanted if k in want}
+
+
+def test_fusion_equals_whole_lists(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(12)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 6))) for _ in range(600)]
+    made = np.random.default_rng(3).standard_normal((600, 8)).astype("float32")
+    nodes = spark.createDataFrame([(f"n{i:03d}", t, [float(x) for x in v]) for i, (t, v) in enumerate(zip(texts, made, strict=True))], "id string, text string, embedding array<float>")
+    asked = spark.createDataFrame([(f"q{i}", " ".join(rng.sample(words, 2)), [float(x) for x in made[i] + 1]) for i in range(6)], "query_id string, text string, embedding array<float>")
+    for k in (1, 3, 8):
+        whole = search.fuse_ranks(search.vector_top_k(nodes, asked, 600), search.keyword_search(nodes, asked, 600), k=k)
+        found = search.hybrid_search(nodes, asked, k)
+        assert sorted(map(tuple, found.select("query_id", "rank", "id", "score").collect())) == sorted(map(tuple, whole.select("query_id", "rank", "id", "score").collect()))
 
 
 def test_approximate_search_recall(spark):
@@ -106,6 +132,134 @@ def test_reach_walks_and_cache_refresh(spark):
     assert {tuple(r)[:4] for r in refreshed.withColumn("path", F.array_join("path", ">")).collect()} == fresh
 
 
+def plain_paths(edges, hops):
+    """(src, tgt) -> smallest path of the fewest edges, up to ``hops``."""
+    out, best = {}, {}
+    for s, d in edges:
+        if s != d:
+            out.setdefault(s, set()).add(d)
+    for s in out:
+        level = {s: (s,)}
+        seen = {s}
+        for _ in range(hops):
+            step = {}
+            for n, path in level.items():
+                for m in out.get(n, ()):
+                    if m not in seen:
+                        step[m] = min(step.get(m, path + (m,)), path + (m,))
+            seen |= set(step)
+            best |= {(s, t): p for t, p in step.items()}
+            level = step
+    return best
+
+
+def paths_of(rows, *names):
+    return {(r[names[0]], r[names[1]]): tuple(r.path) for r in rows.collect()}
+
+
+def test_cache_repair_equals_a_rebuild(spark):
+    stamp = F.lit("2024-01-01").cast("timestamp")
+    for seed in (1, 2):
+        rng = random.Random(seed)
+        pairs, made = random_edges(spark, 40, 90, seed)
+        changed = set(rng.sample(made, 75)) | {(f"n{rng.randrange(45)}", f"n{rng.randrange(45)}") for _ in range(12)}
+        before = pairs.withColumn("relationship", F.lit("x"))
+        after = spark.createDataFrame(sorted(changed), "src string, dst string").withColumn("relationship", F.lit("x"))
+        old = traverse.path_cache(before, stamp)
+        assert paths_of(old, "src_node_id", "tgt_node_id") == plain_paths(made, 5)
+        new = traverse.refresh_path_cache(old, before, after, stamp)
+        assert paths_of(new, "src_node_id", "tgt_node_id") == plain_paths(changed, 5)
+        assert new.where("min_hops <> size(path) - 1").count() == 0 and new.count() == len(plain_paths(changed, 5))
+
+
+def plain_cycles(edges, hops):
+    out, found = {}, {}
+    for s, d in edges:
+        out.setdefault(s, set()).add(d)
+    for s in out:
+        if s in out[s]:
+            found[s] = (s, s)
+            continue
+        inner = plain_paths(edges, hops - 1)
+        closing = [p + (s,) for (a, t), p in inner.items() if a == s and s in out.get(t, ())]
+        if closing:
+            found[s] = min(closing, key=lambda p: (len(p), p))
+    return found
+
+
+def test_cycles(spark):
+    for seed, n, m in ((3, 30, 45), (4, 14, 40)):
+        pairs, made = random_edges(spark, n, m, seed)
+        got = {r.id: tuple(r.path) for r in traverse.find_cycles(pairs, 4).collect()}
+        assert got == plain_cycles(made, 4)
+
+
+def test_strong_components(spark):
+    ring = [(f"a{i}", f"a{(i + 1) % 9}") for i in range(9)]
+    made = ring + [("a3", "b0"), ("b0", "b1"), ("b1", "b0"), ("b1", "c"), ("c", "d"), ("z", "a0"), ("e", "e")]
+    got = {r.id: r.component for r in traverse.strong_components(spark.createDataFrame(made, "src string, dst string")).collect()}
+    assert got == {f"a{i}": "a8" for i in range(9)} | {"b0": "b1", "b1": "b1"}
+
+
+def test_cycles_of_a_hub_and_its_leaves(spark):
+    leaves = spark.range(5000).select(F.format_string("l%04d", "id").alias("leaf"))
+    pairs = stack(leaves.select(F.lit("hub").alias("src"), F.col("leaf").alias("dst")), leaves.select(F.col("leaf").alias("src"), F.lit("hub").alias("dst")))
+    found = traverse.find_cycles(pairs)
+    assert {(r.length, r.n) for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()} == {(2, 5001)}
+
+
+def test_long_chains(spark):
+    nodes = 201
+    chain = spark.range(nodes - 1).select(F.format_string("n%05d", "id").alias("src"), F.format_string("n%05d", F.col("id") + 1).alias("dst"))
+    one = lambda name: spark.createDataFrame([(name,)], "id string")
+    met = traverse.bfs(chain, one("n00000"), one("n00200"), None).collect()
+    assert [(r.min_hops, len(r.path)) for r in met] == [(200, 201)]
+    assert traverse.shortest_paths(chain, one("n00200")).agg(F.count("*"), F.max("hops")).first()[:] == (201, 200)
+
+
+def test_nearest_targets(spark):
+    pairs, made = random_edges(spark, 40, 70, 9)
+    sources, targets = [f"n{i}" for i in range(0, 40, 3)], [f"n{i}" for i in range(0, 40, 7)]
+    ids = lambda names: spark.createDataFrame([(n,) for n in names], "id string")
+    best = plain_paths(made, 5)
+    want = {}
+    for s in sources:
+        near = {t: best[s, t] for t in targets if (s, t) in best}
+        want |= {(s, t): p for t, p in near.items() if len(p) == min(map(len, near.values()))}
+    assert paths_of(traverse.bfs(pairs, ids(sources), ids(targets)), "src", "tgt") == want
+
+
+def test_descendants_of_deep_trees(spark, monkeypatch):
+    rounds = []
+    kept = traverse.materialize
+    monkeypatch.setattr(traverse, "materialize", lambda df: rounds.append(1) or kept(df))
+    chain = spark.range(10_000).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    start = spark.createDataFrame([(0, 0), (9_000, 9_000)], "root long, node long")
+    found = traverse.descendants(chain, start)
+    assert {(r.root, r.n) for r in found.groupBy("root").agg(F.countDistinct("node").alias("n")).collect()} == {(0, 10_000), (9_000, 1_000)}
+    assert len(rounds) < 30
+
+
+def test_descendants_of_any_graph(spark):
+    pairs, made = random_edges(spark, 30, 34, 6)
+    starts = [("r", "n1"), ("r", "n2"), ("q", "n2"), ("q", "n7"), ("p", "n9")]
+    out = {}
+    for s, d in made:
+        out.setdefault(s, set()).add(d)
+    want = set()
+    for root in "rqp":
+        begin = {n for r, n in starts if r == root}
+        seen, todo = set(begin), list(begin)
+        while todo:
+            for m in out.get(todo.pop(), ()):
+                if m not in seen:
+                    seen.add(m)
+                    todo.append(m)
+        want |= {(root, n) for n in seen - begin}
+    got = traverse.descendants(pairs, spark.createDataFrame(starts, "root string, node string")).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 def test_walk_counts_keep_the_bag(spark):
     edges = spark.createDataFrame([("a", "b", "x"), ("a", "b", "y"), ("b", "c", "x"), ("z", "a", "x")], "src string, dst string, relationship string")
     roots = spark.createDataFrame([("c",)], "root string")

@@ -1,23 +1,27 @@
 """Searching entities: by vector, by keyword, fused, reranked, fuzzy, by prefix; grounding facts.
 
-A query side small enough is shipped to the tasks only after it has been counted;
-a larger one is joined in blocks. Top hits are cut inside each task before they
-are shuffled (group limit of ``row_number``, or in the vector kernel).
+Vectors meet in blocks of bounded size, however many queries there are; the planner
+ships the query blocks where they are small. Top hits are cut inside each task before
+they are shuffled (group limit of ``row_number``, or in the vector kernel).
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadline.functions.text import tokens
 from threadline.functions.vectors import hyperplane_signs
-from threadline.session import materialize, stack
+from threadline.session import materialize, stack, store
 
-SHIPPED_QUERIES = 4096
+#: Vectors a block of nodes or of queries holds; a product of two blocks is what a task has in memory.
+NODE_BLOCK, QUERY_BLOCK = 2048, 1024
 GROUP_ROWS = 50_000
+#: Constant of reciprocal-rank fusion.
+FUSION = 60
 
 
 def top_k_per_query(scored: DataFrame, k: int = 8, query: str = "query_id", score: str = "score", tie: str = "id") -> DataFrame:
@@ -32,9 +36,8 @@ def _unit_rows(vectors) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _best(ids: np.ndarray, vectors, query_ids: np.ndarray, unit_queries: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best ids of one batch for each query, by rounded cosine and then id."""
-    scores = np.round(_unit_rows(vectors) @ unit_queries.T, 6)
+def _best_of(ids: np.ndarray, scores: np.ndarray, query_ids: np.ndarray, k: int) -> pd.DataFrame:
+    """The k best ids of one block for each query, by rounded cosine and then id."""
     parts = []
     for column, query_id in enumerate(query_ids):
         own = scores[:, column]
@@ -56,54 +59,117 @@ def _types(nodes: DataFrame, queries: DataFrame) -> str:
     return f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {nodes.schema['id'].dataType.simpleString()}, score double"
 
 
-def vector_top_k(nodes: DataFrame, queries: DataFrame, k: int = 8, shipped: int = SHIPPED_QUERIES) -> DataFrame:
+def _node_blocks(nodes: DataFrame) -> DataFrame:
+    """``ids, vectors``: up to ``NODE_BLOCK`` nodes a row, their unit vectors as the bytes of one matrix."""
+
+    def pack(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, NODE_BLOCK):
+                part = batch.slice(at, NODE_BLOCK)
+                unit = _unit_rows(part.column("embedding").to_numpy(zero_copy_only=False))
+                ids = part.column("id")
+                block = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([unit.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(block, ["ids", "vectors"])
+
+    return nodes.mapInArrow(pack, f"ids array<{nodes.schema['id'].dataType.simpleString()}>, vectors binary")
+
+
+def _query_blocks(queries: DataFrame, *more: str) -> DataFrame:
+    """``asked``: a list of about ``QUERY_BLOCK`` queries a row; stored, so the planner knows its size."""
+    queries = materialize(queries.select("query_id", "embedding", *more))
+    blocks = max(-(-queries.count() // QUERY_BLOCK), 1)
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    return store(queries.groupBy(block.alias("block")).agg(F.collect_list(F.struct("query_id", "embedding", *more)).alias("asked")).drop("block"), "query-blocks")
+
+
+def _met(nodes: DataFrame, blocks: DataFrame, schema: str, kernel) -> DataFrame:
+    """``kernel(ids, unit vectors, asked, unit queries)`` over every block of nodes and every block of queries."""
+
+    def run(batches):
+        for batch in batches:
+            for ids, vectors, asked in zip(*batch.columns, strict=True):
+                questions = asked.values
+                unit = _unit_rows(questions.field("embedding").to_numpy(zero_copy_only=False))
+                names = ids.values.to_numpy(zero_copy_only=False)
+                matrix = np.frombuffer(vectors.as_buffer()).reshape(len(names), -1)
+                yield from kernel(names, matrix, questions, unit)
+
+    return _node_blocks(nodes).crossJoin(blocks).mapInArrow(run, schema)
+
+
+def vector_top_k(nodes: DataFrame, queries: DataFrame, k: int = 8) -> DataFrame:
     """(query_id, id, score, rank) by cosine similarity, exact.
 
-    ``nodes`` is (id, embedding), ``queries`` is (query_id, embedding). Up to
-    ``shipped`` query vectors go to every task and the nodes are not shuffled; more
-    are cut into blocks and joined with the nodes block by block.
+    ``nodes`` is (id, embedding), ``queries`` is (query_id, embedding). Nodes are not
+    shuffled: they are packed where they are, and every block of them meets every
+    block of queries in one matrix product, of which each query keeps its k best.
     """
     nodes = nodes.select("id", "embedding").where("embedding IS NOT NULL")
     queries = queries.select("query_id", "embedding").where("embedding IS NOT NULL")
-    few = queries.limit(shipped + 1).toPandas()
-    if few.empty:
-        return nodes.sparkSession.createDataFrame([], _types(nodes, queries) + ", rank int")
-    if len(few) > shipped:
-        return top_k_per_query(_blocked_scores(nodes, queries, k, shipped), k)
-    query_ids, unit = few["query_id"].to_numpy(), _unit_rows(few["embedding"])
-
-    def score(batches):
-        for batch in batches:
-            if len(batch):
-                yield _best(batch["id"].to_numpy(), batch["embedding"], query_ids, unit, k)
 
-    return top_k_per_query(nodes.mapInPandas(score, _types(nodes, queries)), k)
+    def best(ids, matrix, questions, unit):
+        found = _best_of(ids, np.round(matrix @ unit.T, 6), questions.field("query_id").to_numpy(zero_copy_only=False), k)
+        yield pa.RecordBatch.from_pandas(found, preserve_index=False)
+
+    return top_k_per_query(_met(nodes, _query_blocks(queries), _types(nodes, queries), best), k)
+
+
+def vector_ranks(nodes: DataFrame, queries: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(query_id, id, rank): places of some nodes among all, by ``vector_top_k``'s order.
+
+    ``wanted`` is (query_id, id), of a bounded number for each query. A block counts
+    for each of them its nodes that come before; the counts are added up.
+    """
+    nodes = nodes.select("id", "embedding").where("embedding IS NOT NULL")
+    queries = queries.select("query_id", "embedding").where("embedding IS NOT NULL")
+    scored = wanted.join(nodes.withColumnRenamed("embedding", "_of"), "id").join(queries, "query_id")
+    score = F.round(F.coalesce(cosine(F.col("_of"), F.col("embedding")), F.lit(0.0)), 6)
+    lists = scored.groupBy("query_id").agg(F.collect_list(F.struct(score.alias("score"), "id")).alias("wanted"))
+
+    def before(ids, matrix, questions, unit):
+        scores = np.round(matrix @ unit.T, 6)
+        places = questions.field("wanted")
+        names, counts = [], []
+        for column in range(len(places)):
+            own, listed = scores[:, column], places[column].values
+            for value, name in zip(listed.field("score").to_numpy(zero_copy_only=False), listed.field("id").to_numpy(zero_copy_only=False), strict=True):
+                counts.append(int(np.count_nonzero(own > value)) + int(np.count_nonzero((own == value) & (ids < name))))
+        sizes = places.value_lengths()
+        rows = pa.array(np.repeat(np.arange(len(places)), sizes.to_numpy(zero_copy_only=False)))
+        names = places.flatten().field("id")
+        yield pa.RecordBatch.from_arrays([questions.field("query_id").take(rows), names, pa.array(counts, pa.int64())], ["query_id", "id", "n"])
+
+    counted = _met(nodes, _query_blocks(queries.join(lists, "query_id"), "wanted"), _types(nodes, queries).replace("score double", "n long"), before)
+    return counted.groupBy("query_id", "id").agg((F.sum("n") + 1).alias("rank"))
+
+
+def score_ranks(scored: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(query_id, id, rank): places of some rows of ``scored`` (query_id, id, score) among all of their query.
+
+    ``wanted`` is (query_id, id), of a bounded number for each query; ids that were not
+    scored have no place. Every scored row counts for the first wanted one that it does
+    not come after, and the counts are added up: no query's rows meet in one task.
+    """
+    order = F.struct((-F.col("score")).alias("score"), F.col("id"))
+    lists = scored.join(wanted, ["query_id", "id"], "left_semi").groupBy("query_id").agg(F.array_sort(F.collect_list(order)).alias("listed"))
+    ahead = F.size(F.filter("listed", lambda w: (w["score"] < -F.col("score")) | ((w["score"] == -F.col("score")) & (w["id"] < F.col("id")))))
+    placed = scored.join(lists, "query_id").select("query_id", F.size("listed").alias("n"), ahead.alias("at")).where("at < n")
+    counted = placed.groupBy("query_id", "at").agg(F.count("*").alias("rows"))
+    upto = counted.withColumn("rank", F.sum("rows").over(Window.partitionBy("query_id").orderBy("at")))
+    spots = lists.select("query_id", F.posexplode("listed").alias("at", "w")).select("query_id", "at", F.col("w.id").alias("id"))
+    return spots.join(upto, ["query_id", "at"]).select("query_id", "id", "rank")
 
 
 def _grouped_scores(nodes: DataFrame, queries: DataFrame, keys: list[str], k: int) -> DataFrame:
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query_id": [], "id": [], "score": []})
-        return _best(left["id"].to_numpy(), left["embedding"], right["query_id"].to_numpy(), _unit_rows(right["embedding"]), k)
+        scores = np.round(_unit_rows(left["embedding"]) @ _unit_rows(right["embedding"]).T, 6)
+        return _best_of(left["id"].to_numpy(), scores, right["query_id"].to_numpy(), k)
 
     return nodes.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(score, _types(nodes, queries))
 
 
-def _blocked_scores(nodes: DataFrame, queries: DataFrame, k: int, block: int) -> DataFrame:
-    """Every node meets every block of queries; both sides of a group have a bounded size."""
-    blocks = -(-queries.count() // block)
-    slices = max(-(-nodes.count() // GROUP_ROWS), 1)
-    placed_nodes = nodes.select(
-        "id", "embedding", F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice"),
-        F.explode(_numbers(blocks)).alias("block"),
-    )
-    placed_queries = queries.select(
-        "query_id", "embedding", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"),
-        F.explode(_numbers(slices)).alias("slice"),
-    )
-    return _grouped_scores(placed_nodes, placed_queries, ["block", "slice"], k)
-
-
 def approx_vector_top_k(
     nodes: DataFrame, queries: DataFrame, k: int = 8, dim: int = 64, tables: int = 12, planes: int = 4, seed: int = 7
 ) -> DataFrame:
@@ -127,7 +193,7 @@ def approx_vector_top_k(
     placed_nodes = nodes.select(
         "id", "embedding", F.explode(buckets("embedding")).alias("bucket"), F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice")
     )
-    query_shares = max(-(-queries.count() // SHIPPED_QUERIES), 1)
+    query_shares = max(-(-queries.count() // QUERY_BLOCK), 1)
     placed_queries = queries.select(
         "query_id", "embedding", F.explode(buckets("embedding")).alias("bucket"),
         F.pmod(F.xxhash64("query_id"), F.lit(query_shares)).alias("share"),
@@ -180,7 +246,7 @@ def edge_text(edges: DataFrame) -> DataFrame:
     return edges.where(F.col("properties")["expression"].isNotNull()).select(key.alias("id"), F.col("properties")["expression"].alias("text"))
 
 
-def fuse_ranks(*rankings: DataFrame, k: int = 8, constant: int = 60) -> DataFrame:
+def fuse_ranks(*rankings: DataFrame, k: int = 8, constant: int = FUSION) -> DataFrame:
     """Reciprocal-rank fusion of ranked lists (query_id, id, rank).
 
     The lists are stacked and summed, which is their full outer join without one.
@@ -190,10 +256,41 @@ def fuse_ranks(*rankings: DataFrame, k: int = 8, constant: int = 60) -> DataFram
     return top_k_per_query(scored, k)
 
 
-def hybrid_search(nodes: DataFrame, queries: DataFrame, k: int = 8, pool: int | None = None) -> DataFrame:
-    """Vector and keyword hits fused; nodes need (id, text, embedding), queries (query_id, text, embedding)."""
-    pool = pool or 4 * k
-    return fuse_ranks(vector_top_k(nodes, queries, pool), keyword_search(nodes, queries, pool), k=k)
+def proof_depth(k: int, lists: int = 2, constant: int = FUSION) -> int:
+    """How deep lists must be read so that no id below that in all of them can enter the fused top k.
+
+    k ids have at least ``1 / (constant + k)``, from one list alone. An id that no list has
+    shown down to this depth has less than ``lists / (constant + depth)``, which is as much.
+    """
+    return lists * (constant + k) - constant
+
+
+def hybrid_search(nodes: DataFrame, queries: DataFrame, k: int = 8, near: DataFrame | None = None, constant: int = FUSION) -> DataFrame:
+    """Whole vector and keyword rankings fused; nodes need (id, text, embedding), queries (query_id, text, embedding).
+
+    A threshold algorithm: both lists are read as deep as the proof needs. An id that is
+    in one of them only may still have a place further down in the other, at most the
+    share of the next place; where that can lift it into the top k, its place among all
+    rows is counted. ``near`` is the vector list down to ``proof_depth(k)``, if there is one.
+    """
+    depth = proof_depth(k, constant=constant)
+    nodes, queries = materialize(nodes.select("id", "text", "embedding")), materialize(queries.select("query_id", "text", "embedding"))
+    near = materialize(vector_top_k(nodes, queries, depth)) if near is None else near
+    scored = materialize(keyword_scores(nodes, queries))
+    words = top_k_per_query(scored, depth)
+    place = lambda rows, own, other: rows.select("query_id", "id", F.col("rank").cast("long").alias(own), F.lit(None).cast("long").alias(other))
+    seen = stack(place(near, "near", "word"), place(words, "word", "near")).groupBy("query_id", "id").agg(F.max("near").alias("near"), F.max("word").alias("word"))
+    share = lambda rank: F.coalesce(1.0 / (constant + rank), F.lit(0.0))
+    known = seen.withColumn("_known", share(F.col("near")) + share(F.col("word")))
+    missing = F.col("near").isNull() | F.col("word").isNull()
+    bar = top_k_per_query(known, k, score="_known").groupBy("query_id").agg(F.when(F.count("*") == k, F.min("_known")).alias("_bar"))
+    may = F.col("_known") + F.when(missing, 1.0 / (constant + depth + 1)).otherwise(0.0)
+    able = materialize(known.join(bar, "query_id").where(F.coalesce(may >= F.col("_bar") - 1e-8, F.lit(True))).drop("_bar", "_known"))
+    far = vector_ranks(nodes, queries, able.where("near IS NULL").select("query_id", "id")).select("query_id", "id", F.col("rank").alias("_near"))
+    low = score_ranks(scored, able.where("word IS NULL").select("query_id", "id")).select("query_id", "id", F.col("rank").alias("_word"))
+    placed = able.join(far, ["query_id", "id"], "left").join(low, ["query_id", "id"], "left")
+    score = F.round(share(F.coalesce("near", "_near")) + share(F.coalesce("word", "_word")), 9)
+    return top_k_per_query(placed.select("query_id", "id", score.alias("score")), k)
 
 
 def filtered_search(nodes: DataFrame, queries: DataFrame, k: int = 8) -> DataFrame:

@@ -214,49 +214,83 @@ def contract(pairs: DataFrame, kept: DataFrame, doublings: int = 3) -> DataFrame
     return stack(edges.where("src_kept AND dst_kept").select("src", "dst"), through).distinct()
 
 
+class _Visited:
+    """Rows met so far, as one table: the latest levels and those before them folded together."""
+
+    def __init__(self, first: DataFrame | None = None, every: int = 8):
+        self.parts, self.every = [] if first is None else [first], every
+
+    def add(self, rows: DataFrame) -> None:
+        self.parts.append(rows)
+        if len(self.parts) > self.every:
+            tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            self.parts = [materialize(stack(*self.parts).repartition(tasks))]
+
+    def new(self, rows: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.join(stack(*self.parts).select(*keys), keys, "left_anti") if self.parts else rows
+
+
 def shortest_pairs(
     pairs: DataFrame,
     sources: DataFrame | None = None,
     hops: int | None = MAX_HOPS,
-    keep_cycles: bool = False,
     with_path: bool = True,
+    until: DataFrame | None = None,
 ) -> DataFrame:
     """(src, tgt, min_hops[, path]) for every pair a walk of at most ``hops`` joins.
 
     Level by level; a pair is kept at the first level it appears on, with the
     smallest path of that level. A path of n hops is the smallest path of n - 1
-    hops plus a node, so one path per pair and level is enough.
+    hops plus a node, so one path per pair and level is enough. A source that has met
+    an id of ``until`` walks no further.
     """
-    out = materialize(pairs.select(F.col("src").alias("node"), F.col("dst").alias("next")))
+    out = materialize(pairs.where("src <> dst").select(F.col("src").alias("node"), F.col("dst").alias("next")))
     begin = sources.select(F.col("id").alias("src")) if sources is not None else out.select(F.col("node").alias("src"))
     frontier = begin.distinct().select("src", F.col("src").alias("node"), F.array("src").alias("path"))
     if not with_path:
         frontier = frontier.drop("path")
-    levels: list[DataFrame] = []
-    hop = 0
+    columns = ["src", "node", "min_hops"] + (["path"] if with_path else [])
+    visited, found, hop = _Visited(), [], 0
     while hops is None or hop < hops:
         hop += 1
-        step = frontier.join(out, "node")
-        columns = ["src", F.col("next").alias("node")]
+        step = frontier.join(out, "node").where(F.col("next") != F.col("src"))
         if with_path:
-            columns.append(F.concat("path", F.array("next")).alias("path"))
-        step = step.select(*columns)
-        if not keep_cycles:
-            step = step.where(F.col("node") != F.col("src"))
-        new = step.groupBy("src", "node").agg(F.min("path").alias("path")) if with_path else step.distinct()
-        for level in levels:
-            new = new.join(level.select("src", "node"), ["src", "node"], "left_anti")
-        new = materialize(new)
-        levels.append(new)
-        frontier = new
-        if (hops is None or hop < hops) and new.isEmpty():
+            step = step.select("src", F.col("next").alias("node"), F.concat("path", F.array("next")).alias("path"))
+            step = step.groupBy("src", "node").agg(F.min("path").alias("path"))
+        else:
+            step = step.select("src", F.col("next").alias("node")).distinct()
+        frontier = materialize(visited.new(step, ["src", "node"]).withColumn("min_hops", F.lit(hop)).select(*columns))
+        if (hops is None or hop < hops) and frontier.isEmpty():
+            break
+        visited.add(frontier.select("src", "node"))
+        found.append(frontier)
+        if until is not None:
+            met = frontier.join(until.select(F.col("id").alias("node")), "node", "left_semi").select("src").distinct()
+            frontier = frontier.join(met, "src", "left_anti")
+    empty = frontier if not found else stack(*found)
+    return empty.withColumnRenamed("node", "tgt")
+
+
+def distances(pairs: DataFrame, starts: DataFrame, hops: int | None = None, stride: int = 8) -> DataFrame:
+    """(root, node, hops): fewest edges from a root's start nodes, which themselves have 0.
+
+    ``starts`` is (root, node). Each round walks ``stride`` edges in one plan from the
+    nodes found last, so a chain of n edges takes n / stride rounds.
+    """
+    pairs = materialize(pairs.select("src", "dst").distinct())
+    frontier = materialize(starts.select("root", "node").distinct())
+    visited, found, walked = _Visited(frontier), [frontier.withColumn("hops", F.lit(0))], 0
+    while hops is None or walked < hops:
+        far = stride if hops is None else min(stride, hops - walked)
+        nearest = reach(pairs, frontier, far).groupBy("root", "node").agg(F.min("depth").alias("depth"))
+        new = materialize(visited.new(nearest, ["root", "node"]))
+        found.append(new.select("root", "node", (F.col("depth") + walked).alias("hops")))
+        visited.add(new.select("root", "node"))
+        frontier = new.where(F.col("depth") == far).select("root", "node")
+        walked += far
+        if frontier.isEmpty():
             break
-    found = None
-    for number, level in enumerate(levels, 1):
-        part = level.withColumn("min_hops", F.lit(number))
-        found = part if found is None else stack(found, part)
-    columns = ["src", F.col("node").alias("tgt"), "min_hops"] + (["path"] if with_path else [])
-    return found.select(*columns)
+    return stack(*found)
 
 
 def path_cache(edges: DataFrame, stamp: Column, hops: int = MAX_HOPS, sources: DataFrame | None = None) -> DataFrame:
@@ -277,47 +311,163 @@ def _as_cache(found: DataFrame, stamp: Column) -> DataFrame:
 def refresh_path_cache(
     cache: DataFrame, old_edges: DataFrame, new_edges: DataFrame, stamp: Column, hops: int = MAX_HOPS
 ) -> DataFrame:
-    """The cache after an edge change, recomputed only where a path can have changed.
+    """The cache after an edge change, with only the pairs repaired that the change affects.
 
-    A path changes only if its source reaches the start of an added or removed edge
-    in at most ``hops - 1`` steps, over old and new edges together.
+    A pair is lost if its stored path uses a removed edge; any other stored path is
+    still the best without the added edges. Level by level, paths that changed go on
+    along every edge, unchanged ones along added edges, and lost pairs are found again
+    from the unchanged pairs that end before their last node. A pair changes where such
+    a path is shorter than what is stored, or as long and smaller.
     """
-    before, after = links(old_edges), links(new_edges)
-    changed = stack(before.join(after, ["src", "dst"], "left_anti"), after.join(before, ["src", "dst"], "left_anti"))
-    ends = materialize(changed.select(F.col("src").alias("node")).distinct())
-    either = stack(before, after).distinct()
-    marked = ends.select(F.lit("changed").alias("root"), "node")
-    impacted = ends.select(F.col("node").alias("id"))
-    if hops > 1:
-        impacted = stack(impacted, reach(reverse(either), marked, hops - 1).select(F.col("node").alias("id")))
-    impacted = materialize(impacted.distinct())
-    kept = cache.join(impacted.select(F.col("id").alias("src_node_id")), "src_node_id", "left_anti")
-    again = _as_cache(shortest_pairs(after, impacted, hops), stamp)
-    return stack(kept, again)
+    before, after = links(old_edges).where("src <> dst"), materialize(links(new_edges).where("src <> dst"))
+    came = materialize(after.join(before, ["src", "dst"], "left_anti").select(F.col("src").alias("node"), F.col("dst").alias("next")))
+    gone = before.join(after, ["src", "dst"], "left_anti")
+    stored = cache.select(F.col("src_node_id").alias("src"), F.col("tgt_node_id").alias("node"), "min_hops", "path")
+    last = F.size("path") - 1
+    steps = F.arrays_zip(F.slice("path", F.lit(1), last).alias("src"), F.slice("path", F.lit(2), last).alias("dst"))
+    walked = stored.select(F.col("src").alias("root"), "node", F.inline(steps)).toDF("root", "node", "src", "dst")
+    lost = materialize(walked.join(gone, ["src", "dst"], "left_semi").select(F.col("root").alias("src"), "node").distinct())
+    kept = stored.join(lost, ["src", "node"], "left_anti")
+    out = after.select(F.col("src").alias("node"), F.col("dst").alias("next"))
+    # the edges that may end a lost pair's new path
+    ends = materialize(lost.withColumnRenamed("node", "next").join(out, "next").select("src", "node", "next"))
+    extended = lambda rows: rows.select("src", F.col("next").alias("node"), F.concat("path", F.array("next")).alias("path"))
+    old = kept.select("src", "node", F.col("min_hops").alias("_hops"), F.col("path").alias("_path"))
+    changed: list[DataFrame] = []
+    for hop in range(1, hops + 1):
+        if hop == 1:
+            candidates = came.select(F.col("node").alias("src"), F.col("next").alias("node"), F.array("node", "next").alias("path"))
+        else:
+            level = kept.where(F.col("min_hops") == hop - 1)
+            candidates = stack(
+                extended(changed[-1].join(out, "node")),
+                extended(level.join(came, "node")),
+                extended(level.join(ends, ["src", "node"])),
+            )
+        best = candidates.where("src <> node").groupBy("src", "node").agg(F.min("path").alias("path"))
+        if changed:
+            best = best.join(stack(*changed).select("src", "node"), ["src", "node"], "left_anti")
+        better = F.col("_hops").isNull() | (F.col("_hops") > hop) | ((F.col("_hops") == hop) & (F.col("path") < F.col("_path")))
+        changed.append(materialize(best.join(old, ["src", "node"], "left").where(better).select("src", "node", F.lit(hop).alias("min_hops"), "path")))
+    repaired = stack(*changed)
+    same = cache.join(
+        stack(lost, repaired.select("src", "node")).select(F.col("src").alias("src_node_id"), F.col("node").alias("tgt_node_id")), ["src_node_id", "tgt_node_id"], "left_anti"
+    )
+    return stack(same, _as_cache(repaired.withColumnRenamed("node", "tgt"), stamp))
 
 
-def bfs(pairs: DataFrame, sources: DataFrame, targets: DataFrame, hops: int = MAX_HOPS) -> DataFrame:
-    """Per source the nearest targets: (src, tgt, min_hops, path)."""
-    found = shortest_pairs(pairs, sources, hops).join(targets.select(F.col("id").alias("tgt")), "tgt", "left_semi")
-    nearest = found.groupBy("src").agg(F.min("min_hops").alias("min_hops"))
-    return found.join(nearest, ["src", "min_hops"]).select("src", "tgt", "min_hops", "path")
+def bfs(pairs: DataFrame, sources: DataFrame, targets: DataFrame, hops: int | None = MAX_HOPS) -> DataFrame:
+    """Per source the nearest targets: (src, tgt, min_hops, path).
+
+    Every node first learns how far the nearest target is, walking back from all of them
+    at once: one row a node, whatever the number of sources. A source then only follows
+    edges that come one nearer. A source that is a target itself looks for another one
+    on its own and stops when it has met it.
+    """
+    wanted = materialize(targets.select("id").distinct())
+    asked = materialize(sources.select("id").distinct())
+    own = shortest_pairs(pairs, asked.join(wanted, "id", "left_semi"), hops, until=wanted).join(wanted.withColumnRenamed("id", "tgt"), "tgt", "left_semi")
+    near = own.groupBy("src").agg(F.min("min_hops").alias("min_hops"))
+    found = own.join(near, ["src", "min_hops"]).select("src", "tgt", "min_hops", "path")
+    back = distances(reverse(pairs), wanted.select(F.lit(0).alias("root"), F.col("id").alias("node")), hops)
+    left = materialize(back.select("node", F.col("hops").alias("left")))
+    nearer = pairs.join(left.withColumnRenamed("node", "src"), "src").join(left.select(F.col("node").alias("dst"), F.col("left").alias("then")), "dst")
+    nearer = nearer.where("left = then + 1").select(F.col("src").alias("node"), F.col("dst").alias("next"), "then").distinct()
+    stay = wanted.select(F.col("id").alias("node"), F.lit(None).cast(wanted.schema["id"].dataType).alias("next"), F.lit(0).alias("then"))
+    ahead = materialize(stack(nearer, stay))
+    begin = materialize(asked.join(wanted, "id", "left_anti").withColumnRenamed("id", "node").join(left, "node"))
+    longest = begin.agg(F.max("left")).first()[0] or 0
+    frontier = begin.select(F.col("node").alias("src"), "node", F.col("left").alias("min_hops"), F.array("node").alias("path"))
+    for hop in range(1, longest + 1):
+        path = F.when(F.col("next").isNull(), F.col("path")).otherwise(F.concat("path", F.array("next")))
+        step = frontier.join(ahead, "node").select("src", F.coalesce("next", "node").alias("node"), "min_hops", path.alias("path"))
+        frontier = step.groupBy("src", "node", "min_hops").agg(F.min("path").alias("path"))
+        if hop % 8 == 0:
+            frontier = materialize(frontier)
+    return stack(found, frontier.where("min_hops > 0").select("src", F.col("node").alias("tgt"), "min_hops", "path"))
 
 
 def shortest_paths(pairs: DataFrame, landmarks: DataFrame, hops: int | None = None) -> DataFrame:
     """(id, landmark, hops): distance from every node to each landmark it reaches, 0 from itself."""
-    found = shortest_pairs(reverse(pairs), landmarks, hops, with_path=False)
-    own = landmarks.select("id", F.col("id").alias("landmark"), F.lit(0).alias("hops"))
-    return stack(found.select(F.col("tgt").alias("id"), F.col("src").alias("landmark"), F.col("min_hops").alias("hops")), own)
+    found = distances(reverse(pairs), landmarks.select(F.col("id").alias("root"), F.col("id").alias("node")), hops)
+    return found.select(F.col("node").alias("id"), F.col("root").alias("landmark"), "hops")
+
+
+def trimmed(pairs: DataFrame, rounds: int | None = None) -> DataFrame:
+    """The edges left when those from nodes without an edge in, or to nodes without one out, are taken away again and again."""
+    left, n, done = materialize(pairs.where("src <> dst").select("src", "dst").distinct()), None, 0
+    while rounds is None or done < rounds:
+        done += 1
+        ends, starts = left.select(F.col("dst").alias("src")).distinct(), left.select(F.col("src").alias("dst")).distinct()
+        left = materialize(left.join(ends, "src", "left_semi").join(starts, "dst", "left_semi").select("src", "dst"))
+        before, n = n, left.count()
+        if n in (0, before):
+            break
+    return left
+
+
+def strong_components(pairs: DataFrame, stride: int = 4) -> DataFrame:
+    """(id, component): nodes that lie on a cycle with another node, and the largest id they share all cycles with.
+
+    Every node takes the largest id that reaches it as its colour. The nodes of a colour
+    that reach the node it is named after are that node's component; they are taken out,
+    what remains is trimmed, and the rest is coloured again.
+    """
+    rest, found = trimmed(pairs), []
+    while not rest.isEmpty():
+        nodes = rest.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+        out = materialize(stack(rest.select(F.col("src").alias("node"), F.col("dst").alias("next")), nodes.select("node", F.col("node").alias("next"))))
+        colours, mark = nodes.withColumn("colour", F.col("node")), None
+        while True:
+            for _ in range(stride):
+                colours = colours.join(out, "node").groupBy(F.col("next").alias("node")).agg(F.max("colour").alias("colour"))
+            colours = materialize(colours)
+            before, mark = mark, colours.agg(F.sum(F.xxhash64("node", "colour").cast("decimal(38,0)"))).first()[0]
+            if mark == before:
+                break
+        named = lambda column, name: colours.select(F.col("node").alias(column), F.col("colour").alias(name))
+        within = rest.join(named("src", "a"), "src").join(named("dst", "b"), "dst").where("a = b").select("src", "dst")
+        roots = colours.where("node = colour").select(F.col("colour").alias("root"), "node")
+        part = materialize(distances(reverse(within), roots).select(F.col("node").alias("id"), F.col("root").alias("component")))
+        found.append(part)
+        gone = part.select(F.col("id"))
+        rest = trimmed(rest.join(gone.withColumnRenamed("id", "src"), "src", "left_anti").join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti"))
+    if not found:
+        return pairs.select(F.col("src").alias("id"), F.col("src").alias("component")).limit(0)
+    whole = stack(*found)
+    several = whole.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
+    return whole.join(several, "component", "left_semi").select("id", "component")
 
 
 def find_cycles(pairs: DataFrame, hops: int = MAX_HOPS) -> DataFrame:
     """(id, length, path): nodes on a cycle of at most ``hops`` edges, a self-loop having length 1.
 
-    The return to the start needs no all-pairs table: edges ending where a path
-    began close it.
+    Only edges within a strong component are walked. Before a level is walked, edges
+    back to the start close the cycles of that length, and a node that has found its
+    cycle walks no further: a hub and its leaves are done after two edges.
     """
-    found = shortest_pairs(pairs, None, hops, keep_cycles=True)
-    return found.where(F.col("src") == F.col("tgt")).select(F.col("src").alias("id"), F.col("min_hops").alias("length"), "path")
+    loops = pairs.where("src = dst").select(F.col("src").alias("id"), F.lit(1).alias("length"), F.array("src", "dst").alias("path")).distinct()
+    component = materialize(strong_components(pairs))
+    named = lambda column, name: component.select(F.col("id").alias(column), F.col("component").alias(name))
+    inside = pairs.where("src <> dst").join(named("src", "a"), "src").join(named("dst", "b"), "dst").where("a = b").select("src", "dst").distinct()
+    inside = materialize(inside)
+    out = inside.select(F.col("src").alias("node"), F.col("dst").alias("next"))
+    back = inside.select(F.col("src").alias("node"), F.col("dst").alias("src"))
+    frontier = inside.join(loops.select(F.col("id").alias("src")), "src", "left_anti").select("src", F.col("dst").alias("node"), F.array("src", "dst").alias("path"))
+    visited, found = _Visited(frontier.select("src", "node")), [loops]
+    for hop in range(2, hops + 1):
+        closed = frontier.join(back, ["src", "node"], "left_semi").groupBy("src").agg(F.min("path").alias("path"))
+        closed = materialize(closed.select(F.col("src").alias("id"), F.lit(hop).alias("length"), F.concat("path", F.array("src")).alias("path")))
+        found.append(closed)
+        if hop == hops:
+            break
+        walking = frontier.join(closed.select(F.col("id").alias("src")), "src", "left_anti")
+        step = walking.join(out, "node").where(F.col("next") != F.col("src")).select("src", F.col("next").alias("node"), F.concat("path", F.array("next")).alias("path"))
+        frontier = materialize(visited.new(step.groupBy("src", "node").agg(F.min("path").alias("path")), ["src", "node"]))
+        if frontier.isEmpty():
+            break
+        visited.add(frontier.select("src", "node"))
+    return stack(*found)
 
 
 def motif(
@@ -351,23 +501,45 @@ def motif(
     return bound
 
 
+def heads(parents: DataFrame, tops: DataFrame) -> DataFrame:
+    """(node, head): the nearest node above each that ``tops`` holds, by doubled pointers.
+
+    ``parents`` is (node, up), one row a node, none for a top. Every round a pointer
+    takes the pointer of the node it points at, so rounds grow with the logarithm of the
+    longest chain. Nodes that no top is above have no row.
+    """
+    ends = tops.select(F.col("node").alias("up"), F.lit(True).alias("ended")).distinct()
+    state = materialize(parents.select("node", "up").join(ends, "up", "left").select("node", "up", F.coalesce("ended", F.lit(False)).alias("ended")))
+    longest, covered = state.count(), 1
+    while covered < longest and not state.where("NOT ended").isEmpty():
+        ahead = state.select(F.col("node").alias("up"), F.col("up").alias("further"), F.col("ended").alias("done"))
+        moved = state.where("NOT ended").join(ahead, "up").select("node", F.col("further").alias("up"), F.col("done").alias("ended"))
+        state = materialize(stack(state.where("ended"), moved))
+        covered *= 2
+    return state.where("ended").select("node", F.col("up").alias("head"))
+
+
 def descendants(pairs: DataFrame, starts: DataFrame, hops: int | None = None) -> DataFrame:
-    """(root, node): everything below each root, each node once; stops when no node is new."""
-    out = pairs.select(F.col("src").alias("node"), F.col("dst").alias("next"))
-    frontier = starts.select("root", "node").distinct()
-    seen = frontier
-    found: DataFrame | None = None
-    hop = 0
-    while hops is None or hop < hops:
-        hop += 1
-        step = frontier.join(out, "node").select("root", F.col("next").alias("node")).distinct()
-        new = materialize(step.join(seen, ["root", "node"], "left_anti"))
-        if new.isEmpty():
-            break
-        found = new if found is None else stack(found, new)
-        seen = stack(seen, new)
-        frontier = new
-    return found if found is not None else frontier.limit(0)
+    """(root, node): everything below each root, each node once, without the start nodes.
+
+    Nodes with one parent hang below a head: a start, or a node with several parents or
+    none. They find it by doubled pointers, and only heads are walked level by level, so a
+    chain or a deep tree takes rounds by the logarithm of its depth.
+    """
+    begin = starts.select("root", "node").distinct()
+    if hops is not None:
+        return distances(pairs, begin, hops).where("hops > 0").select("root", "node")
+    edges = materialize(pairs.where("src <> dst").select(F.col("src").alias("up"), F.col("dst").alias("node")).distinct())
+    single = edges.groupBy("node").agg(F.count("*").alias("n"), F.first("up").alias("up")).where("n = 1").select("node", "up")
+    single = single.join(begin.select("node"), "node", "left_anti")
+    every = stack(edges.select("node"), edges.select(F.col("up").alias("node")), begin.select("node")).distinct()
+    tops = materialize(every.join(single.select("node"), "node", "left_anti"))
+    below = materialize(heads(single, tops))
+    of = stack(below, tops.select("node", F.col("node").alias("head")))
+    between = edges.join(tops, "node", "left_semi").join(of.select(F.col("node").alias("up"), "head"), "up").select(F.col("head").alias("src"), F.col("node").alias("dst"))
+    reached = materialize(distances(between, begin))
+    hanging = reached.select("root", F.col("node").alias("head")).join(below, "head").select("root", "node")
+    return stack(reached.where("hops > 0").select("root", "node"), hanging)
 
 
 def impact_analysis(affected: DataFrame, cache: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def number_sorted_rows(rows: DataFrame, name: str) -> DataFrame:
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     return (
         placed.join(offsets, "_part")
-        .withColumn(name, (F.col("_before") + F.col("_row") + 1).cast("int"))
+        .withColumn(name, F.col("_before") + F.col("_row") + 1)
         .drop("_spot", "_part", "_row", "_before")
     )
 
@@ -43,7 +43,7 @@ def number_sorted_rows(rows: DataFrame, name: str) -> DataFrame:
 def assign_batches(rows: DataFrame, order: str, size: int = 20) -> DataFrame:
     """Batch number 0.. of ``size`` consecutive rows in the given order."""
     numbered = number_sorted_rows(rows.orderBy(order), "_position")
-    return numbered.withColumn("batch", F.floor((F.col("_position") - 1) / size).cast("int")).drop("_position")
+    return numbered.withColumn("batch", F.expr(f"(_position - 1) div {int(size)}")).drop("_position")
 
 
 def number_versions(history: DataFrame, key: str, content: str, order: Sequence[str]) -> DataFrame:

@@ -46,8 +46,8 @@ def answer_lineage(
     """
     active = nodes.where("is_active")
     questions, active = materialize(questions), materialize(active)
-    vector_hits = materialize(search.vector_top_k(active, questions, 4 * k))
-    hits = materialize(search.fuse_ranks(vector_hits, search.keyword_search(active, questions, 4 * k), k=k))
+    vector_hits = materialize(search.vector_top_k(active, questions, search.proof_depth(k)))
+    hits = materialize(search.hybrid_search(active, questions, k, near=vector_hits))
     context = search.grounded_context(hits, nodes, edges, cache)
     evidence = search.insufficient_evidence(questions, vector_hits, threshold)
     answers = evidence.join(context, "query_id", "left").select("query_id", "insufficient", "context", "citations")

@@ -84,6 +84,18 @@ _CELL_TEMPLATES = {
         " || ' AS s WHERE s.a > 1 AND s.c <> ' || chr(39) || 'FROM x; y' || chr(39) || ' GROUP BY s.a ORDER BY a1 DESC -- FROM nowhere'",
     15: "'%sql' || chr(10) || 'SELECT row_number() OVER (PARTITION BY x ORDER BY y) AS rn, avg(v1.z) AS az FROM db.v v1 LEFT JOIN db.w_' || k % 3 || ' w ON v1.id = w.id"
         " WHERE EXTRACT(year FROM v1.d) = 2024 ORDER BY rn'",
+    16: "'%sql' || chr(10) || 'INSERT INTO $' || '{cat}.db.p_' || k % 5 || ' SELECT * FROM $' || '{cat}.db.q'",
+    17: "'%sql' || chr(10) || 'CREATE TABLE db.ventas_año_' || k % 3 || ' AS SELECT x.país AS p FROM db.región x'",
+    18: "'%sql' || chr(10) || 'SELECT ' || chr(39) || 'INSERT INTO foo x' || chr(39) || ' AS s FROM db.lit_' || k % 3",
+    19: "'%sql' || chr(10) || 'INSERT OVERWRITE DIRECTORY ' || chr(39) || '/out/' || k % 4 || chr(39) || ' SELECT d.a FROM db.dir d'",
+    20: "'%sql' || chr(10) || 'CREATE OR REPLACE VIEW db.pj_' || k % 4 || ' AS SELECT l.a AS a FROM (db.pa l JOIN db.pb r ON l.id = r.id)'",
+    21: "'%sql' || chr(10) || 'UPDATE db.up_' || k % 3 || ' SET x = 1 WHERE y = ' || chr(39) || 'FROM z' || chr(39)",
+    22: "'%sql' || chr(10) || 'CREATE TABLE db.sub_' || k % 4 || ' AS SELECT u.x AS y, u.n FROM (SELECT a AS x, count(b) AS n FROM db.s1 GROUP BY a) u'",
+    23: "'%sql' || chr(10) || 'WITH c AS (SELECT x.a, x.b + 1 AS e FROM db.s2 x), d AS (SELECT * FROM c) INSERT INTO db.cte_' || k % 4"
+        " || ' SELECT d.a AS k1, e FROM d'",
+    24: "'%sql' || chr(10) || 'CREATE TABLE db.un_' || k % 4 || ' AS SELECT a, b AS m FROM db.s3 UNION ALL SELECT c, d FROM db.s4'",
+    25: "'%sql' || chr(10) || 'WITH o AS (WITH i AS (SELECT a FROM db.deep) SELECT a FROM i) SELECT over, t.b FROM db.ov t JOIN o ON 1=1'",
+    26: "'z_' || k || ' = spark.sql(f\"SELECT a FROM {CAT}.db.z_' || k % 5 || '\")'",
 }
 
 _SETUP_CELL = (
@@ -95,7 +107,7 @@ _NOTEBOOK_CELLS = f"""
            CASE t WHEN -1 THEN {_SETUP_CELL}
            {' '.join(f'WHEN {t} THEN {text}' for t, text in _CELL_TEMPLATES.items())} END AS raw
     FROM (SELECT o_custkey, CAST(k AS INT) AS k,
-                 CASE WHEN k = 0 THEN -1 ELSE CAST(o_orderkey % 16 AS INT) END AS t
+                 CASE WHEN k = 0 THEN -1 ELSE CAST(o_orderkey % 27 AS INT) END AS t
           FROM (SELECT o_custkey, o_orderkey,
                        row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS k
                 FROM orders) AS ordered_cells) AS typed_cells"""
@@ -141,7 +153,7 @@ def _with_clause(names: tuple[str, ...]) -> list[str]:
 
 def sql_over(names: str, select: str, *ctes: str) -> str:
     """DuckDB text: the named derived inputs, further CTEs, then the select."""
-    parts = _with_clause(tuple(names.split())) + list(ctes)
+    parts = [part.replace(" AS (", " AS MATERIALIZED (", 1) for part in _with_clause(tuple(names.split()))] + list(ctes)
     return f"WITH RECURSIVE {', '.join(parts)} {select}"
 
 

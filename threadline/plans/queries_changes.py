@@ -25,7 +25,7 @@ def w1(spark, sf):
 
 @query(
     "w2_assign_batches",
-    sql_over("notebook_cells", """SELECT path, CAST(floor((row_number() OVER (ORDER BY path) - 1) / 20) AS INT) AS batch
+    sql_over("notebook_cells", """SELECT path, (row_number() OVER (ORDER BY path) - 1) // 20 AS batch
                                   FROM (SELECT DISTINCT path FROM notebook_cells)"""),
 )
 def w2(spark, sf):

@@ -172,12 +172,12 @@ _LINEAGE_SELECT = """
     sql_over("graph_edges graph_nodes", _LINEAGE_SELECT,
              "flow AS (SELECT DISTINCT CASE WHEN relationship = 'writes_to' THEN dst ELSE src END AS src, "
              "CASE WHEN relationship = 'writes_to' THEN src ELSE dst END AS dst, relationship "
-             "FROM graph_edges WHERE relationship <> 'contains')", _lineage_sql(3)),
+             "FROM graph_edges WHERE relationship <> 'contains')", _lineage_sql(5)),
 )
 def g7(spark, sf):
     nodes = stored.nodes(spark, sf)
     roots = nodes.where(F.col("entity_type") == "table").select(F.col("id").alias("root"))
-    return traverse.lineage(stored.flow_edges(spark, sf), nodes, roots, "both", 3, orientation={"writes_to": "reverse"})
+    return traverse.lineage(stored.flow_edges(spark, sf), nodes, roots, "both", orientation={"writes_to": "reverse"})
 
 
 _CONTRACT = """walk AS (
@@ -193,12 +193,12 @@ _CONTRACT = """walk AS (
              "pairs AS (SELECT DISTINCT src, dst FROM graph_edges WHERE relationship <> 'contains')",
              "kept AS (SELECT id FROM graph_nodes WHERE entity_type <> 'transformation')",
              _CONTRACT.format(flow="pairs"),
-             "flow AS (SELECT src, dst, 'flows_to' AS relationship FROM joined)", _lineage_sql(3)),
+             "flow AS (SELECT src, dst, 'flows_to' AS relationship FROM joined)", _lineage_sql(5)),
 )
 def g7_contracted(spark, sf):
     nodes = stored.nodes(spark, sf)
     roots = nodes.where(F.col("entity_type") == "table").select(F.col("id").alias("root"))
-    return traverse.lineage(stored.flow_edges(spark, sf), nodes, roots, "both", 3, include_transformations=False)
+    return traverse.lineage(stored.flow_edges(spark, sf), nodes, roots, "both", include_transformations=False)
 
 
 @query(
@@ -283,22 +283,26 @@ def g13(spark, sf):
 
 
 _IMPACT = """
+    kinds AS MATERIALIZED (SELECT id, entity_type FROM graph_nodes),
     facts AS MATERIALIZED (
-        SELECT src AS entity, 'downstream' AS direction, tgt AS related, min_hops AS hops, path FROM pc
-        WHERE src IN (SELECT id FROM graph_nodes WHERE entity_type = 'column')
+        SELECT p.src AS entity, 'downstream' AS direction, p.tgt AS related, p.min_hops AS hops, p.path
+        FROM pc p JOIN kinds k ON k.id = p.src AND k.entity_type = 'column'
         UNION ALL
-        SELECT tgt, 'upstream', src, min_hops, path FROM pc
-        WHERE tgt IN (SELECT id FROM graph_nodes WHERE entity_type = 'column')),
+        SELECT p.tgt, 'upstream', p.src, p.min_hops, p.path FROM pc p JOIN kinds k ON k.id = p.tgt AND k.entity_type = 'column'),
+    walked AS MATERIALIZED (
+        SELECT entity, direction, related, unnest(path) AS step, generate_subscripts(path, 1) AS place FROM facts),
     steps AS MATERIALIZED (
-        SELECT entity, direction, related, string_agg(step, ',' ORDER BY place) AS transformations
-        FROM (SELECT entity, direction, related, unnest(path) AS step, generate_subscripts(path, 1) AS place FROM facts)
-        WHERE step IN (SELECT id FROM graph_nodes WHERE entity_type = 'transformation') GROUP BY ALL)"""
+        SELECT w.entity, w.direction, w.related, string_agg(w.step, ',' ORDER BY w.place) AS transformations
+        FROM walked w JOIN kinds k ON k.id = w.step AND k.entity_type = 'transformation' GROUP BY ALL),
+    fed AS MATERIALIZED (SELECT DISTINCT dst AS id FROM flow WHERE src <> dst),
+    feeding AS MATERIALIZED (SELECT DISTINCT src AS id FROM flow WHERE src <> dst)"""
 _IMPACT_SELECT = """
     SELECT f.entity, f.direction, f.related, f.hops, coalesce(s.transformations, '') AS transformations,
-           CASE WHEN f.direction = 'upstream' AND f.related NOT IN (SELECT dst FROM flow WHERE src <> dst) THEN 'origin'
-                WHEN f.direction = 'downstream' AND f.related NOT IN (SELECT src FROM flow WHERE src <> dst) THEN 'destination'
+           CASE WHEN f.direction = 'upstream' AND i.id IS NULL THEN 'origin'
+                WHEN f.direction = 'downstream' AND o.id IS NULL THEN 'destination'
                 WHEN n.entity_type = 'transformation' THEN 'transformation' ELSE 'intermediate' END AS role
-    FROM facts f LEFT JOIN steps s USING (entity, direction, related) LEFT JOIN graph_nodes n ON n.id = f.related"""
+    FROM facts f LEFT JOIN steps s ON s.entity = f.entity AND s.direction = f.direction AND s.related = f.related
+    LEFT JOIN kinds n ON n.id = f.related LEFT JOIN fed i ON i.id = f.related LEFT JOIN feeding o ON o.id = f.related"""
 
 
 @query("g14_impact_analysis", sql_over("graph_edges graph_nodes", _IMPACT_SELECT, _FLOW, _CACHE, _IMPACT))
@@ -408,14 +412,14 @@ def u2(spark, sf):
 @query(
     "o1_order_by_depth",
     sql_over("graph_edges", """
-        SELECT root, node, depth, CAST(row_number() OVER (ORDER BY depth, root, node) AS INT) AS position FROM w""",
+        SELECT root, node, depth, row_number() OVER (ORDER BY depth, root, node) AS position FROM w""",
         "hop AS (SELECT DISTINCT src, dst FROM graph_edges WHERE relationship = 'transforms')",
-        _walks("w", 3, "hop", "SELECT DISTINCT src FROM hop")),
+        _walks("w", 5, "hop", "SELECT DISTINCT src FROM hop")),
 )
 def o1(spark, sf):
     edges = stored.edges(spark, sf)
     roots = edges.where(F.col("relationship") == "transforms").select(F.col("src").alias("root")).distinct()
-    found = traverse.order_by_depth(traverse.downstream(edges, roots, "transforms", 3), "root", "node")
+    found = traverse.order_by_depth(traverse.downstream(edges, roots, "transforms"), "root", "node")
     return numbered(found)
 
 

@@ -207,7 +207,8 @@ def l1j(spark, sf):
 @query(
     "l4_embedded_sql_lineage",
     _over_cells("""SELECT path, 'L4' AS rule, src, 'var:s_' || k AS dst, 'reads_from' AS rel FROM (
-        SELECT *, unnest(['table:db.t_' || k % 50, 'table:db.u_' || k % 7]) AS src FROM cells WHERE t = 11)"""),
+        SELECT *, unnest(['table:db.t_' || k % 50, 'table:db.u_' || k % 7]) AS src FROM cells WHERE t = 11)
+        UNION ALL SELECT path, 'L4', 'table:${CAT}.db.z_' || k % 5, 'var:z_' || k, 'reads_from' FROM cells WHERE t = 26"""),
 )
 def l4(spark, sf):
     return sql_lineage.embedded_sql_lineage(_python_rows(spark, sf))
@@ -235,7 +236,17 @@ _SQL_EXPECTED = """sql_expected AS (
     UNION ALL SELECT path, cell_no, 'L2b', 'table:db.v', 'table:c_' || k FROM cells WHERE t = 5
     UNION ALL SELECT path, cell_no, 'L2b', 'table:c_' || k, 'table:d_' || k FROM cells WHERE t = 5
     UNION ALL SELECT path, cell_no, 'L2c', 'function:range', 'table:c_' || k FROM cells WHERE t = 5
-    UNION ALL SELECT path, cell_no, 'L3', 'table:db.s_' || k % 20, 'table:db.m_' || k % 4 FROM cells WHERE t = 13)"""
+    UNION ALL SELECT path, cell_no, 'L3', 'table:db.s_' || k % 20, 'table:db.m_' || k % 4 FROM cells WHERE t = 13
+    UNION ALL SELECT path, cell_no, 'L2a', 'table:${cat}.db.q', 'table:${cat}.db.p_' || k % 5 FROM cells WHERE t = 16
+    UNION ALL SELECT path, cell_no, 'L2a', 'table:db.región', 'table:db.ventas_año_' || k % 3 FROM cells WHERE t = 17
+    UNION ALL SELECT path, cell_no, 'L2a', 'table:db.dir', 'path:/out/' || k % 4 FROM cells WHERE t = 19
+    UNION ALL SELECT path, cell_no, 'L2a', unnest(['table:db.pa', 'table:db.pb']), 'table:db.pj_' || k % 4 FROM cells WHERE t = 20
+    UNION ALL SELECT path, cell_no, 'L2a', 'table:db.s1', 'table:db.sub_' || k % 4 FROM cells WHERE t = 22
+    UNION ALL SELECT path, cell_no, 'L2a', unnest(['table:c', 'table:d', 'table:db.s2']), 'table:db.cte_' || k % 4 FROM cells WHERE t = 23
+    UNION ALL SELECT path, cell_no, 'L2b', v.src, v.dst FROM cells, (VALUES ('table:db.s2', 'table:c'), ('table:c', 'table:d')) AS v(src, dst) WHERE t = 23
+    UNION ALL SELECT path, cell_no, 'L2a', unnest(['table:db.s3', 'table:db.s4']), 'table:db.un_' || k % 4 FROM cells WHERE t = 24
+    UNION ALL SELECT path, cell_no, 'L2b', v.src, v.dst
+        FROM cells, (VALUES ('table:db.deep', 'table:i'), ('table:db.deep', 'table:o'), ('table:i', 'table:o')) AS v(src, dst) WHERE t = 25)"""
 
 
 def _sql_rows(spark, sf):
@@ -261,7 +272,9 @@ _sql_rule("l3_sql_merge_lineage", "L3")
 @query(
     "l2b_sql_ctes",
     _over_cells("""SELECT path, cell_no, 'c_' || k AS name, 'db.v' AS tables, 'range' AS functions FROM cells WHERE t = 5
-                   UNION ALL SELECT path, cell_no, 'd_' || k, 'c_' || k, '' FROM cells WHERE t = 5"""),
+                   UNION ALL SELECT path, cell_no, 'd_' || k, 'c_' || k, '' FROM cells WHERE t = 5
+                   UNION ALL SELECT path, cell_no, v.*, '' FROM cells, (VALUES ('c', 'db.s2'), ('d', 'c')) AS v(name, tables) WHERE t = 23
+                   UNION ALL SELECT path, cell_no, v.*, '' FROM cells, (VALUES ('i', 'db.deep'), ('o', 'db.deep,i')) AS v(name, tables) WHERE t = 25"""),
 )
 def l2b(spark, sf):
     return _components(spark, sf).select("path", "cell_no", F.inline("ctes")).select(
@@ -302,8 +315,9 @@ def l2g(spark, sf):
 
 @query(
     "l2h_sql_plain_select",
-    _over_cells("""SELECT path, cell_no, unnest(CASE t WHEN 5 THEN ['c_' || k, 'd_' || k, 'db.v'] ELSE ['db.v', 'db.w_' || k % 3] END) AS name
-                   FROM cells WHERE t IN (5, 15)"""),
+    _over_cells("""SELECT path, cell_no, unnest(CASE t WHEN 5 THEN ['db.v'] WHEN 18 THEN ['db.lit_' || k % 3] WHEN 21 THEN ['db.up_' || k % 3]
+                          WHEN 25 THEN ['db.deep', 'db.ov'] ELSE ['db.v', 'db.w_' || k % 3] END) AS name
+                   FROM cells WHERE t IN (5, 15, 18, 21, 25)"""),
 )
 def l2h(spark, sf):
     return _sql_rows(spark, sf).where("rule = 'L2h'").select("path", "cell_no", "name")
@@ -311,8 +325,10 @@ def l2h(spark, sf):
 
 @query(
     "l2i_sql_final_from",
-    _over_cells("""SELECT path, cell_no, CASE t WHEN 5 THEN 'c_' || k WHEN 15 THEN 'db.v' ELSE 'db.t_' || k % 50 END AS tables
-                   FROM cells WHERE t IN (1, 5, 14, 15)"""),
+    _over_cells("""SELECT path, cell_no, CASE t WHEN 5 THEN 'c_' || k WHEN 15 THEN 'db.v' WHEN 16 THEN '${cat}.db.q' WHEN 17 THEN 'db.región'
+                          WHEN 18 THEN 'db.lit_' || k % 3 WHEN 19 THEN 'db.dir' WHEN 20 THEN 'db.pa' WHEN 21 THEN '' WHEN 22 THEN 'db.s1' WHEN 23 THEN 'd'
+                          WHEN 24 THEN 'db.s3' WHEN 25 THEN 'db.ov' ELSE 'db.t_' || k % 50 END AS tables
+                   FROM cells WHERE t IN (1, 5, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24, 25)"""),
 )
 def l2i(spark, sf):
     return _components(spark, sf).where("merge_target IS NULL").select("path", "cell_no", F.array_join("final_select.from", ",").alias("tables"))
@@ -320,8 +336,8 @@ def l2i(spark, sf):
 
 @query(
     "l2j_sql_feature_flags",
-    _over_cells("""SELECT path, cell_no, t IN (1, 5, 15) AS has_join, t = 13 AS has_merge, t = 15 AS has_window
-                   FROM cells WHERE t IN (1, 5, 13, 14, 15)"""),
+    _over_cells("""SELECT path, cell_no, t IN (1, 5, 15, 20, 25) AS has_join, t = 13 AS has_merge, t = 15 AS has_window
+                   FROM cells WHERE t IN (1, 5) OR t BETWEEN 13 AND 25"""),
 )
 def l2j(spark, sf):
     return sql_lineage.feature_flags(_statements(spark, sf)).drop("stmt_no")
@@ -330,7 +346,13 @@ def l2j(spark, sf):
 @query(
     "l7_column_lineage",
     _over_cells("""SELECT path, cell_no, 'column:db.t_' || k % 50 || '.' || c AS src, 'column:db.c_' || k % 6 || '.' || a AS dst, expression
-                   FROM cells, (VALUES ('a', 'a1', 's.a'), ('b', 'b1', 'sum(s.b)')) AS v(c, a, expression) WHERE t = 14"""),
+                   FROM cells, (VALUES ('a', 'a1', 's.a'), ('b', 'b1', 'sum(s.b)')) AS v(c, a, expression) WHERE t = 14
+                   UNION ALL SELECT path, cell_no, 'column:db.' || src, 'column:db.' || dst || '_' || k % n || '.' || a, expression
+                   FROM cells JOIN (VALUES
+                       (17, 3, 'región.país', 'ventas_año', 'p', 'x.país'), (20, 4, 'pa.a', 'pj', 'a', 'l.a'),
+                       (22, 4, 's1.a', 'sub', 'y', 'u.x'), (22, 4, 's1.b', 'sub', 'n', 'u.n'), (23, 4, 's2.a', 'cte', 'k1', 'd.a'), (23, 4, 's2.b', 'cte', 'e', 'e'),
+                       (24, 4, 's3.a', 'un', 'a', 'a'), (24, 4, 's3.b', 'un', 'm', 'b'), (24, 4, 's4.c', 'un', 'a', 'c'), (24, 4, 's4.d', 'un', 'm', 'd')
+                   ) AS v(kind, n, src, dst, a, expression) ON kind = t"""),
 )
 def l7(spark, sf):
     return sql_lineage.column_lineage(_components(spark, sf)).select("path", "cell_no", "src", "dst", "expression")
@@ -339,14 +361,17 @@ def l7(spark, sf):
 @query(
     "a3_collect_sorted_tables",
     _over_cells("""SELECT path, cell_no, CASE t WHEN 1 THEN 'db.t_' || k % 50 || ',db.u_' || k % 7 WHEN 5 THEN 'c_' || k || ',d_' || k || ',db.v'
-                          WHEN 14 THEN 'db.t_' || k % 50 ELSE 'db.v,db.w_' || k % 3 END AS tables FROM cells WHERE t IN (1, 5, 14, 15)"""),
+                          WHEN 14 THEN 'db.t_' || k % 50 WHEN 16 THEN '${cat}.db.q' WHEN 17 THEN 'db.región' WHEN 18 THEN 'db.lit_' || k % 3
+                          WHEN 19 THEN 'db.dir' WHEN 20 THEN 'db.pa,db.pb' WHEN 21 THEN 'db.up_' || k % 3 WHEN 22 THEN 'db.s1' WHEN 23 THEN 'c,d,db.s2'
+                          WHEN 24 THEN 'db.s3,db.s4' WHEN 25 THEN 'db.deep,db.ov,i,o' ELSE 'db.v,db.w_' || k % 3 END AS tables
+                   FROM cells WHERE t IN (1, 5) OR t BETWEEN 14 AND 25"""),
 )
 def a3(spark, sf):
     found = _components(spark, sf).select("path", "cell_no", F.explode("tables").alias("name"))
     return graph.collect_sorted_tables(found, ["path", "cell_no"]).withColumn("tables", F.array_join("tables", ","))
 
 
-_ENTITY_ROWS = f"""entity_rows AS (
+_ENTITY_ROWS = """entity_rows AS (
     SELECT path, cell_no, id, type, is_cte, place FROM (
         SELECT path, cell_no, 'table:c_' || k AS id, 'table' AS type, true AS is_cte, 0 AS place FROM cells WHERE t = 5
         UNION ALL SELECT path, cell_no, 'table:db.v', 'table', false, 1 FROM cells WHERE t IN (5, 15)
@@ -355,7 +380,20 @@ _ENTITY_ROWS = f"""entity_rows AS (
         UNION ALL SELECT path, cell_no, 'table:db.w_' || k % 3, 'table', false, 4 FROM cells WHERE t = 15
         UNION ALL SELECT path, cell_no, unnest(['table:db.t_' || k % 50, 'table:db.u_' || k % 7, 'table:db.s_' || k % 20]), 'table', false, 5 FROM cells WHERE t = 1
         UNION ALL SELECT path, cell_no, unnest(['table:db.s_' || k % 20, 'table:db.m_' || k % 4]), 'table', false, 6 FROM cells WHERE t = 13
-        UNION ALL SELECT path, cell_no, unnest(['table:db.c_' || k % 6, 'table:db.t_' || k % 50]), 'table', false, 7 FROM cells WHERE t = 14))"""
+        UNION ALL SELECT path, cell_no, unnest(['table:db.c_' || k % 6, 'table:db.t_' || k % 50]), 'table', false, 7 FROM cells WHERE t = 14
+        UNION ALL SELECT path, cell_no, unnest(['table:${cat}.db.q', 'table:${cat}.db.p_' || k % 5]), 'table', false, 8 FROM cells WHERE t = 16
+        UNION ALL SELECT path, cell_no, unnest(['table:db.región', 'table:db.ventas_año_' || k % 3]), 'table', false, 9 FROM cells WHERE t = 17
+        UNION ALL SELECT path, cell_no, 'table:db.lit_' || k % 3, 'table', false, 10 FROM cells WHERE t = 18
+        UNION ALL SELECT path, cell_no, 'path:/out/' || k % 4, 'path', false, 11 FROM cells WHERE t = 19
+        UNION ALL SELECT path, cell_no, 'table:db.dir', 'table', false, 12 FROM cells WHERE t = 19
+        UNION ALL SELECT path, cell_no, unnest(['table:db.pa', 'table:db.pb', 'table:db.pj_' || k % 4]), 'table', false, 13 FROM cells WHERE t = 20
+        UNION ALL SELECT path, cell_no, 'table:db.up_' || k % 3, 'table', false, 14 FROM cells WHERE t = 21
+        UNION ALL SELECT path, cell_no, unnest(['table:db.s1', 'table:db.sub_' || k % 4]), 'table', false, 15 FROM cells WHERE t = 22
+        UNION ALL SELECT path, cell_no, unnest(['table:c', 'table:d']), 'table', true, 16 FROM cells WHERE t = 23
+        UNION ALL SELECT path, cell_no, unnest(['table:db.s2', 'table:db.cte_' || k % 4]), 'table', false, 17 FROM cells WHERE t = 23
+        UNION ALL SELECT path, cell_no, unnest(['table:db.s3', 'table:db.s4', 'table:db.un_' || k % 4]), 'table', false, 18 FROM cells WHERE t = 24
+        UNION ALL SELECT path, cell_no, unnest(['table:i', 'table:o']), 'table', true, 19 FROM cells WHERE t = 25
+        UNION ALL SELECT path, cell_no, unnest(['table:db.deep', 'table:db.ov']), 'table', false, 20 FROM cells WHERE t = 25))"""
 
 
 @query(
@@ -369,11 +407,12 @@ def a1(spark, sf):
     return found.select("id", "type", "path", "cell_no", is_cte.alias("is_cte"))
 
 
-_ALL_RELATIONSHIPS = f"""all_relationships AS (
+_ALL_RELATIONSHIPS = """all_relationships AS (
     SELECT src, dst, rel AS type FROM python_expected
     UNION SELECT src, dst, 'reads_from' FROM sql_expected
     UNION SELECT 'table:db.t_' || k % 50, 'var:s_' || k, 'reads_from' FROM cells WHERE t = 11
-    UNION SELECT 'table:db.u_' || k % 7, 'var:s_' || k, 'reads_from' FROM cells WHERE t = 11)"""
+    UNION SELECT 'table:db.u_' || k % 7, 'var:s_' || k, 'reads_from' FROM cells WHERE t = 11
+    UNION SELECT 'table:${CAT}.db.z_' || k % 5, 'var:z_' || k, 'reads_from' FROM cells WHERE t = 26)"""
 
 
 @query("a2_dedupe_relationships", _over_cells("SELECT DISTINCT src, dst, rel AS type FROM python_expected", _python_expected()))

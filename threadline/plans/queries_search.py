@@ -55,6 +55,11 @@ def _top(name: str, scored: str, k: int) -> str:
     return f"""{name} AS (SELECT * FROM (SELECT query_id, id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INT) AS rank FROM {scored}) WHERE rank <= {k})"""
 
 
+def _ranked(name: str, scored: str) -> str:
+    """CTE name: every row of scored with its rank."""
+    return f"{name} AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM {scored})"
+
+
 # Entity text, and one question for every brand and type of part.
 _NODE_TEXT = """node_text AS (
     SELECT id, is_active, concat_ws(chr(10), 'Entity Type: ' || entity_type, 'Entity Name: ' || entity_name,
@@ -64,10 +69,9 @@ _QUESTION_ROWS = "question_rows AS (SELECT query_id AS id, text FROM questions)"
 
 
 def _hybrid_ctes(k: int, nodes: str = "node_text") -> list[str]:
-    pool = 4 * k
     return [
-        hashed("nv", nodes), _QUESTION_ROWS, hashed("qv", "question_rows"), _cosines("vs", "nv", "qv"), _top("vt", "vs", pool),
-        _bm25("kw", nodes, "questions"), _top("kt", "kw", pool),
+        hashed("nv", nodes), _QUESTION_ROWS, hashed("qv", "question_rows"), _cosines("vs", "nv", "qv"), _ranked("vt", "vs"),
+        _bm25("kw", nodes, "questions"), _ranked("kt", "kw"),
         """fused AS (SELECT query_id, id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS score FROM
             (SELECT query_id, id, rank FROM vt UNION ALL SELECT query_id, id, rank FROM kt) GROUP BY ALL)""",
         _top("hits", "fused", k),

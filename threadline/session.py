@@ -77,3 +77,10 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint; keeps the output partitioning."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write to a new shared folder and read it back: like ``materialize``, and the planner knows the size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
