@@ -29,8 +29,3 @@ def hashed_embedding(text: Column, dim: int = 64) -> Column:
         return buckets.map(one)
 
     return normalise(token_buckets(text, dim))
-
-
-def hyperplane_signs(dim: int, planes: int, seed: int) -> np.ndarray:
-    """Random directions, the same for the same arguments."""
-    return np.random.default_rng(seed).standard_normal((planes, dim))

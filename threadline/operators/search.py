@@ -7,6 +7,8 @@ they are shuffled (group limit of ``row_number``, or in the vector kernel).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -14,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadline.functions.text import tokens
-from threadline.functions.vectors import hyperplane_signs
 from threadline.session import materialize, stack, store
 
 #: Vectors a block of nodes or of queries holds; a product of two blocks is what a task has in memory.
@@ -51,8 +52,8 @@ def _best_of(ids: np.ndarray, scores: np.ndarray, query_ids: np.ndarray, k: int)
     return pd.concat(parts, ignore_index=True)
 
 
-def _numbers(count: int) -> Column:
-    return F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))
+def _numbers(count: Column) -> Column:
+    return F.sequence(F.lit(0).cast("long"), count.cast("long") - 1)
 
 
 def _types(nodes: DataFrame, queries: DataFrame) -> str:
@@ -170,37 +171,69 @@ def _grouped_scores(nodes: DataFrame, queries: DataFrame, keys: list[str], k: in
     return nodes.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(score, _types(nodes, queries))
 
 
-def approx_vector_top_k(
-    nodes: DataFrame, queries: DataFrame, k: int = 8, dim: int = 64, tables: int = 12, planes: int = 4, seed: int = 7
-) -> DataFrame:
-    """Like ``vector_top_k`` but only nodes in a query's own hyperplane buckets are scored.
+@dataclass
+class VectorIndex:
+    """Vectors by the nearest of some centres; two stored tables that later batches read."""
+
+    centres: DataFrame  # id, embedding, radius (largest angle to a member), n
+    members: DataFrame  # centre, id, embedding
+
+
+def build_vector_index(nodes: DataFrame, clusters: int = 256) -> VectorIndex:
+    """Index of ``nodes`` (id, embedding). The centres are the vectors whose ids have the smallest MD5, so they are the same each time."""
+    nodes = store(nodes.select("id", "embedding").where("embedding IS NOT NULL"), "vectors")
+    order = [F.md5(F.col("id").cast("string")), F.col("id")]
+    centres = store(nodes.orderBy(*order).limit(clusters), "centres")
+
+    def nearest(ids, matrix, questions, unit):
+        names = questions.field("query_id")
+        turn = np.argsort(names.to_numpy(zero_copy_only=False), kind="stable")
+        scores = np.round(matrix @ unit[turn].T, 6)
+        best = scores.argmax(axis=1)
+        columns = [pa.array(ids), names.take(pa.array(turn[best])), pa.array(scores[np.arange(len(ids)), best])]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "centre", "score"])
+
+    kind = nodes.schema["id"].dataType.simpleString()
+    found = _met(nodes, _query_blocks(centres.withColumnRenamed("id", "query_id")), f"id {kind}, centre {kind}, score double", nearest)
+    closest = found.groupBy("id").agg(F.min(F.struct((-F.col("score")).alias("score"), "centre")).alias("at"))
+    placed = store(closest.select("id", F.col("at.centre").alias("centre"), (-F.col("at.score")).alias("score")), "placed")
+    members = store(nodes.join(placed.select("id", "centre"), "id").select("centre", "id", "embedding"), "members")
+    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("score") - 1e-6)))
+    spread = placed.groupBy("centre").agg(F.max(angle).alias("radius"), F.count("*").alias("n")).withColumnRenamed("centre", "id")
+    return VectorIndex(store(centres.join(spread, "id"), "centres"), members)
 
-    A bucket that holds many nodes is cut into slices of bounded size, which its
-    queries visit all; a group therefore never holds a whole hot bucket.
+
+def indexed_top_k(index: VectorIndex, queries: DataFrame, k: int = 8, probes: int = 16, exact: bool = False) -> DataFrame:
+    """(query_id, id, score, rank) from the ``probes`` clusters whose centres are nearest to each query.
+
+    ``exact`` goes on to every cluster that may still hold a better one: by the triangle
+    inequality no member is nearer than the centre's angle less the cluster's radius. A
+    cluster is cut into slices of bounded size, so a hot one is no single group.
     """
-    nodes = nodes.select("id", "embedding").where("embedding IS NOT NULL")
-    queries = queries.select("query_id", "embedding").where("embedding IS NOT NULL")
-    signs = hyperplane_signs(dim, tables * planes, seed)
-    weights = 2 ** np.arange(planes)
-
-    @F.pandas_udf("array<long>")
-    def buckets(vectors: pd.Series) -> pd.Series:
-        side = (np.array([np.asarray(v, dtype=np.float64) for v in vectors]) @ signs.T > 0).reshape(len(vectors), tables, planes)
-        codes = (side * weights).sum(axis=2) + np.arange(tables) * 2**planes
-        return pd.Series(list(codes))
-
-    slices = max(-(-nodes.count() // GROUP_ROWS), 1)
-    placed_nodes = nodes.select(
-        "id", "embedding", F.explode(buckets("embedding")).alias("bucket"), F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice")
-    )
-    query_shares = max(-(-queries.count() // QUERY_BLOCK), 1)
-    placed_queries = queries.select(
-        "query_id", "embedding", F.explode(buckets("embedding")).alias("bucket"),
-        F.pmod(F.xxhash64("query_id"), F.lit(query_shares)).alias("share"),
-    ).withColumn("slice", F.explode(_numbers(slices)))
-    shared_nodes = placed_nodes.withColumn("share", F.explode(_numbers(query_shares)))
-    found = _grouped_scores(shared_nodes, placed_queries, ["bucket", "slice", "share"], k)
-    return top_k_per_query(found.groupBy("query_id", "id").agg(F.max("score").alias("score")), k)
+    queries = materialize(queries.select("query_id", "embedding").where("embedding IS NOT NULL"))
+    radius = index.centres.select(F.col("id").alias("centre"), "radius", "n")
+    count = index.centres.count() if exact else probes
+    near = vector_top_k(index.centres.select("id", "embedding"), queries, count).withColumnRenamed("id", "centre").join(radius, "centre")
+    near = store(near.withColumn("slices", F.expr(f"(n + {GROUP_ROWS - 1}) div {GROUP_ROWS}")), "near-centres")
+    cut = F.pmod(F.xxhash64("id"), F.expr(f"(n + {GROUP_ROWS - 1}) div {GROUP_ROWS}")).alias("slice")
+    members = index.members.join(radius, "centre").select("centre", "id", "embedding", cut)
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        share = F.pmod(F.xxhash64("query_id"), F.lit(shares)).alias("share")
+        asked = pairs.select("query_id", "centre", F.explode(_numbers(F.col("slices"))).alias("slice"), share).join(queries, "query_id")
+        spread = members.withColumn("share", F.explode(_numbers(F.lit(shares))))
+        return _grouped_scores(spread, asked, ["centre", "slice", "share"], k)
+
+    shares = max(-(-queries.count() // QUERY_BLOCK), 1)
+    found = top_k_per_query(scored(near.where(F.col("rank") <= probes)), k)
+    if not exact:
+        return found
+    found = materialize(found)
+    bar = found.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).alias("bar"))
+    apart = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("score"))))
+    reach = F.cos(F.greatest(F.lit(0.0), apart - F.col("radius")))
+    rest = near.where(F.col("rank") > probes).join(bar, "query_id", "left").where(F.col("bar").isNull() | (reach >= F.col("bar") - 2e-3))
+    return top_k_per_query(stack(found.select("query_id", "id", "score"), scored(rest)), k)
 
 
 def keyword_scores(docs: DataFrame, queries: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:

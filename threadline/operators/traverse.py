@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadline.session import materialize, stack
+from threadline.session import materialize, stack, store
 
 MAX_HOPS = 5
 
@@ -317,20 +317,21 @@ def refresh_path_cache(
     still the best without the added edges. Level by level, paths that changed go on
     along every edge, unchanged ones along added edges, and lost pairs are found again
     from the unchanged pairs that end before their last node. A pair changes where such
-    a path is shorter than what is stored, or as long and smaller.
+    a path is shorter than what is stored, or as long and smaller. What changes is written
+    as tables, whose size the planner knows, so that a small change shuffles no cache.
     """
-    before, after = links(old_edges).where("src <> dst"), materialize(links(new_edges).where("src <> dst"))
-    came = materialize(after.join(before, ["src", "dst"], "left_anti").select(F.col("src").alias("node"), F.col("dst").alias("next")))
-    gone = before.join(after, ["src", "dst"], "left_anti")
+    before, after = links(old_edges).where("src <> dst"), store(links(new_edges).where("src <> dst"), "edges-now")
+    came = store(after.join(before, ["src", "dst"], "left_anti").select(F.col("src").alias("node"), F.col("dst").alias("next")), "edges-added")
+    gone = store(before.join(after, ["src", "dst"], "left_anti"), "edges-removed")
     stored = cache.select(F.col("src_node_id").alias("src"), F.col("tgt_node_id").alias("node"), "min_hops", "path")
     last = F.size("path") - 1
     steps = F.arrays_zip(F.slice("path", F.lit(1), last).alias("src"), F.slice("path", F.lit(2), last).alias("dst"))
     walked = stored.select(F.col("src").alias("root"), "node", F.inline(steps)).toDF("root", "node", "src", "dst")
-    lost = materialize(walked.join(gone, ["src", "dst"], "left_semi").select(F.col("root").alias("src"), "node").distinct())
+    lost = store(walked.join(gone, ["src", "dst"], "left_semi").select(F.col("root").alias("src"), "node").distinct(), "pairs-lost")
     kept = stored.join(lost, ["src", "node"], "left_anti")
     out = after.select(F.col("src").alias("node"), F.col("dst").alias("next"))
     # the edges that may end a lost pair's new path
-    ends = materialize(lost.withColumnRenamed("node", "next").join(out, "next").select("src", "node", "next"))
+    ends = store(lost.withColumnRenamed("node", "next").join(out, "next").select("src", "node", "next"), "pairs-sought")
     extended = lambda rows: rows.select("src", F.col("next").alias("node"), F.concat("path", F.array("next")).alias("path"))
     old = kept.select("src", "node", F.col("min_hops").alias("_hops"), F.col("path").alias("_path"))
     changed: list[DataFrame] = []
@@ -348,7 +349,7 @@ def refresh_path_cache(
         if changed:
             best = best.join(stack(*changed).select("src", "node"), ["src", "node"], "left_anti")
         better = F.col("_hops").isNull() | (F.col("_hops") > hop) | ((F.col("_hops") == hop) & (F.col("path") < F.col("_path")))
-        changed.append(materialize(best.join(old, ["src", "node"], "left").where(better).select("src", "node", F.lit(hop).alias("min_hops"), "path")))
+        changed.append(store(best.join(old, ["src", "node"], "left").where(better).select("src", "node", F.lit(hop).alias("min_hops"), "path"), "pairs-changed"))
     repaired = stack(*changed)
     same = cache.join(
         stack(lost, repaired.select("src", "node")).select(F.col("src").alias("src_node_id"), F.col("node").alias("tgt_node_id")), ["src_node_id", "tgt_node_id"], "left_anti"
@@ -406,7 +407,7 @@ def trimmed(pairs: DataFrame, rounds: int | None = None) -> DataFrame:
     return left
 
 
-def strong_components(pairs: DataFrame, stride: int = 4) -> DataFrame:
+def strong_components(pairs: DataFrame, stride: int = 8) -> DataFrame:
     """(id, component): nodes that lie on a cycle with another node, and the largest id they share all cycles with.
 
     Every node takes the largest id that reaches it as its colour. The nodes of a colour
@@ -439,23 +440,29 @@ def strong_components(pairs: DataFrame, stride: int = 4) -> DataFrame:
     return whole.join(several, "component", "left_semi").select("id", "component")
 
 
-def find_cycles(pairs: DataFrame, hops: int = MAX_HOPS) -> DataFrame:
+def find_cycles(pairs: DataFrame, hops: int | None = MAX_HOPS) -> DataFrame:
     """(id, length, path): nodes on a cycle of at most ``hops`` edges, a self-loop having length 1.
 
-    Only edges within a strong component are walked. Before a level is walked, edges
-    back to the start close the cycles of that length, and a node that has found its
-    cycle walks no further: a hub and its leaves are done after two edges.
+    Only edges with edges before and behind them are walked, and without a limit of hops
+    only those within a strong component, of which every node has a cycle. Before a level
+    is walked, edges back to the start close the cycles of that length, and a node that
+    has found its cycle walks no further: a hub and its leaves are done after two edges.
     """
     loops = pairs.where("src = dst").select(F.col("src").alias("id"), F.lit(1).alias("length"), F.array("src", "dst").alias("path")).distinct()
-    component = materialize(strong_components(pairs))
-    named = lambda column, name: component.select(F.col("id").alias(column), F.col("component").alias(name))
-    inside = pairs.where("src <> dst").join(named("src", "a"), "src").join(named("dst", "b"), "dst").where("a = b").select("src", "dst").distinct()
-    inside = materialize(inside)
+    if hops is None:
+        component = materialize(strong_components(pairs))
+        named = lambda column, name: component.select(F.col("id").alias(column), F.col("component").alias(name))
+        inside = pairs.where("src <> dst").join(named("src", "a"), "src").join(named("dst", "b"), "dst").where("a = b").select("src", "dst").distinct()
+        inside = materialize(inside)
+    else:
+        inside = trimmed(pairs, hops)
     out = inside.select(F.col("src").alias("node"), F.col("dst").alias("next"))
     back = inside.select(F.col("src").alias("node"), F.col("dst").alias("src"))
     frontier = inside.join(loops.select(F.col("id").alias("src")), "src", "left_anti").select("src", F.col("dst").alias("node"), F.array("src", "dst").alias("path"))
     visited, found = _Visited(frontier.select("src", "node")), [loops]
-    for hop in range(2, hops + 1):
+    hop = 1
+    while hops is None or hop < hops:
+        hop += 1
         closed = frontier.join(back, ["src", "node"], "left_semi").groupBy("src").agg(F.min("path").alias("path"))
         closed = materialize(closed.select(F.col("src").alias("id"), F.lit(hop).alias("length"), F.concat("path", F.array("src")).alias("path")))
         found.append(closed)

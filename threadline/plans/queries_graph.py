@@ -233,6 +233,21 @@ def g9(spark, sf):
     return traverse.shortest_paths(traverse.links(stored.edges(spark, sf)), landmarks, 5)
 
 
+@query(
+    "g9_shortest_paths_unbounded",
+    sql_over("graph_edges graph_nodes", "SELECT landmark, id, min(hops) AS hops FROM walk GROUP BY landmark, id",
+             "hop AS MATERIALIZED (SELECT DISTINCT src, dst FROM graph_edges)",
+             """walk(landmark, id, hops) USING KEY (landmark, id) AS (
+                 SELECT id, id, 0 FROM graph_nodes WHERE entity_type = 'function'
+                 UNION
+                 SELECT DISTINCT w.landmark, e.src, w.hops + 1 FROM walk w JOIN hop e ON e.dst = w.id
+                 LEFT JOIN recurring.walk r ON r.landmark = w.landmark AND r.id = e.src WHERE r.id IS NULL)"""),
+)
+def g9_unbounded(spark, sf):
+    landmarks = stored.nodes(spark, sf).where(F.col("entity_type") == "function").select("id")
+    return traverse.shortest_paths(traverse.links(stored.edges(spark, sf)), landmarks)
+
+
 @query(
     "g10_motif",
     sql_over("graph_edges", """
