@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm import cases
-from threadline.llm import line_quality, simhash, substring
+from threadline.llm import decontaminate, line_quality, simhash, substring
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -145,6 +145,35 @@ def test_keep_first(spark):
     docs = cases.frame(spark)
     kept = simhash.keep_first(docs)
     assert kept.columns == docs.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    least = {r["component_id"] for r in simhash.simhash_components(docs).collect()}
-    assert Counter(ids) == Counter(least)
+    marks = {}  # ids by fingerprint; two texts of one id are two documents
+    for i, text, *_ in cases.odd_rows():
+        marks.setdefault(simhash.fingerprint(text or ""), []).append(i)
+    least, left = Counter(), set(marks)
+    while left:
+        part, todo = [], [left.pop()]
+        while todo:
+            one = todo.pop()
+            part += marks[one]
+            near = {m for m in left if (m ^ one).bit_count() <= 3}
+            left -= near
+            todo += near
+        least[min(part, key=lambda i: (i is None, i))] += 1
+    assert Counter(r["doc_id"] for r in kept.collect()) == least
+
+
+def test_keep_first_tells_rows_apart(spark):
+    rows = [(None, f"{w} " * 8 + "one two three", "en", "s", 1, "", "") for w in ("red", "green")]
+    rows += [(7, "blue sky over the sea " * 4, "en", "s", 1, "", "")] * 3 + [(7, "another text with the same id " * 3, "en", "s", 1, "", "")]
+    rows += [(8, "blue sky over the sea " * 4, "en", "s", 1, "", ""), (None, "blue sky over the sea " * 4, "en", "s", 1, "", "")]
+    kept = [tuple(r) for r in simhash.keep_first(cases.frame(spark, rows)).collect()]
+    assert sorted(kept, key=str) == sorted([rows[0], rows[1], rows[2], rows[5]], key=str)
+    assert simhash.keep_first(cases.frame(spark, [])).count() == 0
+
+
+def test_leaks_take_no_other_rows_along(spark):
+    passage = "the quick brown fox jumps over the lazy dog while seven wise owls watch from a tall old tree"
+    benchmark = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    rows = [(None, f"some words {passage} more words"), (None, "a clean text without any of it " * 3), (4, passage), (4, "clean text of the same id " * 3), (5, None)]
+    docs = cases.frame(spark, [(i, t, "en", "s", 1, "", "") for i, t in rows])
+    left = {(r["doc_id"], r["text"]) for r in decontaminate.remove_leaks(docs, benchmark).collect()}
+    assert left == {rows[1], rows[3], rows[4]}

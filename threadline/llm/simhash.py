@@ -13,7 +13,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadline.llm.frames import each_text, stored, texts
@@ -172,18 +172,36 @@ def simhash_components(docs: DataFrame, shingle: int = 3, bits: int = 3, key: st
     return marks.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
-    """The documents whose id is the smallest of their component; of rows with that same id one stays.
+def _row_key(columns: list[str]) -> Column:
+    """128 bits of a whole row, nulls told apart from other values."""
+    parts = [c for name in columns for c in (F.col(f"`{name}`").cast("string"), F.col(f"`{name}`").isNull())]
+    return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b"))
 
-    Null ids are dropped where a component has another id, and otherwise one row with a null id stays.
+
+def keep_first(docs: DataFrame, shingle: int = 3, bits: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component: that with the smallest id, of equal ids the smallest by a hash of the whole row.
+
+    Null ids come after all others. Rows stand for themselves, so rows of different components never replace
+    each other, whatever their ids; of wholly equal rows one stays.
     """
-    found = simhash_components(docs, shingle, bits)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fingerprint").agg(F.count("*").alias("__n"))
-    firsts = kept.groupBy("doc_id").agg(F.min("fingerprint").alias("__fingerprint"))
-    known = docs.join(firsts.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    repeated = stored(kept.where("__n > 1").select(F.col("doc_id").alias("__id")), "repeated-ids")
-    if repeated.isEmpty() and firsts.join(kept, "doc_id").where("fingerprint <> __fingerprint").isEmpty():
-        return known
-    order = F.struct(*[F.col(c).cast("string") for c in docs.columns])
-    first = F.min_by(F.struct(*docs.columns), order)
-    return known.groupBy("doc_id").agg(first.alias("__row")).select("__row.*")
+    columns = docs.columns
+    read = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), _row_key(columns).alias("row"))
+
+    def run(batches):
+        for batch, values in each_text(batches):
+            marks = np.fromiter((fingerprint(v, shingle) for v in values), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(marks.view(np.int64)), batch.column("row")], ["doc_id", "fp", "row"])
+
+    marks = stored(read.mapInArrow(run, "doc_id long, fp long, row struct<a: long, b: long>"), "fingerprints")
+    roots = components(links(marks.select("fp").distinct(), bits)).withColumnRenamed("v", "fp")
+    rooted = marks.groupBy("fp", "doc_id", "row").agg(F.count("*").alias("n")).join(roots, "fp", "left")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    first = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min_by(F.struct("doc_id", "row", "n"), order).alias("first"))
+    firsts = stored(first.select("first.*"), "survivors")
+    known = docs.withColumn("__row", _row_key(columns))
+    kept = lambda several: known.join(firsts.where(F.col("n") > 1 if several else F.col("n") == 1).select(F.col("row").alias("__row")), "__row", "left_semi")
+    once = kept(False).select(*columns)
+    if firsts.where("n > 1").isEmpty():
+        return once
+    again = kept(True).groupBy("__row").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("__first")).select("__first.*")
+    return once.unionByName(again)
