@@ -1,6 +1,7 @@
 """Operators against brute force, and what streams and files must keep."""
 
 import itertools
+import os
 import random
 
 import numpy as np
@@ -324,3 +325,37 @@ def test_stream_state_ignores_a_lower_sequence(spark, tmp_path):
     query = stream.writeStream.format("memory").queryName("latest_rows").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination()
     assert {r.id: r.v for r in spark.table("latest_rows").collect()} == {"a": "new", "b": "y"}
+
+
+def test_log_folds_while_it_runs_and_survives_a_new_checkpoint(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "FOLD", 3)
+    monkeypatch.setattr(keyed, "KEPT_MANIFESTS", 2)
+    log, want = str(tmp_path / "log"), {}
+    for n in range(11):
+        rows = [(f"k{(n * i) % 7}", f"v{n}-{i}", (n * 13 + i) % 40) for i in range(3)]
+        for key, value, seq in rows:
+            want[key] = max(want.get(key, (-1, "")), (seq, value))
+        keyed.append_part(spark.createDataFrame(rows, "id string, v string, seq int"), ["id"], ["seq", "v"], log, f"run-{n}")
+        keyed.append_part(spark.createDataFrame(rows, "id string, v string, seq int"), ["id"], ["seq", "v"], log, f"run-{n}")  # a batch run again
+    number, parts = keyed.log_parts(spark, log)
+    assert number == 22 and len(parts) <= 6 and max(parts.values()) >= 2
+    assert {r.id: (r.seq, r.v) for r in keyed.current(spark, log, ["id"], ["seq", "v"]).collect()} == want
+    folder, schema = str(tmp_path / "in"), "id string, v string, seq int"
+    spark.createDataFrame([("new", "x", 1)], schema).write.parquet(folder)
+    for checkpoint in ("one", "two"):
+        keyed.start_scd1(spark.readStream.schema(schema).parquet(folder), ["id"], ["seq", "v"], log, str(tmp_path / checkpoint)).awaitTermination()
+    assert {r.id for r in keyed.current(spark, log, ["id"], ["seq", "v"]).collect()} == set(want) | {"new"}
+
+
+def test_overwritten_path_lists_and_new_columns(spark, tmp_path):
+    folder, log = tmp_path / "lists", str(tmp_path / "log")
+    folder.mkdir()
+    (folder / "a.csv").write_text("entity_id,path\n1,/a\n2,/b\n")
+    (folder / "b.csv").write_text("path,entity_id\n/c,3\n")
+    rows = lambda: sorted((r.path, r.entity_id, getattr(r, "owner", None)) for r in paths.ingested_paths(spark, log).collect())
+    assert paths.ingest_paths(spark, str(folder), log, {"entity_id": "long"}) == 2
+    assert rows() == [("/a", 1, None), ("/b", 2, None), ("/c", 3, None)] and paths.ingest_paths(spark, str(folder), log) == 0
+    (folder / "a.csv").write_text("entity_id,path,owner\n1,/a2,ana\n")
+    os.utime(folder / "a.csv", (2_000_000_000, 2_000_000_000))
+    assert paths.ingest_paths(spark, str(folder), log, {"entity_id": "long"}) == 1
+    assert rows() == [("/a2", 1, "ana"), ("/c", 3, None)]

@@ -131,9 +131,7 @@ def t3(spark, sf):
     stream = _stream_files(spark, _line_files(spark, sf, columns))
     keys, order, log = ["src", "dst", "relationship"], ["created_at", "tie", "weight"], scratch_path(spark, "edges-log")
     keyed.start_scd1(stream, keys, order, log, scratch_path(spark, "stream")).awaitTermination()
-    compacted = scratch_path(spark, "edges-compact")
-    keyed.compact(spark, log, keys, order, compacted)
-    return keyed.current(spark, compacted, keys, order).select(*keys, "weight", F.to_date("created_at").alias("created_on"))
+    return keyed.current(spark, log, keys, order).select(*keys, "weight", F.to_date("created_at").alias("created_on"))
 
 
 def _two_versions(spark, sf):

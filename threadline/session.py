@@ -84,3 +84,41 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _place(spark: SparkSession, path: str):
+    """The file system a path is on, and the path there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that appears whole or not at all; for what the driver commits, not for data."""
+    files, at = _place(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    out = files.create(draft, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    files.delete(at, False)
+    if not files.rename(draft, at):
+        raise OSError(f"could not put {path} in place")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, at = _place(spark, path)
+    stream = files.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none if there is no such folder."""
+    files, at = _place(spark, folder)
+    return [entry.getPath().getName() for entry in files.listStatus(at)] if files.exists(at) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, at = _place(spark, path)
+    files.delete(at, True)

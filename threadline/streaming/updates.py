@@ -1,8 +1,9 @@
 """A lineage graph kept current by a stream of notebook exports.
 
-Each micro-batch parses only notebooks whose text is new, and appends their lineage
-to a log under the batch number, with one marker row per notebook. The current
-lineage of a notebook is what its latest batch wrote, so nothing is rewritten.
+Each micro-batch parses only notebooks whose text is new and writes their lineage as a
+part of its own, numbered by a clock that rises with every batch. A keyed log of one
+row per notebook (path, hash, number of the part) says which part counts; it is all a
+batch reads of what came before, and it folds while the stream runs.
 """
 
 from __future__ import annotations
@@ -14,21 +15,16 @@ from pyspark.sql import functions as F
 
 from threadline.operators.versions import latest_by_key
 from threadline.plans.facade import LINEAGE_DDL, extract_lineage, graph_tables
-from threadline.session import materialize, stack
+from threadline.session import materialize
+from threadline.streaming import keyed
 
-_MARKER = "notebook"
+_KEYS, _ORDER = ["path"], ["clock"]
 
 
-def read_log(spark: SparkSession, log: str, before: int | None = None) -> DataFrame:
-    """Log rows with their batch number; of a batch that is run again, only those before it."""
-    rows = spark.read.schema(LINEAGE_DDL + ", batch bigint").parquet(log)
-    return rows if before is None else rows.where(F.col("batch") < before)
-
-
-def current_lineage(rows: DataFrame) -> DataFrame:
-    """The lineage rows each notebook's latest batch wrote."""
-    latest = rows.where(F.col("kind") == _MARKER).groupBy("path").agg(F.max("batch").alias("batch"))
-    return rows.where(F.col("kind") != _MARKER).join(latest, ["path", "batch"], "left_semi").drop("batch")
+def known_notebooks(spark: SparkSession, log: str, without: str | None = None) -> DataFrame | None:
+    """(path, hash, clock, part) of every notebook as last parsed; ``without`` leaves out what one part of the log says."""
+    parts = [p for p in keyed.log_parts(spark, f"{log}/notebooks")[1] if p != without]
+    return latest_by_key(spark.read.parquet(*[f"{log}/notebooks/parts/{p}" for p in parts]), _KEYS, _ORDER) if parts else None
 
 
 def start_lineage_updates(
@@ -38,20 +34,30 @@ def start_lineage_updates(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        part = f"{keyed.query_id(spark, checkpoint)}-{batch_id}"
         exports = latest_by_key(batch, ["path"], [order]).withColumn("hash", F.sha2("content", 256))
-        if batch_id > 0:
-            marks = read_log(spark, log, batch_id).where(F.col("kind") == _MARKER)
-            known = latest_by_key(marks.select("path", F.col("id").alias("hash"), "batch"), ["path"], ["batch"])
+        known, clock = known_notebooks(spark, log, part), 0
+        if known is not None:
+            known = materialize(known)
+            clock = known.agg(F.max("clock")).first()[0] + 1
             exports = exports.join(known, ["path", "hash"], "left_anti")
         exports = materialize(exports)
-        marker = exports.select("path", F.lit(_MARKER).alias("kind"), F.col("hash").alias("id"))
-        stack(extract_lineage(exports, readers), marker).write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+        extract_lineage(exports, readers).write.mode("overwrite").parquet(f"{log}/lineage/part={part}")
+        marks = exports.select("path", "hash", F.lit(clock).cast("long").alias("clock"), F.lit(part).alias("part"))
+        keyed.append_part(marks, _KEYS, _ORDER, f"{log}/notebooks", part)
 
     return (
         stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
     )
 
 
+def current_lineage(spark: SparkSession, log: str) -> DataFrame:
+    """The lineage rows the latest part of each notebook holds."""
+    rows = spark.read.schema(LINEAGE_DDL + ", part string").parquet(f"{log}/lineage")
+    known = known_notebooks(spark, log)
+    return rows.limit(0).drop("part") if known is None else rows.join(known.select("path", "part"), ["path", "part"], "left_semi").drop("part")
+
+
 def current_graph(spark: SparkSession, log: str, stamp: Column) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) the log stands for."""
-    return graph_tables(materialize(current_lineage(read_log(spark, log))), stamp)
+    return graph_tables(materialize(current_lineage(spark, log)), stamp)
