@@ -46,6 +46,22 @@ def s1(spark, sf):
     return rows.select("entity_id", "path", F.unix_micros("fechora_ultima_ejecucion_job").alias("seq_us"), "event_id")
 
 
+@query(
+    "s1_ingest_changed_paths",
+    sql_over("path_events", "SELECT entity_id, path, event_id, CASE WHEN event_id % 2 = 1 THEN 'owner ' || event_id % 3 END AS owner FROM path_events"),
+)
+def s1_ingest(spark, sf):
+    """Two deliveries, the second with a further column, read in as many calls; a third call finds nothing new."""
+    folder, log = scratch_path(spark, "lists"), scratch_path(spark, "lists-log")
+    events = inputs.derived(spark, sf, "path_events").select("entity_id", "path", "event_id")
+    owner = F.concat(F.lit("owner "), (F.col("event_id") % 3).cast("string"))
+    for delivery in (events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1").select(owner.alias("owner"), "event_id", "path", "entity_id")):
+        delivery.write.mode("append").option("header", "true").csv(folder)
+        paths.ingest_paths(spark, folder, log, {"event_id": "long"})
+    paths.ingest_paths(spark, folder, log)
+    return paths.ingested_paths(spark, log).select("entity_id", "path", "event_id", "owner")
+
+
 @query("s2_stamp_processing_time", sql_over("path_events", "SELECT path, event_id, true AS stamped FROM path_events"))
 def s2(spark, sf):
     rows = paths.stamp_processing_time(inputs.derived(spark, sf, "path_events"))
