@@ -601,24 +601,34 @@ def impact_score(cache: DataFrame) -> DataFrame:
 
 
 def pagerank(edges: DataFrame, nodes: DataFrame, iterations: int = 10, damping: float = 0.85) -> DataFrame:
-    """(id, rank): rank flows along edges in proportion to weight, NULL weight being 1.
+    """(id, rank): rank flows along edges in proportion to weight, NULL weight being 1; ranks sum to one.
 
-    Ranks are scaled to sum to one at the end; for the fixed point this equals
-    spreading the mass of nodes without outgoing edges evenly.
+    In every iteration the rank of nodes without outgoing edges is spread over all. Spreading
+    is the same for every node, so each iteration is a weighted sum of what a uniform start
+    becomes after 0, 1, 2, ... steps: those are computed in one chain, one column a step, and
+    the weights follow from the columns' sums, which are all the driver sees.
     """
     ids = stack(nodes.select("id"), edges.select(F.col("src").alias("id")), edges.select(F.col("dst").alias("id"))).distinct()
     ids = materialize(ids)
+    n = ids.count()
     weighted = edges.groupBy("src", "dst").agg(F.sum(F.coalesce(F.col("weight").cast("double"), F.lit(1.0))).alias("weight"))
     totals = weighted.groupBy("src").agg(F.sum("weight").alias("total"))
-    shares = materialize(weighted.join(totals, "src").select(F.col("src").alias("id"), "dst", (F.col("weight") / F.col("total")).alias("share")))
-    base = ids.select("id", F.lit(1.0 - damping).alias("rank"))
-    ranks = ids.select("id", F.lit(1.0).alias("rank"))
-    for number in range(1, iterations + 1):
-        flow = ranks.join(shares, "id").select(F.col("dst").alias("id"), (F.col("rank") * F.col("share") * damping).alias("rank"))
-        ranks = stack(base, flow).groupBy("id").agg(F.sum("rank").alias("rank"))
-        if number % 5 == 0:
-            ranks = materialize(ranks)
-    return ranks.select("id", (F.col("rank") / ranks.agg(F.sum("rank")).scalar()).alias("rank"))
+    shares = weighted.join(totals, "src").select(F.col("src").alias("id"), "dst", (F.col("weight") / F.col("total")).alias("share"))
+    steps = materialize(stack(shares, ids.select("id", F.col("id").alias("dst"), F.lit(None).cast("double").alias("share"))))  # no share: the node itself
+    state = ids.withColumn("v0", F.lit(1.0 / max(n, 1)))
+    for k in range(iterations):
+        own = [F.sum(F.when(F.col("share").isNull(), F.col(f"v{j}"))).alias(f"v{j}") for j in range(k + 1)]
+        moved = F.coalesce(F.sum(F.col(f"v{k}") * F.col("share") * damping), F.lit(0.0)).alias(f"v{k + 1}")
+        state = state.join(steps, "id").groupBy(F.col("dst").alias("id")).agg(*own, moved)
+        if (k + 1) % 5 == 0:
+            state = materialize(state)
+    mass = [m or 0.0 for m in state.agg(*[F.sum(f"v{j}") for j in range(iterations + 1)]).first()]
+    weights = [1.0]
+    for _ in range(iterations):
+        dangling = sum(w * (mass[j] - mass[j + 1] / damping) for j, w in enumerate(weights))
+        weights = [1.0 - damping + damping * dangling, *weights]
+    rank = sum((F.lit(w) * F.col(f"v{j}") for j, w in enumerate(weights)), F.lit(0.0))
+    return state.select("id", rank.alias("rank"))
 
 
 def tagged_flows(edges: DataFrame, tags: DataFrame, hops: int = MAX_HOPS) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadline.operators import graph, traverse
-from threadline.plans import inputs, stored
+from threadline.plans import inputs, queries_lineage, stored
 from threadline.plans.catalog import query
 from threadline.plans.inputs import sql_over
 
@@ -46,18 +46,13 @@ _CACHE = _pairs("pc", 5)
 
 @query(
     "g1_build_nodes",
-    sql_over("notebook_cells", """
-        SELECT id, 'table' AS entity_type, name AS entity_name, true AS is_active, CAST(1 AS INT) AS version,
-               DATE '2024-06-01' AS created_on
-        FROM (SELECT DISTINCT 'table:db.t_' || k % 50 AS id, 'db.t_' || k % 50 AS name FROM notebook_cells WHERE t IN (0, 1, 11, 14))"""),
+    queries_lineage._over_cells("""
+        SELECT DISTINCT id, type AS entity_type, name AS entity_name, true AS is_active, CAST(1 AS INT) AS version, DATE '2024-06-01' AS created_on
+        FROM lineage_entities""", *queries_lineage.LINEAGE_CTES),
 )
 def g1(spark, sf):
-    seen = inputs.derived(spark, sf, "notebook_cells").where("t in (0, 1, 11, 14)")
-    name = F.concat(F.lit("db.t_"), (F.col("k") % 50).cast("string"))
-    entities = seen.select(
-        F.concat(F.lit("table:"), name).alias("id"), F.lit("table").alias("type"), name.alias("name"),
-        "path", F.col("k").alias("cell_no"), F.lit(0).alias("ord"),
-    )
+    entities, _ = queries_lineage.whole_lineage(spark, sf)
+    entities = entities.select("*", F.lit(0).alias("cell_no"), F.lit(0).alias("ord"))
     built = graph.build_nodes(graph.dedupe_entities(entities), stored.fixed_stamp())
     return built.select("id", "entity_type", "entity_name", "is_active", "version", F.to_date("created_at").alias("created_on"))
 
@@ -342,11 +337,13 @@ def _pagerank_sql(iterations: int) -> str:
         "ids AS (SELECT id FROM graph_nodes UNION SELECT src FROM graph_edges UNION SELECT dst FROM graph_edges)",
         "weighted AS (SELECT src, dst, sum(coalesce(CAST(weight AS DOUBLE), 1.0)) AS w FROM graph_edges GROUP BY ALL)",
         "shares AS (SELECT src, dst, w / sum(w) OVER (PARTITION BY src) AS share FROM weighted)",
-        "r0 AS (SELECT id, 1.0::DOUBLE AS rank FROM ids)",
+        "leaves AS MATERIALIZED (SELECT id FROM ids WHERE id NOT IN (SELECT src FROM weighted))",
+        "r0 AS MATERIALIZED (SELECT id, 1.0::DOUBLE AS rank FROM ids)",
     ]
     for i in range(1, iterations + 1):
         parts.append(
-            f"r{i} AS (SELECT i.id, 0.15 + 0.85 * coalesce(f.flow, 0) AS rank FROM ids i LEFT JOIN "
+            f"r{i} AS MATERIALIZED (SELECT i.id, 0.15 + 0.85 * (SELECT coalesce(sum(rank), 0) FROM r{i - 1} JOIN leaves USING (id)) / (SELECT count(*) FROM ids) "
+            f"+ 0.85 * coalesce(f.flow, 0) AS rank FROM ids i LEFT JOIN "
             f"(SELECT s.dst, sum(r.rank * s.share) AS flow FROM r{i - 1} r JOIN shares s ON s.src = r.id GROUP BY s.dst) f ON f.dst = i.id)"
         )
     return ", ".join(parts)
@@ -355,7 +352,7 @@ def _pagerank_sql(iterations: int) -> str:
 @query(
     "g16_pagerank",
     sql_over("graph_edges graph_nodes",
-             "SELECT id, round(rank / (SELECT sum(rank) FROM r10) * (SELECT count(*) FROM ids), 6) AS relative_rank FROM r10", _pagerank_sql(10)),
+             "SELECT id, round(rank, 6) AS relative_rank FROM r10", _pagerank_sql(10)),
 )
 def g16(spark, sf):
     ranks = traverse.pagerank(stored.edges(spark, sf), stored.nodes(spark, sf), 10)

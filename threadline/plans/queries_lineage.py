@@ -10,7 +10,7 @@ from threadline.operators import graph, python_lineage, quality, sql_lineage, tr
 from threadline.plans import inputs, stored
 from threadline.plans.catalog import query
 from threadline.plans.inputs import sql_over
-from threadline.session import scratch_path
+from threadline.session import scratch_path, stack
 from threadline.sources import exports as export_files
 
 # Cells as the splitter must return them.
@@ -433,6 +433,36 @@ def u1(spark, sf):
     return graph.dedupe_relationships(merged)
 
 
+# Every entity and relationship of a notebook, from both extractors and the SQL inside Python; operations apart.
+_LINEAGE = f"""lineage_links AS (
+    SELECT path, src, dst, rel AS type FROM python_expected
+    UNION SELECT path, src, dst, 'reads_from' FROM sql_expected
+    UNION SELECT path, unnest(['table:db.t_' || k % 50, 'table:db.u_' || k % 7]), 'var:s_' || k, 'reads_from' FROM cells WHERE t = 11
+    UNION SELECT path, 'table:${{CAT}}.db.z_' || k % 5, 'var:z_' || k, 'reads_from' FROM cells WHERE t = 26),
+    lineage_entities AS (
+    SELECT path, id, CASE split_part(id, ':', 1) WHEN 'var' THEN 'variable' ELSE split_part(id, ':', 1) END AS type, substr(id, strpos(id, ':') + 1) AS name FROM (
+        SELECT path, src AS id FROM lineage_links UNION SELECT path, dst FROM lineage_links UNION SELECT path, id FROM entity_rows
+        UNION SELECT path, unnest(['var:ENV', 'var:ROOT']) FROM cells WHERE t = -1
+        UNION SELECT path, 'var:l_' || k FROM cells WHERE t = 6
+        UNION SELECT path, 'var:x_' || k FROM cells WHERE t = 7 AND NOT {_BROKEN}))"""
+LINEAGE_CTES = (_python_expected(), _SQL_EXPECTED, _ENTITY_ROWS, _LINEAGE)
+
+
+def whole_lineage(spark, sf):
+    """(entities, relationships) that LINEAGE_CTES says, as lineage_entities and lineage_links."""
+    python, sql = _python_rows(spark, sf), _sql_rows(spark, sf)
+    plain = python.where("rule <> 'L6'")
+    inner = sql_lineage.sql_lineage(sql_lineage.sql_components(sql_lineage.sql_statements(sql_lineage.embedded_sql(python))))
+    columns = ["path", "id", "type", "name"]
+    entities = stack(*[part.select(*columns) for part in (python_lineage.entities(plain), sql_lineage.entities(sql), sql_lineage.entities(inner))])
+    links = stack(
+        python_lineage.relationships(plain).select("path", "src", "dst", "type"),
+        sql_lineage.relationships(sql).select("path", "src", "dst", "type"),
+        sql_lineage.embedded_sql_lineage(python).select("path", "src", "dst", F.col("rel").alias("type")),
+    )
+    return entities, links
+
+
 @query(
     "q8_parse_accuracy",
     _over_cells(f"""SELECT cell_type, count(*) AS n_cells, CAST(count(*) FILTER (NOT {_BROKEN}) AS BIGINT) AS n_parsed,

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from threadline import schemas
 from threadline.functions import text as fx
-from threadline.operators import graph, lookups, python_lineage, quality
+from threadline.operators import graph, lookups, quality
 from threadline.plans import inputs, queries_lineage, stored
 from threadline.plans.catalog import query
 from threadline.plans.inputs import sql_over
@@ -121,32 +121,17 @@ def s9(spark, sf):
     return tables.read_path_cache(spark, folder).where("min_hops = 1").select("src_node_id", "tgt_node_id", "min_hops")
 
 
-_ENTITIES = """lineage_entities AS (
-    SELECT path, 'table:' || name AS id, 'table' AS type, name FROM (
-        SELECT path, 'db.t_' || k % 50 AS name FROM cells WHERE t = 0
-        UNION SELECT path, 'db.a' FROM cells WHERE t = 3 UNION SELECT path, 'db.w' FROM cells WHERE t = 4
-        UNION SELECT path, 'db.o_' || k FROM cells WHERE t = 4 UNION SELECT path, 'db.base' FROM cells WHERE t = -1
-        UNION SELECT path, unnest(['db.p', 'db.q']) FROM cells WHERE t = 6 UNION SELECT path, 'view_' || k FROM cells WHERE t = 12))"""
-
-
-def _documents(spark, sf):
-    rows = queries_lineage._python_rows(spark, sf)
-    found = python_lineage.entities(rows).where("type = 'table'")
-    linked = python_lineage.relationships(rows).where("type = 'writes_to'")
-    return lineage_files.lineage_documents(found, linked)
-
-
 @query(
     "s10_read_lineage_json",
     queries_lineage._over_cells(
         """SELECT 'entity' AS kind, id AS a, name AS b, type FROM lineage_entities
-           UNION ALL SELECT DISTINCT 'relationship', src, dst, rel FROM (SELECT DISTINCT path, src, dst, rel FROM python_expected WHERE rel = 'writes_to')""",
-        queries_lineage._python_expected(), _ENTITIES,
-    ).replace("UNION ALL SELECT DISTINCT 'relationship'", "UNION ALL SELECT 'relationship'"),
+           UNION ALL SELECT 'relationship', src, dst, type FROM lineage_links""",
+        *queries_lineage.LINEAGE_CTES,
+    ),
 )
 def s10(spark, sf):
     folder = scratch_path(spark, "lineage-json")
-    lineage_files.write_lineage_json(_documents(spark, sf), folder)
+    lineage_files.write_lineage_json(lineage_files.lineage_documents(*queries_lineage.whole_lineage(spark, sf)), folder)
     found, linked = lineage_files.read_lineage_json(spark, folder, multi_line=False)
     return found.select(F.lit("entity").alias("kind"), F.col("id").alias("a"), F.col("name").alias("b"), "type").unionByName(
         linked.select(F.lit("relationship").alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"), "type")
@@ -158,13 +143,13 @@ def s10(spark, sf):
     queries_lineage._over_cells(
         """SELECT e.path, to_json({'entities': e.entities, 'relationships': coalesce(r.relationships, [])})::VARCHAR AS document
            FROM (SELECT path, list({'id': id, 'type': type, 'name': name} ORDER BY id) AS entities FROM lineage_entities GROUP BY path) e
-           LEFT JOIN (SELECT path, list({'src': src, 'dst': dst, 'type': rel} ORDER BY src, dst) AS relationships
-                      FROM (SELECT DISTINCT path, src, dst, rel FROM python_expected WHERE rel = 'writes_to') GROUP BY path) r USING (path)""",
-        queries_lineage._python_expected(), _ENTITIES,
+           LEFT JOIN (SELECT path, list({'src': src, 'dst': dst, 'type': type} ORDER BY src, dst, type) AS relationships
+                      FROM lineage_links GROUP BY path) r USING (path)""",
+        *queries_lineage.LINEAGE_CTES,
     ),
 )
 def s11(spark, sf):
-    return _documents(spark, sf)
+    return lineage_files.lineage_documents(*queries_lineage.whole_lineage(spark, sf))
 
 
 @query("s12_export_csv", sql_over("graph_edges", "SELECT src, dst, relationship, expression FROM graph_edges"))
