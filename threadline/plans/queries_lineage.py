@@ -343,17 +343,17 @@ def l2j(spark, sf):
     return sql_lineage.feature_flags(_statements(spark, sf)).drop("stmt_no")
 
 
-@query(
-    "l7_column_lineage",
-    _over_cells("""SELECT path, cell_no, 'column:db.t_' || k % 50 || '.' || c AS src, 'column:db.c_' || k % 6 || '.' || a AS dst, expression
+COLUMNS_SQL = """SELECT path, cell_no, 'column:db.t_' || k % 50 || '.' || c AS src, 'column:db.c_' || k % 6 || '.' || a AS dst, expression
                    FROM cells, (VALUES ('a', 'a1', 's.a'), ('b', 'b1', 'sum(s.b)')) AS v(c, a, expression) WHERE t = 14
                    UNION ALL SELECT path, cell_no, 'column:db.' || src, 'column:db.' || dst || '_' || k % n || '.' || a, expression
                    FROM cells JOIN (VALUES
                        (17, 3, 'región.país', 'ventas_año', 'p', 'x.país'), (20, 4, 'pa.a', 'pj', 'a', 'l.a'),
                        (22, 4, 's1.a', 'sub', 'y', 'u.x'), (22, 4, 's1.b', 'sub', 'n', 'u.n'), (23, 4, 's2.a', 'cte', 'k1', 'd.a'), (23, 4, 's2.b', 'cte', 'e', 'e'),
                        (24, 4, 's3.a', 'un', 'a', 'a'), (24, 4, 's3.b', 'un', 'm', 'b'), (24, 4, 's4.c', 'un', 'a', 'c'), (24, 4, 's4.d', 'un', 'm', 'd')
-                   ) AS v(kind, n, src, dst, a, expression) ON kind = t"""),
-)
+                   ) AS v(kind, n, src, dst, a, expression) ON kind = t"""
+
+
+@query("l7_column_lineage", _over_cells(COLUMNS_SQL))
 def l7(spark, sf):
     return sql_lineage.column_lineage(_components(spark, sf)).select("path", "cell_no", "src", "dst", "expression")
 
