@@ -181,7 +181,7 @@ def _column_sources() -> str:
     return f"filter(transform({t.block_sources()}, i -> {entry}), s -> s.table_name IS NOT NULL OR s.number IS NOT NULL)"
 
 
-def _select_outputs(items: str, number: str) -> str:
+def _select_outputs(items: str) -> str:
     """Names of a select list's columns; NULL for a star or an expression without a name."""
     return f"transform({items}, item -> {_output('item')})"
 
@@ -226,7 +226,7 @@ def query_scopes(components: DataFrame) -> DataFrame:
         *_KEYS, "target", "literals", "root", "place", "number", "given", f"{t.block_items()} AS items", f"{_column_sources()} AS sources",
         f"if(first_body IS NULL, NULL, {t.block_items('first_body')}) AS first_items",
     )
-    block = block.withColumn("own", F.expr(_select_outputs("items", "number"))).withColumn("firsts", F.expr("if(first_items IS NULL, own, " + _select_outputs("first_items", "number") + ")"))
+    block = block.withColumn("own", F.expr(_select_outputs("items"))).withColumn("firsts", F.expr("if(first_items IS NULL, own, " + _select_outputs("first_items") + ")"))
     starred = lambda items: f"exists({items}, i -> {t.extract('i', _STAR, 0)} IS NOT NULL)"
     block = block.withColumn("by_place", ~F.expr(starred("items")) & ~F.expr(f"coalesce({starred('first_items')}, false)"))
     item = block.selectExpr(
