@@ -88,6 +88,13 @@ def test_fuzzy_match_is_exact(spark):
     assert got == {(t, n, edit_distance(t, n)) for t in words[1::2] for n in words[::2] if edit_distance(t, n) <= 2}
 
 
+def test_fuzzy_match_sends_no_side_through_the_driver(spark):
+    names, typed = spark.createDataFrame([("abc",)], "name string"), spark.createDataFrame([("abd",), (None,)], "typed string")
+    found = search.fuzzy_match(names, typed, 1)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [("abd", "abc", 1)]
+
+
 def test_versions_of_one_hot_key(spark):
     rng = random.Random(5)
     rows = [("hot" if i % 3 else f"k{i % 7}", rng.choice("ab"), i) for i in range(3000)]

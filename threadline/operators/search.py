@@ -383,12 +383,14 @@ def fuzzy_match(names: DataFrame, typed: DataFrame, distance: int = 1) -> DataFr
     Two texts within n edits share a text made by at most n deletions from each, so
     an equi-join on those finds every pair and almost no other; no block of names is
     compared with itself. Only hashes are shuffled, and the distance is checked.
+    The planner does not know how many texts a name gives and would send a large
+    side through the driver, so both sides are asked to be sorted and merged.
     """
     left = names.select("name").distinct().select("name", F.explode_outer(_deletions(F.col("name"), distance)).alias("v"))
     right = typed.select("typed").distinct().select("typed", F.explode_outer(_deletions(F.col("typed"), distance)).alias("v"))
     pairs = (
         left.select("name", F.xxhash64("v").alias("v"))
-        .join(right.select("typed", F.xxhash64("v").alias("v")), "v")
+        .join(right.select("typed", F.xxhash64("v").alias("v")).hint("merge"), "v")
         .select("typed", "name").distinct()
     )
     return pairs.withColumn("distance", F.levenshtein("typed", "name", distance)).where("distance >= 0")
