@@ -5,6 +5,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from threadline.operators import graph, search, traverse, versions
@@ -366,3 +367,47 @@ def test_overwritten_path_lists_and_new_columns(spark, tmp_path):
     os.utime(folder / "a.csv", (2_000_000_000, 2_000_000_000))
     assert paths.ingest_paths(spark, str(folder), log, {"entity_id": "long"}) == 1
     assert rows() == [("/a2", 1, "ana"), ("/c", 3, None)]
+
+
+def test_keywords_by_blocks_equal_the_plain_formula(spark, monkeypatch):
+    monkeypatch.setattr(search, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(search, "BLOCK_WORDS", 40)
+    monkeypatch.setattr(search, "WORD_SLICE", 3)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(15)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, text(rng.randint(1, 9))) for i in range(300)] + [(7, "w1 w2 other"), (None, "w1"), (None, "w1 w3"), (301, None), (302, "")]
+    asked = [(f"q{i}", text(3)) for i in range(11)] + [("none", "nothing"), ("null", None)]
+    docs, queries = spark.createDataFrame(rows, "id long, text string").repartition(5), spark.createDataFrame(asked, "query_id string, text string")
+    held, lengths = {}, {}
+    for i, t in rows:
+        if t and i != 7 and i is not None:
+            held[i], lengths[i] = {w: t.split().count(w) for w in t.split()}, len(t.split())
+    both = [t.split() for i, t in rows if i == 7]
+    got = {(r.query_id, r.id): r.score for r in search.keyword_scores(docs, queries).collect()}
+    df = {w: sum(w in h for h in held.values()) + (w in both[0] + both[1]) + (w in ("w1", "w3")) for w in words}
+    known = [len(t.split()) for _, t in rows if t is not None]
+    mean = sum(known) / len(known)
+    idf = {w: np.log(1 + (len(rows) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+    want = {
+        (q, i): sum(idf[w] * h[w] * 2.2 / (h[w] + 1.2 * (0.25 + 0.75 * lengths[i] / mean)) for w in set(t.split()) if w in h)
+        for q, t in asked if t for i, h in held.items() if set(t.split()) & set(h)
+    }
+    assert {k for k in got if k[1] not in (7, None)} == set(want) and all(abs(got[k] - v) < 1e-6 for k, v in want.items())
+    order = {q: sorted((-s, -1 if i is None else i, i) for (p, i), s in got.items() if p == q) for q in {q for q, _ in got}}
+    best = {(r.query_id, r["rank"]): r.id for r in search.keyword_search(docs, queries, 5).collect()}
+    assert best == {(q, n + 1): i for q, found in order.items() for n, (_, _, i) in enumerate(found[:5])}
+    wanted = [(q, i) for q in ("q0", "q5", "none") for i in (0, 7, 150, 299)]
+    places = search.keyword_ranks(search.keyword_index(docs, queries), spark.createDataFrame(wanted, "query_id string, id long"))
+    assert {(r.query_id, r.id): r["rank"] for r in places.collect()} == {
+        (q, i): [x[2] for x in order[q]].index(i) + 1 for q, i in wanted if q in order and i in [x[2] for x in order[q]]
+    }
+
+
+def test_keyword_search_makes_no_row_for_every_pair(spark):
+    docs = spark.range(3000).select("id", F.lit("every text the same").alias("text"))
+    queries = spark.range(20).select(F.concat(F.lit("q"), "id").alias("query_id"), F.lit("same text").alias("text"))
+    ids = {(r.query_id, r["rank"]): r.id for r in search.keyword_search(docs.coalesce(2), queries, 3).collect()}
+    assert ids == {(f"q{q}", n + 1): n for q in range(20) for n in range(3)}
+    kept = search._best_of(pa.array(range(3000)), np.ones((3000, 2)), pa.array(["a", "b"]), 3)
+    assert kept.column("id").to_pylist() == [0, 1, 2] * 2

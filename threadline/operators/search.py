@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ from threadline.session import materialize, stack, store
 #: Vectors a block of nodes or of queries holds; a product of two blocks is what a task has in memory.
 NODE_BLOCK, QUERY_BLOCK = 2048, 1024
 GROUP_ROWS = 50_000
+#: Words a block of documents or of queries holds, and how many of them are multiplied at a time.
+BLOCK_WORDS, WORD_SLICE = 500_000, 2048
 #: Constant of reciprocal-rank fusion.
 FUSION = 60
 
@@ -37,19 +40,67 @@ def _unit_rows(vectors) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _best_of(ids: np.ndarray, scores: np.ndarray, query_ids: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best ids of one block for each query, by rounded cosine and then id."""
-    parts = []
-    for column, query_id in enumerate(query_ids):
-        own = scores[:, column]
-        if len(own) > k:
-            floor = np.partition(own, len(own) - k)[len(own) - k]
-            near = np.flatnonzero(own >= floor)
-        else:
-            near = np.arange(len(own))
-        order = near[np.lexsort((ids[near], -own[near]))][:k]
-        parts.append(pd.DataFrame({"query_id": query_id, "id": ids[order], "score": own[order]}))
-    return pd.concat(parts, ignore_index=True)
+def _codes(ids: pa.Array) -> np.ndarray:
+    """Numbers in the order of the ids, equal ones for equal ids; null comes first."""
+    order = pc.array_sort_indices(ids, null_placement="at_start")
+    listed, codes = ids.take(order), np.zeros(len(ids), np.int64)
+    missing = np.asarray(listed.is_null())
+    other = np.asarray(pc.fill_null(pc.not_equal(listed[1:], listed[:-1]), False)) | (missing[1:] != missing[:-1])
+    codes[np.asarray(order)] = np.concatenate([[0], np.cumsum(other)])[: len(ids)]
+    return codes
+
+
+def _code_places(ids: pa.Array, names: pa.Array) -> np.ndarray:
+    """How many codes of ``ids`` belong to smaller ids than each name, which is not null."""
+    listed = np.sort(pc.unique(ids.drop_null()).to_numpy(zero_copy_only=False))
+    return np.searchsorted(listed, names.to_numpy(zero_copy_only=False)) + int(ids.null_count > 0)
+
+
+def _best_of(ids: pa.Array, scores: np.ndarray, query_ids: pa.Array, k: int, floors: np.ndarray | None = None) -> pa.RecordBatch:
+    """The k best ids of one block for each query, by rounded score and then id; no score is minus infinity.
+
+    ``floors`` has the k best scores a query has met so far and is brought up to date: an id
+    below the last of them is not among the k best, so a task gives few rows for each query.
+    """
+    codes, rows, columns = _codes(ids), [], []
+    for column, own in enumerate(np.ascontiguousarray(scores.T)):
+        floor = np.partition(own, len(own) - k)[len(own) - k] if len(own) > k else -np.inf
+        if floors is not None:
+            floor = max(floor, floors[column].min())
+        near = np.flatnonzero((own >= floor) & (own > -np.inf))
+        best = near[np.lexsort((codes[near], -own[near]))][:k]
+        rows.append(best)
+        columns.append(np.full(len(best), column))
+        if floors is not None and len(best):
+            both = np.concatenate([floors[column], own[best]])
+            floors[column] = np.partition(both, len(best))[len(best):]
+    at, of = np.concatenate(rows).astype(np.int64), np.concatenate(columns).astype(np.int64)
+    return pa.RecordBatch.from_arrays([query_ids.take(pa.array(of)), ids.take(pa.array(at)), pa.array(scores[at, of])], ["query_id", "id", "score"])
+
+
+class _Floors:
+    """The scores that ids must reach, for the blocks of queries a task met last."""
+
+    def __init__(self, k: int, kept: int = 32):
+        self.k, self.kept, self.blocks = k, kept, {}
+
+    def of(self, query_ids: pa.Array) -> np.ndarray:
+        key = (query_ids[0].as_py(), len(query_ids)) if len(query_ids) else None
+        if key not in self.blocks:
+            if len(self.blocks) >= self.kept:
+                del self.blocks[next(iter(self.blocks))]
+            self.blocks[key] = np.full((len(query_ids), self.k), -np.inf)
+        return self.blocks[key]
+
+
+def _ahead(own: np.ndarray, codes: np.ndarray, values: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """For each (value, place): how many of a block are better, or as good with a smaller code than the place."""
+    levels, level = np.unique(own, return_inverse=True)
+    width = len(own) + 1
+    keys = np.sort(level * width - codes)
+    at = np.searchsorted(levels, values)
+    same = levels[np.minimum(at, len(levels) - 1)] == values
+    return len(keys) - np.searchsorted(keys, np.where(same, at * width - places, (at - 1) * width), side="right")
 
 
 def _numbers(count: Column) -> Column:
@@ -83,17 +134,17 @@ def _query_blocks(queries: DataFrame, *more: str) -> DataFrame:
     return store(queries.groupBy(block.alias("block")).agg(F.collect_list(F.struct("query_id", "embedding", *more)).alias("asked")).drop("block"), "query-blocks")
 
 
-def _met(nodes: DataFrame, blocks: DataFrame, schema: str, kernel) -> DataFrame:
-    """``kernel(ids, unit vectors, asked, unit queries)`` over every block of nodes and every block of queries."""
+def _met(nodes: DataFrame, blocks: DataFrame, schema: str, kernel, k: int = 1) -> DataFrame:
+    """``kernel(ids, unit vectors, asked, unit queries, floors)`` over every block of nodes and every block of queries."""
 
     def run(batches):
+        floors = _Floors(k)
         for batch in batches:
             for ids, vectors, asked in zip(*batch.columns, strict=True):
                 questions = asked.values
                 unit = _unit_rows(questions.field("embedding").to_numpy(zero_copy_only=False))
-                names = ids.values.to_numpy(zero_copy_only=False)
-                matrix = np.frombuffer(vectors.as_buffer()).reshape(len(names), -1)
-                yield from kernel(names, matrix, questions, unit)
+                matrix = np.frombuffer(vectors.as_buffer()).reshape(len(ids), -1)
+                yield from kernel(ids.values, matrix, questions, unit, floors)
 
     return _node_blocks(nodes).crossJoin(blocks).mapInArrow(run, schema)
 
@@ -108,11 +159,11 @@ def vector_top_k(nodes: DataFrame, queries: DataFrame, k: int = 8) -> DataFrame:
     nodes = nodes.select("id", "embedding").where("embedding IS NOT NULL")
     queries = queries.select("query_id", "embedding").where("embedding IS NOT NULL")
 
-    def best(ids, matrix, questions, unit):
-        found = _best_of(ids, np.round(matrix @ unit.T, 6), questions.field("query_id").to_numpy(zero_copy_only=False), k)
-        yield pa.RecordBatch.from_pandas(found, preserve_index=False)
+    def best(ids, matrix, questions, unit, floors):
+        names = questions.field("query_id")
+        yield _best_of(ids, np.round(matrix @ unit.T, 6), names, k, floors.of(names))
 
-    return top_k_per_query(_met(nodes, _query_blocks(queries), _types(nodes, queries), best), k)
+    return top_k_per_query(_met(nodes, _query_blocks(queries), _types(nodes, queries), best, k), k)
 
 
 def vector_ranks(nodes: DataFrame, queries: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -127,18 +178,16 @@ def vector_ranks(nodes: DataFrame, queries: DataFrame, wanted: DataFrame) -> Dat
     score = F.round(F.coalesce(cosine(F.col("_of"), F.col("embedding")), F.lit(0.0)), 6)
     lists = scored.groupBy("query_id").agg(F.collect_list(F.struct(score.alias("score"), "id")).alias("wanted"))
 
-    def before(ids, matrix, questions, unit):
-        scores = np.round(matrix @ unit.T, 6)
-        places = questions.field("wanted")
-        names, counts = [], []
-        for column in range(len(places)):
-            own, listed = scores[:, column], places[column].values
-            for value, name in zip(listed.field("score").to_numpy(zero_copy_only=False), listed.field("id").to_numpy(zero_copy_only=False), strict=True):
-                counts.append(int(np.count_nonzero(own > value)) + int(np.count_nonzero((own == value) & (ids < name))))
-        sizes = places.value_lengths()
-        rows = pa.array(np.repeat(np.arange(len(places)), sizes.to_numpy(zero_copy_only=False)))
-        names = places.flatten().field("id")
-        yield pa.RecordBatch.from_arrays([questions.field("query_id").take(rows), names, pa.array(counts, pa.int64())], ["query_id", "id", "n"])
+    def before(ids, matrix, questions, unit, _):
+        scores = np.ascontiguousarray(np.round(matrix @ unit.T, 6).T)
+        codes, places = _codes(ids), questions.field("wanted")
+        counts = []
+        for own, wanted in zip(scores, places, strict=True):
+            values = wanted.values.field("score").to_numpy(zero_copy_only=False)
+            counts.append(_ahead(own, codes, values, _code_places(ids, wanted.values.field("id"))))
+        rows = pa.array(np.repeat(np.arange(len(places)), places.value_lengths().to_numpy(zero_copy_only=False)))
+        columns = [questions.field("query_id").take(rows), places.flatten().field("id"), pa.array(np.concatenate(counts).astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["query_id", "id", "n"])
 
     counted = _met(nodes, _query_blocks(queries.join(lists, "query_id"), "wanted"), _types(nodes, queries).replace("score double", "n long"), before)
     return counted.groupBy("query_id", "id").agg((F.sum("n") + 1).alias("rank"))
@@ -166,7 +215,7 @@ def _grouped_scores(nodes: DataFrame, queries: DataFrame, keys: list[str], k: in
         if left.empty or right.empty:
             return pd.DataFrame({"query_id": [], "id": [], "score": []})
         scores = np.round(_unit_rows(left["embedding"]) @ _unit_rows(right["embedding"]).T, 6)
-        return _best_of(left["id"].to_numpy(), scores, right["query_id"].to_numpy(), k)
+        return _best_of(pa.array(left["id"], from_pandas=True), scores, pa.array(right["query_id"], from_pandas=True), k).to_pandas()
 
     return nodes.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(score, _types(nodes, queries))
 
@@ -185,12 +234,12 @@ def build_vector_index(nodes: DataFrame, clusters: int = 256) -> VectorIndex:
     order = [F.md5(F.col("id").cast("string")), F.col("id")]
     centres = store(nodes.orderBy(*order).limit(clusters), "centres")
 
-    def nearest(ids, matrix, questions, unit):
+    def nearest(ids, matrix, questions, unit, _):
         names = questions.field("query_id")
         turn = np.argsort(names.to_numpy(zero_copy_only=False), kind="stable")
         scores = np.round(matrix @ unit[turn].T, 6)
         best = scores.argmax(axis=1)
-        columns = [pa.array(ids), names.take(pa.array(turn[best])), pa.array(scores[np.arange(len(ids)), best])]
+        columns = [ids, names.take(pa.array(turn[best])), pa.array(scores[np.arange(len(ids)), best])]
         yield pa.RecordBatch.from_arrays(columns, ["id", "centre", "score"])
 
     kind = nodes.schema["id"].dataType.simpleString()
@@ -236,41 +285,219 @@ def indexed_top_k(index: VectorIndex, queries: DataFrame, k: int = 8, probes: in
     return top_k_per_query(stack(found.select("query_id", "id", "score"), scored(rest)), k)
 
 
-def keyword_scores(docs: DataFrame, queries: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(query_id, id, score): BM25 of ``docs`` (id, text) for ``queries`` (query_id, text).
+@dataclass
+class KeywordIndex:
+    """Documents by the words that queries hold, in blocks; two stored tables."""
+
+    blocks: DataFrame  # block, query_ids, of, nos (word ``nos[i]`` is asked by query ``of[i]``), idf (by word)
+    postings: DataFrame  # block, ids, lengths, at (a document's postings end there), nos, tfs
+    shares: int  # blocks of queries
+    mean_length: float
+    types: str
+
+
+def _asked_blocks(queries: DataFrame) -> tuple[DataFrame, int]:
+    """(block, query_ids, words, of, nos): queries in blocks of bounded size, the words of a block listed once, in order."""
+    held = queries.select("query_id", F.array_distinct(tokens(F.col("text"))).alias("words")).where(F.size("words") > 0)
+    held = materialize(held)
+    n, words = held.agg(F.count("*"), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
+    shares = max(-(-n // QUERY_BLOCK), -(-words // BLOCK_WORDS), 1)
+    merged = held.groupBy("query_id").agg(F.flatten(F.collect_list("words")).alias("words"))
+    listed = merged.groupBy(_share(shares)).agg(F.collect_list(F.struct("query_id", "words")).alias("asked"))
+
+    def number(batches):
+        for batch in batches:
+            for block, asked in zip(*batch.columns, strict=True):
+                words = asked.values.field("words")
+                found = pc.unique(words.flatten()).sort()
+                sizes = words.value_lengths().to_numpy(zero_copy_only=False)
+                row = [block.as_py(), asked.values.field("query_id"), found, np.repeat(np.arange(len(sizes)), sizes), pc.index_in(words.flatten(), found)]
+                yield pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int64()), *[_one_list(c) for c in row[1:3]], *[_one_list(pa.array(c, pa.int32())) for c in row[3:]]], ["block", "query_ids", "words", "of", "nos"])
+
+    kind = queries.schema["query_id"].dataType.simpleString()
+    return store(listed.mapInArrow(number, f"block long, query_ids array<{kind}>, words array<string>, of array<int>, nos array<int>"), "asked-blocks"), shares
+
+
+def _share(shares: int) -> Column:
+    return F.pmod(F.xxhash64("query_id"), F.lit(shares)).cast("long").alias("block")
+
 
-    Postings are kept only for words some query holds and counted before the
-    shuffle. They are then placed by document: a frequent word is no hot key, and
-    the words a document shares with a query are summed up before the next shuffle.
+def _one_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(values, pa.int32()))
+
+
+def _token_blocks(docs: DataFrame) -> DataFrame:
+    """(ids, sizes, tokens): up to ``NODE_BLOCK`` documents a row and, but for a single document, ``BLOCK_WORDS`` words."""
+
+    def pack(batches):
+        for batch in batches:
+            words, at = batch.column("words"), 0
+            sizes = pc.fill_null(words.value_lengths(), 0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+            while at < len(sizes):
+                end = min(at + NODE_BLOCK, max(at + 1, int(np.searchsorted(ends, ends[at] + BLOCK_WORDS, side="right")) - 1))
+                columns = [batch.column("id").slice(at, end - at), pa.array(sizes[at:end], pa.int32()), words.slice(at, end - at).flatten()]
+                yield pa.RecordBatch.from_arrays([_one_list(c) for c in columns], ["ids", "sizes", "tokens"])
+                at = end
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.select("id", tokens(F.col("text")).alias("words")).mapInArrow(pack, f"ids array<{kind}>, sizes array<int>, tokens array<string>")
+
+
+def keyword_index(docs: DataFrame, queries: DataFrame) -> KeywordIndex:
+    """``docs`` (id, text) by the words of ``queries`` (query_id, text).
+
+    A document's words are looked up in the list of a block of queries where the document
+    is; what is shuffled is one row a document with the numbers and counts of those found.
     """
-    spark = docs.sparkSession
-    words = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("word"))
-    asked = words.select("word").distinct()
     length = F.regexp_count("text", F.lit(r"[\p{L}\p{N}_]+"))
     totals = docs.agg(F.count("*").alias("n"), F.avg(length).alias("mean_length")).first()
-    n, mean_length = F.lit(totals["n"]), F.lit(totals["mean_length"] or 1.0)
-    postings = (
-        docs.select("id", tokens(F.col("text")).alias("words"))
-        .select("id", F.size("words").alias("length"), F.explode_outer("words").alias("word"))  # the inner form tokenises again to filter
-        .join(asked, "word", "left_semi")
-        .groupBy("id", "word")
-        .agg(F.count("*").alias("tf"), F.first("length").alias("length"))
-        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
-    )
-    postings = materialize(postings)
-    df = postings.groupBy("word").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = words.join(df.select("word", idf.alias("idf")), "word")
-    tf = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / mean_length))
-    return (
-        postings.join(weighted, "word")
-        .groupBy("query_id", "id")
-        .agg(F.round(F.sum(F.col("idf") * tf), 6).alias("score"))
-    )
+    blocks, shares = _asked_blocks(queries)
+    kind = docs.schema["id"].dataType.simpleString()
+
+    def look_up(batches):
+        for batch in batches:
+            for ids, sizes, words, block, listed in zip(*batch.columns, strict=True):
+                no = pc.index_in(words.values, listed.values)
+                held = no.is_valid().to_numpy(zero_copy_only=False)
+                codes = _codes(ids.values)
+                sizes, width = sizes.values.to_numpy(), len(listed)
+                keys, tfs = np.unique(np.repeat(codes, sizes)[held] * width + no.drop_null().to_numpy(), return_counts=True)
+                some, ends = np.unique(keys // width, return_counts=True)
+                first = np.unique(codes, return_index=True)[1][some]
+                columns = [pa.array(np.full(len(some), block.as_py())), ids.values.take(pa.array(first)), pa.array(sizes[first], pa.int32())]
+                yield pa.RecordBatch.from_arrays([*columns, _lists(np.cumsum(ends), keys % width), _lists(np.cumsum(ends), tfs)], ["block", "id", "length", "nos", "tfs"])
+
+    def pack(batches):
+        for batch in batches:
+            share = batch.column("block").to_numpy()
+            for block in np.unique(share):
+                part = batch.filter(pa.array(share == block))
+                for at in range(0, part.num_rows, NODE_BLOCK):
+                    ids, lengths, nos, tfs = part.slice(at, NODE_BLOCK).columns[1:]
+                    # an id on several rows has several lists
+                    rows = np.repeat(np.arange(len(ids)), pc.list_value_length(nos).to_numpy())
+                    nos, tfs = nos.flatten(), tfs.flatten()
+                    rows = np.repeat(rows, pc.list_value_length(nos).to_numpy())
+                    nos, tfs = nos.flatten().to_numpy(), tfs.flatten().to_numpy()
+                    width = int(nos.max()) + 1
+                    keys, back = np.unique(rows * width + nos, return_inverse=True)
+                    counts = np.cumsum(np.bincount(keys // width, minlength=len(ids)))
+                    columns = [ids, lengths, *[pa.array(c, pa.int32()) for c in (counts, keys % width, np.bincount(back, tfs).astype(np.int64))]]
+                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *[_one_list(c) for c in columns]], ["block", "ids", "lengths", "at", "nos", "tfs"])
+
+    found = _token_blocks(docs).crossJoin(blocks.select("block", "words")).mapInArrow(look_up, f"block long, id {kind}, length int, nos array<int>, tfs array<int>")
+    merged = found.groupBy("block", "id").agg(F.first("length").alias("length"), F.collect_list("nos").alias("nos"), F.collect_list("tfs").alias("tfs"))
+    postings = store(merged.mapInArrow(pack, f"block long, ids array<{kind}>, lengths array<int>, at array<int>, nos array<int>, tfs array<int>"), "postings")
+
+    def count(batches):
+        for batch in batches:
+            for block, nos in zip(*batch.columns, strict=True):
+                no, df = np.unique(nos.values.to_numpy(), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(no), block.as_py())), pa.array(no, pa.int32()), pa.array(df, pa.int64())], ["block", "no", "df"])
+
+    df = postings.select("block", "nos").mapInArrow(count, "block long, no int, df long").groupBy("block", "no").agg(F.sum("df").alias("df"))
+    idf = F.log(1 + (F.lit(totals["n"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    listed = df.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("no", idf.alias("idf")))).alias("known"))
+    weighted = store(blocks.drop("words").join(listed, "block"), "asked-blocks")
+    types = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {kind}"
+    return KeywordIndex(weighted, postings, shares, totals["mean_length"] or 1.0, types)
+
+
+def _keyword_met(index: KeywordIndex, schema: str, kernel, wanted: DataFrame | None = None, k: int = 1, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """``kernel(ids, scores, query_ids, floors, wanted)`` over every block of documents and its queries; minus infinity where they share no word.
+
+    ``wanted`` is (query_id, id, ...), of a bounded number for each query; a block has the list of its queries.
+    """
+    blocks, mean_length, width = index.blocks, index.mean_length, WORD_SLICE
+    if wanted is not None:
+        of_block = wanted.groupBy(_share(index.shares)).agg(F.collect_list(F.struct(*wanted.columns)).alias("wanted"))
+        blocks = store(blocks.join(of_block, "block"), "wanted-blocks")
+
+    def run(batches):
+        floors = _Floors(k)
+        for batch in batches:
+            for ids, lengths, at, nos, tfs, names, of, asked, known, *more in zip(*batch.columns, strict=True):
+                ends = at.values.to_numpy()
+                rows = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+                nos, tfs = nos.values.to_numpy(), tfs.values.to_numpy().astype(np.float64)
+                weight = tfs * (k1 + 1) / (tfs + k1 * (1 - b + b * lengths.values.to_numpy()[rows] / mean_length))
+                columns, asked = of.values.to_numpy(), asked.values.to_numpy()
+                top = max(int(asked.max()), int(nos.max())) + 1
+                idf = np.zeros(top)
+                idf[known.values.field("no").to_numpy()] = known.values.field("idf").to_numpy()
+                scores = np.zeros((len(ends), len(names)))
+                for low in range(0, top, width):
+                    held, meant = (nos >= low) & (nos < low + width), (asked >= low) & (asked < low + width)
+                    left, right = np.zeros((len(ends), width)), np.zeros((width, len(names)))
+                    left[rows[held], nos[held] - low] = weight[held]
+                    np.add.at(right, (asked[meant] - low, columns[meant]), idf[asked[meant]])
+                    scores += left @ right
+                scores = np.where(scores > 0, np.round(scores, 6), -np.inf)
+                yield from kernel(ids.values, scores, names.values, floors, *[m.values for m in more])
+
+    listed = ["ids", "lengths", "at", "nos", "tfs", "query_ids", "of", "asked", "known", *(["wanted"] if wanted is not None else [])]
+    joined = index.postings.join(blocks.withColumnRenamed("nos", "asked"), "block").select(*listed)
+    return joined.mapInArrow(run, schema)
+
+
+def keyword_scores(docs: DataFrame, queries: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """(query_id, id, score): BM25 of ``docs`` (id, text) for ``queries`` (query_id, text), a row for every pair that shares a word."""
+    index = keyword_index(docs, queries)
+
+    def every(ids, scores, names, _):
+        at, of = np.nonzero(scores > -np.inf)
+        yield pa.RecordBatch.from_arrays([names.take(pa.array(of)), ids.take(pa.array(at)), pa.array(scores[at, of])], ["query_id", "id", "score"])
+
+    return _keyword_met(index, f"{index.types}, score double", every, k1=k1, b=b)
+
+
+def keyword_top_k(index: KeywordIndex, k: int = 8) -> DataFrame:
+    """(query_id, id, score, rank): the k best of each query. No row is made for a pair that is not near the best of its block."""
+
+    def best(ids, scores, names, floors):
+        yield _best_of(ids, scores, names, k, floors.of(names))
+
+    return top_k_per_query(_keyword_met(index, f"{index.types}, score double", best, k=k), k)
 
 
 def keyword_search(docs: DataFrame, queries: DataFrame, k: int = 8) -> DataFrame:
-    return top_k_per_query(keyword_scores(docs, queries), k)
+    return keyword_top_k(keyword_index(docs, queries), k)
+
+
+def keyword_ranks(index: KeywordIndex, wanted: DataFrame) -> DataFrame:
+    """(query_id, id, rank): places of some documents among all that share a word with their query; others have none.
+
+    ``wanted`` is (query_id, id), of a bounded number for each query. A block counts for
+    each of them its documents that come before; the counts are added up.
+    """
+
+    def own(ids, scores, names, _, asked):
+        at, of = pc.index_in(asked.field("id"), ids), pc.index_in(asked.field("query_id"), names)
+        here = pc.and_(at.is_valid(), of.is_valid())
+        at, of = at.filter(here).to_numpy(), of.filter(here).to_numpy()
+        found = scores[at, of] > -np.inf
+        at, of = at[found], of[found]
+        yield pa.RecordBatch.from_arrays([names.take(pa.array(of)), ids.take(pa.array(at)), pa.array(scores[at, of])], ["query_id", "id", "score"])
+
+    def before(ids, scores, names, _, asked):
+        codes = _codes(ids)
+        of = pc.index_in(asked.field("query_id"), names).to_numpy()
+        values = asked.field("score").to_numpy(zero_copy_only=False)
+        places = _code_places(ids, asked.field("id"))
+        counts = np.zeros(len(of), np.int64)
+        for column, column_scores in enumerate(np.ascontiguousarray(scores.T)):
+            mine = np.flatnonzero(of == column)
+            if len(mine):
+                counts[mine] = _ahead(column_scores, codes, values[mine], places[mine])
+        yield pa.RecordBatch.from_arrays([asked.field("query_id"), asked.field("id"), pa.array(counts)], ["query_id", "id", "n"])
+
+    valued = materialize(_keyword_met(index, f"{index.types}, score double", own, wanted.select("query_id", "id").where("id IS NOT NULL AND query_id IS NOT NULL")))
+    return _keyword_met(index, f"{index.types}, n long", before, valued).groupBy("query_id", "id").agg((F.sum("n") + 1).alias("rank"))
 
 
 def edge_text(edges: DataFrame) -> DataFrame:
@@ -309,8 +536,8 @@ def hybrid_search(nodes: DataFrame, queries: DataFrame, k: int = 8, near: DataFr
     depth = proof_depth(k, constant=constant)
     nodes, queries = materialize(nodes.select("id", "text", "embedding")), materialize(queries.select("query_id", "text", "embedding"))
     near = materialize(vector_top_k(nodes, queries, depth)) if near is None else near
-    scored = materialize(keyword_scores(nodes, queries))
-    words = top_k_per_query(scored, depth)
+    index = keyword_index(nodes, queries)
+    words = materialize(keyword_top_k(index, depth))
     place = lambda rows, own, other: rows.select("query_id", "id", F.col("rank").cast("long").alias(own), F.lit(None).cast("long").alias(other))
     seen = stack(place(near, "near", "word"), place(words, "word", "near")).groupBy("query_id", "id").agg(F.max("near").alias("near"), F.max("word").alias("word"))
     share = lambda rank: F.coalesce(1.0 / (constant + rank), F.lit(0.0))
@@ -320,7 +547,7 @@ def hybrid_search(nodes: DataFrame, queries: DataFrame, k: int = 8, near: DataFr
     may = F.col("_known") + F.when(missing, 1.0 / (constant + depth + 1)).otherwise(0.0)
     able = materialize(known.join(bar, "query_id").where(F.coalesce(may >= F.col("_bar") - 1e-8, F.lit(True))).drop("_bar", "_known"))
     far = vector_ranks(nodes, queries, able.where("near IS NULL").select("query_id", "id")).select("query_id", "id", F.col("rank").alias("_near"))
-    low = score_ranks(scored, able.where("word IS NULL").select("query_id", "id")).select("query_id", "id", F.col("rank").alias("_word"))
+    low = keyword_ranks(index, able.where("word IS NULL").select("query_id", "id")).select("query_id", "id", F.col("rank").alias("_word"))
     placed = able.join(far, ["query_id", "id"], "left").join(low, ["query_id", "id"], "left")
     score = F.round(share(F.coalesce("near", "_near")) + share(F.coalesce("word", "_word")), 9)
     return top_k_per_query(placed.select("query_id", "id", score.alias("score")), k)
