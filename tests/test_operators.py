@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from threadline.operators import graph, search, traverse, versions
+from threadline.plans import queries_changes
 from threadline.session import stack
 from threadline.sources import lineage_files, paths
 from threadline.streaming import keyed
@@ -411,3 +412,33 @@ def test_keyword_search_makes_no_row_for_every_pair(spark):
     assert ids == {(f"q{q}", n + 1): n for q in range(20) for n in range(3)}
     kept = search._best_of(pa.array(range(3000)), np.ones((3000, 2)), pa.array(["a", "b"]), 3)
     assert kept.column("id").to_pylist() == [0, 1, 2] * 2
+
+
+def test_upstream_walks_shuffle_no_level_twice(spark):
+    edges = spark.createDataFrame([("a", "b", "t"), ("b", "c", "t"), ("a", "c", "t"), ("c", "a", "u")], "src string, dst string, relationship string")
+    roots = spark.createDataFrame([("c",), ("c",), (None,)], "root string")
+    found = traverse.upstream_walks(edges, roots, 4)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Join") <= 1  # what was walked is stored level by level
+    walks, want = [("c", "c", 1)] * 2, {}
+    while walks:
+        ahead = []
+        for root, node, depth in walks:
+            for src, dst, kind in edges.collect() if depth <= 4 else []:
+                if dst == node:
+                    want[(root, src, dst, kind, depth)] = want.get((root, src, dst, kind, depth), 0) + 1
+                    ahead.append((root, src, depth + 1))
+        walks = ahead
+    assert {tuple(r)[:5]: r.n_walks for r in found.collect()} == want
+
+
+def test_files_of_line_items_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries_changes, "LINES_A_FILE", 100)
+    rows = spark.range(2000).selectExpr("id AS l_orderkey", "id % 50 AS l_partkey", "id % 7 AS l_suppkey", "1 AS l_linenumber", "double(id % 9) AS l_quantity",
+                                        "'A' AS l_returnflag", "'F' AS l_linestatus", "timestamp'2024-01-01 00:00:00' + make_dt_interval(int(id * 37 % 300)) AS l_shipdate")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    folder = queries_changes._line_files(spark, str(tmp_path), [F.expr(queries_changes._TIE).alias("tie")])
+    sizes = [r["count"] for r in spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 1000 and len(sizes) >= 10
+    got = {r.id: (r.entity_name, str(r.created_on)) for r in queries_changes.t2(spark, str(tmp_path)).collect()}
+    last = {f"n:{r.l_partkey}": str(r.day) for r in rows.groupBy("l_partkey").agg(F.to_date(F.max("l_shipdate")).alias("day")).collect()}
+    assert got == {i: ("AF", day) for i, day in last.items()}

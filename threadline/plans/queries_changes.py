@@ -87,18 +87,24 @@ def t1(spark, sf):
 
 
 def _line_files(spark, sf, columns) -> str:
-    """Line items as files to stream, scattered so that late rows occur."""
+    """Line items as files to stream, scattered so that late rows occur; a file, and the task that writes it, is of bounded size."""
     folder = scratch_path(spark, "lines")
     rows = inputs.table(spark, sf, "lineitem").select(*columns)
-    rows.repartition(6, F.col("tie") % 6).write.parquet(folder)
+    files = max(6, 3 * -(-rows.count() // (3 * LINES_A_FILE)))
+    rows.repartition(files, F.col("tie") % files).write.parquet(folder)
     return folder
 
 
+#: Line items a file of the stream holds, about.
+LINES_A_FILE = 1_000_000
+
 _TIE = "l_orderkey * 10 + l_linenumber"
 
 
 def _stream_files(spark, folder):
-    return spark.readStream.schema(spark.read.parquet(folder).schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    """The files in three batches, two files a batch at least."""
+    rows = spark.read.parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(2, -(-len(rows.inputFiles()) // 3))).parquet(folder)
 
 
 @query(
