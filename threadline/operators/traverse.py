@@ -1,6 +1,6 @@
 """Walking the graph.
 
-Bounded walks (``reach``, ``upstream_walks``) are one lazy plan: every step reads
+Bounded walks (``reach``) are one lazy plan: every step reads
 the step before once, so the plan grows linearly with the number of hops and the
 exchange of the edges is shared by all steps. A state row exists once per
 (root, node), so no step emits more rows than roots times edges, however many
@@ -71,29 +71,19 @@ def upstream_walks(edges: DataFrame, roots: DataFrame, hops: int = 10) -> DataFr
     """(root, src, dst, relationship, depth, n_walks): edges walked backwards from root.
 
     ``n_walks`` is how many walks use the edge at that depth, so a bag of walks is
-    told without listing it. Column ``w{d}`` of the state counts walks of length d.
+    told without listing it. A level holds the walks of one length by their ends and
+    is written once; a step shuffles the last level and none before it.
     """
-    zero = F.lit(0).cast("long")
-    begin = roots.select(
-        "root", F.col("root").alias("node"), F.lit(1).cast("long").alias("w0"),
-        *[zero.alias(f"w{d}") for d in range(1, hops)],
-    )
     back = edges.select(F.col("dst").alias("node"), F.col("src").alias("next"))
-    state = begin
+    level = roots.select("root", F.col("root").alias("node"), F.lit(1).cast("long").alias("n_walks"))
+    if hops > 1:
+        level = store(level.groupBy("root", "node").agg(F.sum("n_walks").alias("n_walks")), "walks")
+    levels = [level]
     for _ in range(hops - 1):
-        step = state.join(back, "node").select(
-            "root", F.col("next").alias("node"), zero.alias("w0"),
-            *[F.col(f"w{d - 1}").alias(f"w{d}") for d in range(1, hops)],
-        )
-        state = stack(begin, step).groupBy("root", "node").agg(
-            *[F.sum(f"w{d}").alias(f"w{d}") for d in range(hops)]
-        )
-    depths = F.array(*[F.struct(F.lit(d + 1).alias("depth"), F.col(f"w{d}").alias("n_walks")) for d in range(hops)])
-    used = state.select("root", F.col("node").alias("dst"), F.filter(depths, lambda x: x["n_walks"] > 0).alias("depths"))
-    return (
-        edges.select("src", "dst", "relationship").join(used, "dst")
-        .select("root", "src", "dst", "relationship", F.inline("depths"))
-    )
+        step = levels[-1].join(back, "node").groupBy("root", F.col("next").alias("node")).agg(F.sum("n_walks").alias("n_walks"))
+        levels.append(store(step, "walks"))
+    used = stack(*[rows.select("root", F.col("node").alias("dst"), F.lit(d + 1).alias("depth"), "n_walks") for d, rows in enumerate(levels)])
+    return edges.select("src", "dst", "relationship").join(used, "dst").select("root", "src", "dst", "relationship", "depth", "n_walks")
 
 
 def order_by_depth(rows: DataFrame, *ties: str) -> DataFrame:
