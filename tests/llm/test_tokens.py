@@ -124,3 +124,24 @@ def test_least_squares_uses_the_histogram_up():
     used = np.bincount(combos.ravel(), np.repeat(repeats, 3), 2049)
     assert (used[1:] <= counts[1:]).all()
     assert repeats.sum() * 2048 > 0.9 * (counts * np.arange(2049)).sum()
+
+
+def test_white_space_that_leaves_a_text_undivided():
+    from threadline.llm import bpe
+
+    assert [s for s in map(chr, range(0x110000)) if s.isspace() and s not in " \t\n\r"] == list(bpe.UNUSUAL_SPACE)
+    assert bpe.UNUSUAL_SPACE[:6].isascii() and not any(s.isascii() for s in bpe.UNUSUAL_SPACE[6:])
+    assert bpe.has_unusual_space("a\x1fb") and bpe.has_unusual_space("é b") and not bpe.has_unusual_space("a \t\n\rb é")
+
+
+def test_bit_strings_of_any_length_decode():
+    import numpy as np
+
+    from threadline.llm import huffman
+
+    rng = np.random.default_rng(1)
+    lengths = huffman.code_lengths(rng.integers(0, 1000, 3000) ** 3)
+    for n in (0, 1, 2, 33, 5000):
+        ids = rng.choice(np.flatnonzero(lengths), n)
+        _, checkpoints, payload = huffman.encode_ids(ids, huffman.canonical_codes(lengths), lengths)
+        assert huffman.Decoder(lengths).decode(n, checkpoints, payload).tolist() == ids.tolist()

@@ -16,7 +16,8 @@ _LETTERS, _SMALL = "A-Za-zÀ-ÖØ-öø-ÿ", "a-zß-öø-ÿ"
 _RUN = rf"(?:[{_LETTERS}]+(?=[ \t\n\r!-@\[-`{{-~]|\Z)|[^ \t\n\r]+)"
 WITH_SPACE = re.compile(rf"[ \t\n\r]*{_RUN}|[ \t\n\r]+")
 WITHOUT_SPACE = re.compile(_RUN)
-UNUSUAL_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+#: White space at which a text goes to the library undivided; the first six are all of it that ASCII has.
+UNUSUAL_SPACE = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Letters whose small form may depend on their neighbours or on composition.
 NOT_LATIN = re.compile("[İɐ-῿⁰-\U0010ffff]")
 
@@ -104,9 +105,17 @@ def chunks_of(path: str, text: str) -> list[str]:
     return (WITHOUT_SPACE if drops_space(path) else WITH_SPACE).findall(text)
 
 
+def has_unusual_space(text: str) -> bool:
+    """Looked for sign by sign: each is one fast scan of the text, many times cheaper than a pattern's walk."""
+    for sign in UNUSUAL_SPACE[:6] if text.isascii() else UNUSUAL_SPACE:
+        if sign in text:
+            return True
+    return False
+
+
 def token_bytes(path: str, text: str) -> bytes:
     """Ids of a text as little-endian unsigned 32-bit integers."""
     answers = _packed_answers(path)
-    if UNUSUAL_SPACE.search(text):
+    if has_unusual_space(text):
         return answers.ask(text)
     return b"".join(map(answers.__getitem__, chunks_of(path, text)))

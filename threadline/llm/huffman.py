@@ -67,15 +67,18 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
 
 def encode_ids(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[int, np.ndarray, bytes]:
     """Number of bits, checkpoints and big-endian 32-bit words of the bit string."""
-    width = lengths[ids].astype(np.int64)
+    width = lengths.astype(np.int64)[ids]
     ends = np.cumsum(width)
     begins = ends - width
     bits = int(ends[-1]) if len(ids) else 0
-    value = codes[ids] << (64 - width - (begins & 31)).astype(np.uint64)
-    word = begins >> 5
-    size = (bits >> 5) + 2
-    # codes fill disjoint bits, so sums of their parts are exact in doubles
-    packed = np.bincount(word, (value >> np.uint64(32)).astype(np.float64), size) + np.bincount(word + 1, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), size)
+    packed = np.zeros((bits >> 5) + 2, np.uint64)
+    if len(ids):
+        value = codes[ids] << (64 - width - (begins & 31)).astype(np.uint64)
+        word = begins >> 5
+        # codes fill disjoint bits; no code is longer than a word, so one begins in every word and words follow each other
+        value = np.bitwise_or.reduceat(value, np.flatnonzero(np.diff(word, prepend=-1)))
+        packed[: len(value)] = value >> np.uint64(32)
+        packed[1 : len(value) + 1] |= value & np.uint64(0xFFFFFFFF)
     return bits, begins[::STEP], packed.astype(">u4").tobytes()
 
 
@@ -145,12 +148,21 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 0,
 
     def histogram(batches):
         counts = np.zeros(1, np.int64)
+        waiting, held = [], 0
+
+        def counted(counts):
+            seen = np.bincount(np.concatenate(waiting), minlength=len(counts))
+            seen[: len(counts)] += counts
+            return seen
+
         for batch in batches:
             for n, ids in zip(batch.column("n"), batch.column("ids"), strict=True):
-                seen = np.bincount(_wide(ids.as_py(), n.as_py()))
-                if len(seen) > len(counts):
-                    counts = np.concatenate([counts, np.zeros(len(seen) - len(counts), np.int64)])
-                counts[: len(seen)] += seen
+                waiting.append(_wide(ids.as_py(), n.as_py()))
+                held += len(waiting[-1])
+                if held >= BLOCK_IDS:  # an array as long as the vocabulary for each document would cost more than its ids
+                    counts, waiting, held = counted(counts), [], 0
+        if waiting:
+            counts = counted(counts)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], ["id", "n"])
 

@@ -50,7 +50,7 @@ def _counter(path: str) -> bpe.Answers:
 
 def token_count(path: str, text: str) -> int:
     counts = _counter(path)
-    if bpe.UNUSUAL_SPACE.search(text):
+    if bpe.has_unusual_space(text):
         return counts.ask(text)
     return sum(map(counts.__getitem__, bpe.chunks_of(path, text)))
 
