@@ -222,3 +222,14 @@ def test_cells(spark):
 def test_dedent_and_magic_lines(spark):
     code = "    a = 1\n  %md note\n      b = 2\n\n    c = 3"
     assert spark.range(1).select(cells.clean_python(F.lit(code))).first()[0] == "a = 1\n  b = 2\n\nc = 3"
+
+
+def test_rows_read_more_than_once_are_parsed_once(spark):
+    from threadline.plans import queries_lineage
+
+    folder = "/root/testdata/sf0.001"
+    parses = lambda frame: frame._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+    assert parses(queries_lineage.l6(spark, folder)) == 0
+    assert parses(queries_lineage.u1(spark, folder)) == 3  # SQL cells, and the SQL texts to variables and by themselves
+    entities, links = queries_lineage.whole_lineage(spark, folder)
+    assert parses(entities) == 0 and parses(links) == 1

@@ -148,10 +148,17 @@ def tables_to_variables(python_rows: DataFrame) -> DataFrame:
     return read.selectExpr("path", "'L4' AS rule", "concat('table:', n) AS src", "dst", "'reads_from' AS rel")
 
 
-def embedded_sql_lineage(python_rows: DataFrame) -> DataFrame:
-    """Relationships of SQL text inside Python: to the variable, and those the text itself states."""
-    found = embedded_sql(python_rows)
-    inner = sql_lineage(sql_components(sql_statements(found.select("path", "cell_no", "content"))))
+def stated_in_texts(python_rows: DataFrame) -> DataFrame:
+    """Lineage rows that SQL text inside Python states by itself."""
+    return sql_lineage(sql_components(sql_statements(embedded_sql(python_rows))))
+
+
+def embedded_sql_lineage(python_rows: DataFrame, inner: DataFrame | None = None) -> DataFrame:
+    """Relationships of SQL text inside Python: to the variable, and those the text itself states.
+
+    ``python_rows`` is read twice, so let it be a table; ``inner`` is ``stated_in_texts`` where that is at hand.
+    """
+    inner = stated_in_texts(python_rows) if inner is None else inner
     stated = inner.where("kind = 'relationship'").select("path", F.lit("L4").alias("rule"), "src", "dst", "rel")
     return stack(tables_to_variables(python_rows), stated)
 
