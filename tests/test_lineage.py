@@ -233,3 +233,10 @@ def test_rows_read_more_than_once_are_parsed_once(spark):
     assert parses(queries_lineage.u1(spark, folder)) == 3  # SQL cells, and the SQL texts to variables and by themselves
     entities, links = queries_lineage.whole_lineage(spark, folder)
     assert parses(entities) == 0 and parses(links) == 1
+
+
+def test_scopes_take_statements_apart_once(spark):
+    cell = spark.range(1).selectExpr("'nb' AS path", "0 AS cell_no", "'CREATE TABLE o AS SELECT a, (SELECT max(b) FROM u) AS m FROM t' AS content")
+    scopes = sql_lineage.query_scopes(sql_lineage.sql_components(sql_lineage.sql_statements(cell)))
+    assert "MapInArrow" not in scopes._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.output, r.from_column) for r in scopes.collect()} >= {("a", "a"), ("m", "*")}

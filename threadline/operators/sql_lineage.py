@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from threadline.functions import sql_text as t
 from threadline.operators import graph
-from threadline.session import materialize, stack
+from threadline.session import materialize, stack, store
 
 _KEYS = ("path", "cell_no", "stmt_no")
 
@@ -247,6 +247,7 @@ def query_scopes(components: DataFrame) -> DataFrame:
         f"{t.extract('item', _STAR, 0)} IS NOT NULL AS star", f"{t.extract('item', _STAR, 1)} AS star_of",
         f"transform(split({t.extract('item', _STAR, 2)}, ','), n -> lower({t.clean_name(t.plain('n'))})) AS excluded",
     )
+    item = store(item, "select-items")  # read by every kind of source below
     keys = [*_KEYS, "target", "root", "place", "number", "listed", "at"]
     stars = item.where("star").selectExpr(
         *keys, "'*' AS output", "'*' AS expression", "excluded", f"explode(if(star_of IS NULL, sources, array({_matching('star_of')}))) AS s",
@@ -261,6 +262,7 @@ def query_scopes(components: DataFrame) -> DataFrame:
         f"array_distinct(transform(filter({found}, n -> upper(n) NOT IN ({reserved}) AND n NOT RLIKE '^[0-9]'), n -> {t.clean_name('n')})) AS names",
         f"{t.extract_all('marked_expression', _SUBQUERY, 1)} AS inner_numbers",
     )
+    named = store(named, "named-items")
     inner = named.selectExpr(
         *keys, "output", "expression", "CAST(NULL AS array<string>) AS excluded", "CAST(NULL AS string) AS from_table",
         "explode(inner_numbers) AS from_number", "'*' AS from_column", "true AS sure",
