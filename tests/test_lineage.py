@@ -224,10 +224,11 @@ def test_dedent_and_magic_lines(spark):
     assert spark.range(1).select(cells.clean_python(F.lit(code))).first()[0] == "a = 1\n  b = 2\n\nc = 3"
 
 
-def test_rows_read_more_than_once_are_parsed_once(spark):
+def test_rows_read_more_than_once_are_parsed_once(spark, tmp_path):
     from threadline.plans import queries_lineage
 
-    folder = "/root/testdata/sf0.001"
+    folder = str(tmp_path)
+    spark.range(81).selectExpr("id AS o_orderkey", "id % 2 AS o_custkey").write.parquet(f"{folder}/orders.parquet")
     parses = lambda frame: frame._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
     assert parses(queries_lineage.l6(spark, folder)) == 0
     assert parses(queries_lineage.u1(spark, folder)) == 3  # SQL cells, and the SQL texts to variables and by themselves

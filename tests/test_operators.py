@@ -442,3 +442,21 @@ def test_files_of_line_items_are_bounded(spark, tmp_path, monkeypatch):
     got = {r.id: (r.entity_name, str(r.created_on)) for r in queries_changes.t2(spark, str(tmp_path)).collect()}
     last = {f"n:{r.l_partkey}": str(r.day) for r in rows.groupBy("l_partkey").agg(F.to_date(F.max("l_shipdate")).alias("day")).collect()}
     assert got == {i: ("AF", day) for i, day in last.items()}
+
+
+def test_code_files_a_task_are_bounded(spark, monkeypatch, tmp_path):
+    from threadline.plans import inputs
+
+    spark.range(1000).selectExpr("id AS c_custkey", "CAST(id % 25 AS INT) AS c_nationkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    monkeypatch.setattr(inputs, "FILES_A_TASK", 20)
+    files = inputs.code_files(spark, str(tmp_path))
+    assert files.rdd.getNumPartitions() == 50 and files.count() == 1000
+
+
+def test_rows_of_one_batch_of_files_are_handed_on_in_pieces(spark, monkeypatch):
+    from threadline.operators import python_lineage
+
+    monkeypatch.setattr(python_lineage, "_FLUSH_ROWS", 10)
+    files = spark.range(30).coalesce(1).selectExpr("concat('f', id) AS path", "if(id = 7, 'x = (', 'x = 1') AS text")
+    tree = python_lineage.ast_nodes(files)
+    assert tree.where("error IS NULL").groupBy("file").count().distinct().count() == 29 and tree.where("error IS NOT NULL").count() == 1
