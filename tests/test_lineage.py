@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from threadline.functions import sql_text
 from threadline.operators import cells, python_lineage, sql_lineage
+from threadline.sources import exports
 
 
 def python_rows(spark, code, readers=None):
@@ -241,3 +242,20 @@ def test_scopes_take_statements_apart_once(spark):
     scopes = sql_lineage.query_scopes(sql_lineage.sql_components(sql_lineage.sql_statements(cell)))
     assert "MapInArrow" not in scopes._jdf.queryExecution().optimizedPlan().toString()
     assert {(r.output, r.from_column) for r in scopes.collect()} >= {("a", "a"), ("m", "*")}
+
+
+def test_every_export_is_a_file_in_a_folder_of_its_task(spark, tmp_path):
+    texts = [f"# cell {n}\nx = 'é'" for n in range(2500)] + ["", None, "{", "same", "same"]
+    rows = spark.createDataFrame([(t,) for t in texts], "content string")
+    exports.write_notebook_exports(rows, str(tmp_path / "e"), len(texts))
+    found = exports.read_notebook_exports(spark, str(tmp_path / "e")).select("format", F.col("content").cast("string").alias("content"), "path").collect()
+    assert sorted(r.content for r in found) == sorted(f"{t or ''}\n" for t in texts)
+    assert [r.format for r in found if r.content == "{\n"] == ["JUPYTER"] and sum(r.format == "JUPYTER" for r in found) == 1
+    assert len({r.path.rsplit("/", 1)[0] for r in found}) > 1
+
+
+def test_exports_elsewhere_are_written_by_spark(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exports, "local_path", lambda *_: None)
+    exports.write_notebook_exports(spark.createDataFrame([("a",), ("b\nc",), (None,)], "content string"), str(tmp_path / "e"), 3)
+    found = exports.read_notebook_exports(spark, str(tmp_path / "e")).select(F.col("content").cast("string").alias("content")).collect()
+    assert sorted(r.content for r in found) == ["\n", "a\n", "b\nc\n"]

@@ -2,9 +2,50 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadline.session import local_path
+
+#: Files below one folder, which one task writes.
+FILES_A_FOLDER = 1_000
+
+
+def write_notebook_exports(texts: DataFrame, folder: str, files: int) -> None:
+    """Every row of one text column as a file of its own below a new folder; about ``files`` of them are expected.
+
+    Each task has a folder, so that many folders are listed side by side. Spark's writer starts two processes a
+    file on a local file system without native Hadoop, to set its mode; there the tasks write the files themselves.
+    """
+    spark = texts.sparkSession
+    rows = texts.repartition(max(spark.sparkContext.defaultParallelism, -(-files // FILES_A_FOLDER)))
+    place = local_path(spark, folder)
+    if place is None:
+        spread = rows.withColumn("task", F.spark_partition_id())
+        spread.write.option("maxRecordsPerFile", 1).partitionBy("task").text(folder)
+        return
+    os.makedirs(place, exist_ok=True)
+
+    def write(batches: Iterator) -> Iterator:
+        at, n = TaskContext.get(), 0
+        inside = f"{place}/task={at.partitionId()}"
+        os.makedirs(inside, exist_ok=True)
+        for batch in batches:
+            for value in batch.column(0):
+                # seen whole or not at all, and written over by another attempt of the task
+                draft = f"{inside}/.part-{n:05d}.{at.taskAttemptId()}"
+                with open(draft, "wb") as out:
+                    out.write(f"{value.as_py() or ''}\n".encode())
+                os.replace(draft, f"{inside}/part-{n:05d}.txt")
+                n += 1
+        yield from ()
+
+    rows.mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
+
 
 def read_notebook_exports(spark: SparkSession, folder: str) -> DataFrame:
     """(path, format, content) of every file below a folder.
