@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -41,6 +42,46 @@ def test_base_patterns():
         assert pii.base_spans(text) == plain_spans(text), text
 
 
+def test_crf_finishes_long_runs_one_by_one():
+    crf = pii.Crf({}, np.zeros((0, 3)), np.random.default_rng(3).normal(size=(3, 3)))
+    rng = np.random.default_rng(8)
+    lengths = np.concatenate([rng.integers(1, 30, 300), [200_000, 40, 41]])
+    rng.shuffle(lengths)
+    scores = np.round(rng.normal(size=(lengths.sum(), 3)) * 2)  # with ties
+    began = time.process_time()
+    got = crf.decode(scores, lengths)
+    assert time.process_time() - began < 3  # a step of all runs for each of its tokens takes some ten seconds
+    at = 0
+    for n in lengths.tolist():  # plain Viterbi
+        best, back = scores[at] + crf.step[0], []
+        best[2] = -np.inf
+        for t in range(1, min(n, 500)):
+            paths = best[:, None] + crf.step
+            paths[0, 2] = -np.inf
+            back.append(paths.argmax(axis=0))
+            best = paths.max(axis=0) + scores[at + t]
+        if n <= 500:
+            label, want = int((best + crf.step[:, 0]).argmax()), []
+            for step in [*reversed(back), None]:
+                want.append(label)
+                label = int(step[label]) if step is not None else 0
+            assert got[at : at + n].tolist() == want[::-1]
+        else:
+            whole = pii.Crf.decode(crf, scores[at : at + n], np.array([n]))
+            assert (got[at : at + n] == whole).all() and not ((whole[:-1] == 0) & (whole[1:] == 2)).any()
+        at += n
+
+
+def test_looks_of_words_and_signs():
+    rng = random.Random(5)
+    for _ in range(5000):
+        word = "".join(rng.choice("aA1é²ªßǅZzÉf90") for _ in range(rng.randint(1, 9))) if rng.random() < 0.9 else rng.choice("_-,.#é")
+        _, _, _, mixed, turns, unlettered, shape, _, _ = pii._looks(word)
+        letters = sum(c.isalpha() for c in word)
+        assert (mixed, unlettered, shape) == (0 < letters < len(word), letters == 0, pii._shape(word)[:6])
+        assert turns == min(sum(a.isdigit() != b.isdigit() for a, b in zip(word, word[1:], strict=False)), 8) // 2
+
+
 def test_crf_decodes_the_best_labels():
     crf = pii.train()
     rng = np.random.default_rng(8)
