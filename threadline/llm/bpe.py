@@ -65,12 +65,18 @@ def _packed(path: str):
     encode, merge, signs, small = tokenizer(path).encode, tokenizer(path).model.tokenize, _byte_signs(), lowers(path)
     one = re.compile(rf"{'' if drops_space(path) else ' ?'}[{_SMALL if small else _LETTERS}]+")
 
+    space, packs = signs[ord(" ")], [struct.Struct(f"<{n}I").pack for n in range(1 + CACHE_CHARS)]
+
     def ask(chunk: str) -> bytes:
         if one.fullmatch(chunk):  # a single pre-token: only the merges are left to do
-            ids = [t.id for t in merge(chunk.encode().decode("latin-1").translate(signs))]
+            if not chunk.isascii():
+                chunk = chunk.encode().decode("latin-1").translate(signs)
+            elif chunk[0] == " ":
+                chunk = space + chunk[1:]  # letters stand for themselves
+            ids = [t.id for t in merge(chunk)]
         else:
             ids = encode(chunk, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return packs[len(ids)](*ids) if len(ids) < len(packs) else struct.pack(f"<{len(ids)}I", *ids)
 
     return ask
 

@@ -67,13 +67,15 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
 
 def encode_ids(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[int, np.ndarray, bytes]:
     """Number of bits, checkpoints and big-endian 32-bit words of the bit string."""
-    width = lengths.astype(np.int64)[ids]
+    wide = lengths.astype(np.int64)
+    left = codes << (64 - wide).astype(np.uint64)
+    width = wide[ids]
     ends = np.cumsum(width)
     begins = ends - width
     bits = int(ends[-1]) if len(ids) else 0
     packed = np.zeros((bits >> 5) + 2, np.uint64)
     if len(ids):
-        value = codes[ids] << (64 - width - (begins & 31)).astype(np.uint64)
+        value = left[ids] >> (begins & 31).astype(np.uint64)
         word = begins >> 5
         # codes fill disjoint bits; no code is longer than a word, so one begins in every word and words follow each other
         value = np.bitwise_or.reduceat(value, np.flatnonzero(np.diff(word, prepend=-1)))
@@ -100,16 +102,17 @@ class Decoder:
 
     def decode(self, n: int, checkpoints: np.ndarray, payload: bytes) -> np.ndarray:
         words = np.frombuffer(payload, ">u4").astype(np.uint64)
-        pairs = (words[:-1] << np.uint64(32)) | words[1:]
-        out = np.zeros((len(checkpoints), STEP), np.uint32)
+        # the last stretch may end early and then reads on behind the payload
+        pairs = np.zeros(len(words) + STEP * self.max_bits // 32 + 1, np.uint64)
+        pairs[: len(words) - 1] = (words[:-1] << np.uint64(32)) | words[1:]
+        out = np.zeros((STEP, len(checkpoints)), np.uint32)
         at = checkpoints.astype(np.int64)
         top, mask = 64 - self.max_bits, np.uint64((1 << self.max_bits) - 1)
-        last = len(pairs) - 1
         for k in range(STEP):
-            window = (pairs[np.minimum(at >> 5, last)] >> (top - (at & 31)).astype(np.uint64)) & mask
-            out[:, k] = self.ids[window]
+            window = ((pairs[at >> 5] >> (top - (at & 31)).view(np.uint64)) & mask).view(np.int64)
+            out[k] = self.ids[window]
             at += self.widths[window]
-        return out.reshape(-1)[:n]
+        return out.T.reshape(-1)[:n]
 
 
 def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 0, key: str = "doc_id", text: str = "text") -> None:
@@ -128,6 +131,13 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 0,
 
     def tokenize(batches):
         part, at = TaskContext.get().partitionId(), 0
+        counts, waiting, uncounted = np.zeros(1, np.int64), [], 0
+
+        def counted():
+            seen = np.bincount(np.concatenate(waiting), minlength=len(counts))
+            seen[: len(counts)] += counts
+            return seen
+
         end = np.array([end_id], "<u4").tobytes()
         schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
         rows, held = [], 0
@@ -137,39 +147,34 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 0,
                 narrow = ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else ids.tobytes()
                 rows.append((part, doc, at, len(ids), narrow))
                 at += len(ids)
+                waiting.append(ids)
+                uncounted += len(ids)
+                if uncounted >= BLOCK_IDS:  # an array as long as the vocabulary for each document would cost more than its ids
+                    counts, waiting, uncounted = counted(), [], 0
                 held += len(narrow)
                 if held > 8_000_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
                     rows, held = [], 0
-        if rows:
+        if waiting:
+            counts = counted()
+        if at:  # the last row of a part: how often it has each id
+            rows.append((part, None, -1, at, counts.astype("<i8").tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    tokens = stored(ordered.mapInArrow(tokenize, "part int, doc_id long, at long, n long, ids binary"), "token-ids")
+    written = stored(ordered.mapInArrow(tokenize, "part int, doc_id long, at long, n long, ids binary"), "token-ids")
+    tokens, totals = written.where("at >= 0"), written.where("at < 0")
 
     def histogram(batches):
-        counts = np.zeros(1, np.int64)
-        waiting, held = [], 0
-
-        def counted(counts):
-            seen = np.bincount(np.concatenate(waiting), minlength=len(counts))
-            seen[: len(counts)] += counts
-            return seen
-
         for batch in batches:
-            for n, ids in zip(batch.column("n"), batch.column("ids"), strict=True):
-                waiting.append(_wide(ids.as_py(), n.as_py()))
-                held += len(waiting[-1])
-                if held >= BLOCK_IDS:  # an array as long as the vocabulary for each document would cost more than its ids
-                    counts, waiting, held = counted(counts), [], 0
-        if waiting:
-            counts = counted(counts)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], ["id", "n"])
+            for each in batch.column("ids"):
+                counts = np.frombuffer(each.as_py(), "<i8")
+                used = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], ["id", "n"])
 
     spark = docs.sparkSession
     # at most one row per id of the vocabulary, and one per partition
-    counted = tokens.select("n", "ids").mapInArrow(histogram, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    sizes = tokens.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()
+    counted = totals.select("ids").mapInArrow(histogram, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    sizes = totals.select("part", "n").orderBy("part").collect()
     counts = np.zeros(max((r["id"] for r in counted), default=-1) + 1, np.int64)
     for r in counted:
         counts[r["id"]] = r["n"]
