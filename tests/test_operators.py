@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from threadline.operators import graph, search, traverse, versions
 from threadline.plans import queries_changes
-from threadline.session import stack
+from threadline.session import materialize, stack
 from threadline.sources import lineage_files, paths
 from threadline.streaming import keyed
 
@@ -460,3 +460,18 @@ def test_rows_of_one_batch_of_files_are_handed_on_in_pieces(spark, monkeypatch):
     files = spark.range(30).coalesce(1).selectExpr("concat('f', id) AS path", "if(id = 7, 'x = (', 'x = 1') AS text")
     tree = python_lineage.ast_nodes(files)
     assert tree.where("error IS NULL").groupBy("file").count().distinct().count() == 29 and tree.where("error IS NOT NULL").count() == 1
+
+
+def test_refresh_shuffles_the_cache_once(spark, monkeypatch):
+    monkeypatch.setattr(traverse, "store", lambda rows, name: rows)  # every level in one plan
+    kept = []
+    monkeypatch.setattr(traverse, "materialize", lambda rows: kept.append(rows) or materialize(rows))
+    stamp = F.lit("2024-01-01").cast("timestamp")
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d")], "src string, dst string")
+    cache = traverse.path_cache(edges, stamp)
+    del kept[:]
+    late = F.lit("2024-02-01").cast("timestamp")
+    new = traverse.refresh_path_cache(cache, edges, edges.where("src <> 'b'").union(spark.createDataFrame([("a", "d")], edges.schema)), late)
+    assert len(kept) == 1
+    got = {(r.src_node_id, r.tgt_node_id, ">".join(r.path), r.computed_at.month) for r in new.collect()}
+    assert got == {("a", "b", "a>b", 1), ("c", "d", "c>d", 1), ("a", "d", "a>d", 2)}

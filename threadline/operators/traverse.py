@@ -313,12 +313,14 @@ def refresh_path_cache(
     before, after = links(old_edges).where("src <> dst"), store(links(new_edges).where("src <> dst"), "edges-now")
     came = store(after.join(before, ["src", "dst"], "left_anti").select(F.col("src").alias("node"), F.col("dst").alias("next")), "edges-added")
     gone = store(before.join(after, ["src", "dst"], "left_anti"), "edges-removed")
-    stored = cache.select(F.col("src_node_id").alias("src"), F.col("tgt_node_id").alias("node"), "min_hops", "path")
+    stored = cache.select(F.col("src_node_id").alias("src"), F.col("tgt_node_id").alias("node"), "min_hops", "path", "computed_at")
     last = F.size("path") - 1
     steps = F.arrays_zip(F.slice("path", F.lit(1), last).alias("src"), F.slice("path", F.lit(2), last).alias("dst"))
     walked = stored.select(F.col("src").alias("root"), "node", F.inline(steps)).toDF("root", "node", "src", "dst")
     lost = store(walked.join(gone, ["src", "dst"], "left_semi").select(F.col("root").alias("src"), "node").distinct(), "pairs-lost")
-    kept = stored.join(lost, ["src", "node"], "left_anti")
+    # every level and the result look pairs up by their ends: the cache is shuffled once for all of them
+    tasks = int(cache.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = materialize(stored.join(lost, ["src", "node"], "left_anti").repartition(tasks, "src", "node"))
     out = after.select(F.col("src").alias("node"), F.col("dst").alias("next"))
     # the edges that may end a lost pair's new path
     ends = store(lost.withColumnRenamed("node", "next").join(out, "next").select("src", "node", "next"), "pairs-sought")
@@ -341,9 +343,7 @@ def refresh_path_cache(
         better = F.col("_hops").isNull() | (F.col("_hops") > hop) | ((F.col("_hops") == hop) & (F.col("path") < F.col("_path")))
         changed.append(store(best.join(old, ["src", "node"], "left").where(better).select("src", "node", F.lit(hop).alias("min_hops"), "path"), "pairs-changed"))
     repaired = stack(*changed)
-    same = cache.join(
-        stack(lost, repaired.select("src", "node")).select(F.col("src").alias("src_node_id"), F.col("node").alias("tgt_node_id")), ["src_node_id", "tgt_node_id"], "left_anti"
-    )
+    same = _as_cache(kept.join(repaired.select("src", "node"), ["src", "node"], "left_anti").withColumnRenamed("node", "tgt"), F.col("computed_at"))
     return stack(same, _as_cache(repaired.withColumnRenamed("node", "tgt"), stamp))
 
 
