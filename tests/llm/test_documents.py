@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -69,6 +70,18 @@ def test_repeats_of_documents(spark):
     assert got == plain_repeats(rows, 35)
 
 
+def test_word_hashes_keep_nothing():
+    substring.word_hashes([b"first"])
+    tracemalloc.start()
+    for i in range(10):
+        words = [b"w%d" % n for n in range(10_000 * i, 10_000 * (i + 1))]
+        assert np.array_equal(substring.word_hashes(words)[:, 0], np.frombuffer(xxhash.xxh3_128_digest(words[0]), "<u8"))
+    del words
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 1_000_000
+
+
 def plain_fingerprint(text):
     words = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
     if not words:

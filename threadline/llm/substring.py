@@ -14,14 +14,12 @@ Words are hashed to 128 bits; factors and windows are compared by hashes only.
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadline.llm.bpe import Answers
 from threadline.llm.frames import each_text, stored, texts
 
 #: Words of an anchor.
@@ -29,16 +27,11 @@ ANCHOR = 8
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
-@lru_cache(maxsize=1)
-def _digests() -> Answers:
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """Two hashes of each word; none is kept, as a look into a large cache costs more than the hash."""
     import xxhash
 
-    return Answers(lambda word: xxhash.xxh3_128_digest(word))
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """Two hashes of each word."""
-    raw = b"".join(map(_digests().__getitem__, words))
+    raw = b"".join(map(xxhash.xxh3_128_digest, words))
     return np.frombuffer(raw, "<u8").reshape(-1, 2).T.astype(np.uint64)
 
 
