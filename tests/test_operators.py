@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from threadline.operators import graph, search, traverse, versions
 from threadline.plans import queries_changes
-from threadline.session import stack
+from threadline.session import materialize, stack
 from threadline.sources import lineage_files, paths
 from threadline.streaming import keyed
 
@@ -129,6 +129,31 @@ def test_contract_through_long_chains(spark):
     assert got == {("n0", "n25"), ("n25", "n40"), ("n0", "n40")}
 
 
+def test_contract_through_a_long_cycle(spark, monkeypatch):
+    made = [(f"c{i}", f"c{(i + 1) % 120}") for i in range(120)] + [("a", "c3"), ("c2", "b"), ("c9", "d"), ("d", "d"), ("b", "c60")]
+    rounds = []
+    monkeypatch.setattr(traverse, "materialize", lambda df: rounds.append(1) or materialize(df))
+    pairs = spark.createDataFrame(made, "src string, dst string")
+    got = {tuple(r) for r in traverse.contract(pairs, spark.createDataFrame([("a",), ("b",)], "id string")).collect()}
+    assert got == {("a", "b"), ("b", "b")}
+    assert len(rounds) <= 12
+
+
+def test_short_components(spark):
+    for seed, n, m in ((5, 24, 27), (6, 16, 40)):
+        pairs, made = random_edges(spark, n, m, seed)
+        reach = {v: {v} for e in made for v in e}
+        for _ in range(n):
+            for s, d in made:
+                reach[s] |= reach[d]
+        want = {frozenset(w for w in reach[v] if v in reach[w]) for v in reach}
+        groups = {}
+        for r in traverse.short_components(pairs).collect():
+            groups.setdefault(r.component, []).append(r.id)
+        assert sorted(map(sorted, groups.values())) == sorted(sorted(c) for c in want if len(c) > 1)
+        assert all(c in ids for c, ids in groups.items())
+
+
 def test_reach_walks_and_cache_refresh(spark):
     pairs, made = random_edges(spark, 30, 50, 11)
     out = {}

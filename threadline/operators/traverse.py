@@ -168,7 +168,8 @@ def lineage_nodes(found_edges: DataFrame, nodes: DataFrame) -> DataFrame:
 def contract(pairs: DataFrame, kept: DataFrame, doublings: int = 3) -> DataFrame:
     """(src, dst) between kept nodes that a walk through only other nodes joins.
 
-    Walks among the other nodes are first composed with themselves a few times, so
+    Other nodes on a cycle reach the same ends and become one node first, however long
+    the cycle. Walks among what is left are composed with themselves a few times, so
     that one step covers up to ``2 ** doublings`` edges; then each kept node walks
     in such steps until it meets no new node. Composing alone would join all pairs
     with all pairs, stepping alone would need a round per edge of the longest chain.
@@ -180,7 +181,17 @@ def contract(pairs: DataFrame, kept: DataFrame, doublings: int = 3) -> DataFrame
         return rows.join(named, column, "left").withColumn(f"{column}_kept", F.coalesce(f"{column}_kept", F.lit(False)))
 
     edges = materialize(marked(marked(pairs.select("src", "dst").distinct(), "src"), "dst"))
-    steps = materialize(edges.where("NOT src_kept AND NOT dst_kept").select("src", "dst"))
+    inner = edges.where("NOT src_kept AND NOT dst_kept").select("src", "dst")
+    component = materialize(short_components(inner))
+
+    def joined(rows: DataFrame, column: str) -> DataFrame:
+        named = component.select(F.col("id").alias(column), "component")
+        return rows.join(named, column, "left").withColumn(column, F.coalesce("component", column)).drop("component")
+
+    left = materialize(joined(edges.where("NOT src_kept AND dst_kept").select("src", "dst"), "src").select(F.col("src").alias("at"), "dst").distinct())
+    steps = materialize(joined(joined(inner, "src"), "dst").where("src <> dst").select("src", "dst").distinct())
+    # a node that nothing leaves joins no kept nodes, and would meet every walk composed through a cycle
+    steps = materialize(steps.join(stack(steps.select(F.col("src").alias("dst")), left.select(F.col("at").alias("dst"))).distinct(), "dst", "left_semi").select("src", "dst"))
     size = steps.count()
     for _ in range(doublings):
         ahead = steps.select(F.col("src").alias("dst"), F.col("dst").alias("next"))
@@ -190,7 +201,8 @@ def contract(pairs: DataFrame, kept: DataFrame, doublings: int = 3) -> DataFrame
             break
         size = grown
     ahead = steps.select(F.col("src").alias("at"), F.col("dst").alias("next"))
-    frontier = materialize(edges.where("src_kept AND NOT dst_kept").select(F.col("src").alias("root"), F.col("dst").alias("at")))
+    entered = joined(edges.where("src_kept AND NOT dst_kept").select("src", "dst"), "dst")
+    frontier = materialize(entered.select(F.col("src").alias("root"), F.col("dst").alias("at")).distinct())
     visited = [frontier]
     while not frontier.isEmpty():
         step = frontier.join(ahead, "at").select("root", F.col("next").alias("at")).distinct()
@@ -199,7 +211,6 @@ def contract(pairs: DataFrame, kept: DataFrame, doublings: int = 3) -> DataFrame
             visited = [materialize(stack(*visited).repartition(tasks, "root", "at"))]
         frontier = materialize(step.join(stack(*visited), ["root", "at"], "left_anti"))
         visited.append(frontier)
-    left = edges.where("NOT src_kept AND dst_kept").select(F.col("src").alias("at"), "dst")
     through = stack(*visited).join(left, "at").select(F.col("root").alias("src"), "dst")
     return stack(edges.where("src_kept AND dst_kept").select("src", "dst"), through).distinct()
 
@@ -430,6 +441,59 @@ def strong_components(pairs: DataFrame, stride: int = 8) -> DataFrame:
     return whole.join(several, "component", "left_semi").select("id", "component")
 
 
+def short_components(pairs: DataFrame) -> DataFrame:
+    """(id, component): as ``strong_components``, under any id of the component, in few rounds where cycles are long.
+
+    A node with a single edge out (or in) is taken out and its other edges go on to the node
+    at that edge's end, which leaves all walks between the others. No two neighbours go in one
+    round, which takes about a third of a chain or cycle, so rounds grow with the logarithm
+    of the longest. What has several edges both ways is left to ``strong_components``. Backwards,
+    a node belongs to the component of the node it was led to where that component led to it.
+    """
+    left, gone = store(pairs.where("src <> dst").select("src", "dst").distinct(), "edges-left"), []
+    parts: list[DataFrame] = []
+    while not left.isEmpty():
+        outs = left.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("outs"), F.min("dst").alias("ahead"))
+        ins = left.groupBy(F.col("dst").alias("node")).agg(F.count("*").alias("ins"), F.min("src").alias("behind"))
+        # without an edge in or out a node is on no cycle
+        stand = F.when(F.col("outs") == 1, F.col("ahead")).when(F.col("ins") == 1, F.col("behind"))
+        inside = store(outs.join(ins, "node").select("node", (F.col("outs") == 1).alias("forth"), stand.alias("stand")), "nodes-inside")
+        end = lambda column: inside.select(
+            F.col("node").alias(column), F.struct(F.col("stand").isNotNull().alias("single"), F.xxhash64("node", F.lit(len(gone))).alias("rank")).alias(f"{column}_end")
+        )
+        within = store(left.join(end("src"), "src").join(end("dst"), "dst"), "edges-inside")
+        first = F.struct("src_end.rank", F.col("src").alias("id")) < F.struct("dst_end.rank", F.col("dst").alias("id"))
+        later = within.where("src_end.single AND dst_end.single").select(F.when(first, F.col("dst")).otherwise(F.col("src")).alias("node")).distinct()
+        chosen = store(inside.where("stand IS NOT NULL").join(later, "node", "left_anti"), "nodes-chosen")
+        if chosen.isEmpty():
+            parts.append(store(strong_components(within.select("src", "dst")), "components"))
+            break
+        out, into = (chosen.select(F.col("node").alias(c), F.struct("forth", "stand").alias(f"{c}_goes")) for c in ("src", "dst"))
+        moved = within.select("src", "dst").join(out, "src", "left").join(into, "dst", "left")
+        moved = moved.where("(src_goes IS NULL OR NOT src_goes.forth) AND (dst_goes IS NULL OR dst_goes.forth)")
+        moved = store(moved.select("src", "dst", F.col("src_goes.stand").alias("before"), F.col("dst_goes.stand").alias("after")), "edges-moved")
+        led = "before IS NOT NULL OR after IS NOT NULL"
+        node, other = F.when(F.col("after").isNotNull(), F.col("dst")).otherwise(F.col("src")), F.when(F.col("after").isNotNull(), F.col("src")).otherwise(F.col("dst"))
+        gone.append(moved.where(led).select(node.alias("node"), F.coalesce("after", "before").alias("stand"), other.alias("other")))
+        ends = moved.select(F.coalesce("before", "src").alias("src"), F.coalesce("after", "dst").alias("dst"))
+        left = store(ends.where("src <> dst").distinct(), "edges-left")
+    for rows in reversed(gone):
+        if parts:
+            known = stack(*parts)
+            for column in ("stand", "other"):
+                named = known.select(F.col("id").alias(column), F.col("component").alias(f"{column}_component"))
+                rows = rows.join(named, column, "left").withColumn(f"{column}_component", F.coalesce(f"{column}_component", column))
+            rows = rows.where("stand_component = other_component").select("node", F.col("stand_component").alias("component"))
+        else:
+            rows = rows.where("stand = other").select("node", F.col("stand").alias("component"))
+        rows = store(rows.select(F.col("node").alias("id"), "component").distinct(), "components")
+        parts = [store(stack(*parts, rows), "components")] if len(parts) == 8 else [*parts, rows]
+    if not parts:
+        return pairs.select(F.col("src").alias("id"), F.col("src").alias("component")).limit(0)
+    whole = stack(*parts)
+    return stack(whole, whole.select(F.col("component").alias("id"), "component")).distinct()
+
+
 def find_cycles(pairs: DataFrame, hops: int | None = MAX_HOPS) -> DataFrame:
     """(id, length, path): nodes on a cycle of at most ``hops`` edges, a self-loop having length 1.
 
