@@ -259,6 +259,24 @@ def test_long_chains(spark):
     assert traverse.shortest_paths(chain, one("n00030")).agg(F.count("*"), F.max("hops")).first()[:] == (31, 30)
 
 
+def test_distances_of_many_landmarks(spark, monkeypatch):
+    monkeypatch.setattr(traverse, "_ROOTS_A_ROW", 64)
+    monkeypatch.setattr(traverse, "distances", None)
+    pairs, made = random_edges(spark, 120, 190, 21)
+    marks = [f"n{i}" for i in range(100)] + ["elsewhere"]
+    before, want = {}, set()
+    for s, d in made:
+        before.setdefault(d, []).append(s)
+    for mark in marks:
+        met, level, hops = {mark}, {mark}, 0
+        while level:
+            want |= {(v, mark, hops) for v in level}
+            level = {s for v in level for s in before.get(v, [])} - met
+            met, hops = met | level, hops + 1
+    got = [tuple(r) for r in traverse.shortest_paths(pairs, spark.createDataFrame([(m,) for m in marks + marks], "id string")).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_nearest_targets(spark):
     pairs, made = random_edges(spark, 40, 70, 9)
     sources, targets = [f"n{i}" for i in range(0, 40, 3)], [f"n{i}" for i in range(0, 40, 7)]
