@@ -154,6 +154,47 @@ def test_short_components(spark):
         assert all(c in ids for c, ids in groups.items())
 
 
+def test_short_components_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(traverse, "EDGES_A_TASK", 0)
+    test_short_components(spark)
+    cycle = spark.createDataFrame([(f"c{i}", f"c{(i + 1) % 30}") for i in range(30)] + [("c3", "x"), ("x", None)], "src string, dst string")
+    assert {r.id for r in traverse.short_components(cycle).collect()} == {f"c{i}" for i in range(30)}
+
+
+def test_components_of_few_edges_take_no_rounds(spark, monkeypatch):
+    written = []
+    kept = traverse.store
+    monkeypatch.setattr(traverse, "store", lambda df, name: written.append(name) or kept(df, name))
+    cycle = spark.createDataFrame([(f"c{i}", f"c{(i + 1) % 3000}") for i in range(3000)], "src string, dst string")
+    assert traverse.short_components(cycle).groupBy("component").count().collect()[0]["count"] == 3000
+    assert len(written) <= 3
+
+
+def test_contracted_pairs_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(traverse, "_ENDS_A_BLOCK", 7)
+    monkeypatch.setattr(traverse, "_PAIRS_A_TASK", 200)
+    made = [(f"r{i}", m) for i in range(60) for m in ("m0", f"m{i % 5}")] + [(m, f"t{i}") for i in range(40) for m in ("m0", f"m{1 + i % 7}")]
+    made += [("r1", "t3"), ("r2", "r2"), ("m4", "m0"), ("m6", "t1"), ("r7", "t40"), (None, "t1"), ("r1", None)]
+    pairs = spark.createDataFrame(made, "src string, dst string")
+    kept = spark.createDataFrame([(f"{k}{i}",) for k in "rt" for i in range(60)], "id string")
+    ahead, want = {}, set()
+    for s, d in made:
+        ahead.setdefault(s, set()).add(d)
+    for root in (f"r{i}" for i in range(60)):
+        met, level = set(), {root}
+        while level:
+            level = {d for v in level for d in ahead.get(v, ()) if d} - met
+            met |= level
+            level = {v for v in level if v[0] == "m"}
+        want |= {(root, v) for v in met if v[0] != "m"}
+    found = traverse.contract(pairs, kept)
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(ends" in plan and plan.index("Generate explode(ends") < plan.index("Repartition")
+    assert not any(line.strip(" +-:").startswith("Aggregate") for line in plan[: plan.index("Generate explode(ends")].split("\n"))
+
+
 def test_reach_walks_and_cache_refresh(spark):
     pairs, made = random_edges(spark, 30, 50, 11)
     out = {}

@@ -12,7 +12,8 @@ from measured sizes and splits skewed join partitions of hub nodes.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,10 @@ from threadline.session import materialize, stack, store
 MAX_HOPS = 5
 #: Roots walked by pairs when no limit of hops is given, and roots a row of bits holds, whole words of 64.
 FEW_ROOTS, _ROOTS_A_ROW = 64, 512
+#: Edges left at which strong components are found in one task.
+EDGES_A_TASK = 200_000
+#: Ends of a block when pairs of ends are given out, and pairs that one task gives.
+_ENDS_A_BLOCK, _PAIRS_A_TASK = 512, 4_000_000
 
 
 def links(edges: DataFrame, relationships: Sequence[str] | None = None, orientation: Mapping[str, str] | None = None) -> DataFrame:
@@ -215,8 +220,37 @@ def contract(pairs: DataFrame, kept: DataFrame, doublings: int = 3) -> DataFrame
             visited = [materialize(stack(*visited).repartition(tasks, "root", "at"))]
         frontier = materialize(step.join(stack(*visited), ["root", "at"], "left_anti"))
         visited.append(frontier)
-    through = stack(*visited).join(left, "at").select(F.col("root").alias("src"), "dst")
-    return stack(edges.where("src_kept AND dst_kept").select("src", "dst"), through).distinct()
+    # an edge between kept nodes is met at its own source
+    direct = edges.where("src_kept AND dst_kept").select("src", "dst")
+    met = stack(*visited, direct.select(F.col("src").alias("root"), F.col("src").alias("at")).distinct())
+    return _ends_joined(met, stack(left, direct.select(F.col("src").alias("at"), "dst")))
+
+
+def _ends_joined(met: DataFrame, left: DataFrame) -> DataFrame:
+    """(src, dst), each once: roots and the ends they share an ``at`` with; rows of ``met`` (root, at) and ``left`` (at, dst) do not repeat.
+
+    The result may be far larger than both inputs, so it is not shuffled. A dst has one main ``at``, that
+    which most roots meet, and pairs through it cannot repeat: blocks of roots and of ends are dealt out, and
+    a task gives their pairs. Pairs through any other ``at`` are told apart row by row, without roots that meet
+    the main one as well.
+    """
+    met = store(met, "ends-met")
+    known = left.join(met.groupBy("at").agg(F.count("*").alias("n_roots")), "at")
+    known = store(known, "ends-left")
+    main = known.groupBy("dst").agg(F.max(F.struct("n_roots", "at"))["at"].alias("main"))
+    ways = store(known.join(main, "dst").select("at", "dst", "main", "n_roots"), "ends-left")
+    firsts = ways.where("at = main")
+    sizes = store(firsts.groupBy("at").agg(F.max("n_roots").alias("n_roots"), F.count("*").alias("n_ends")), "ends-sizes")
+    block = lambda column, n: F.pmod(F.xxhash64(column), F.ceil(F.col(n) / _ENDS_A_BLOCK)).alias("block")
+    roots = met.join(sizes, "at").groupBy("at", block("root", "n_roots")).agg(F.collect_list("root").alias("roots"))
+    ends = firsts.drop("n_roots").join(sizes, "at").groupBy("at", block("dst", "n_ends")).agg(F.collect_list("dst").alias("ends"))
+    total = sizes.agg(F.sum(F.col("n_roots").cast("double") * F.col("n_ends"))).first()[0] or 0
+    tasks = max(met.sparkSession.sparkContext.defaultParallelism, math.ceil(total / _PAIRS_A_TASK))
+    blocks = roots.select("at", "roots").join(ends.select("at", "ends"), "at").select("roots", "ends").repartition(tasks)
+    through_main = blocks.select(F.explode("roots").alias("src"), "ends").select("src", F.explode("ends").alias("dst"))
+    rest = met.join(ways.where("at <> main").select("at", "dst", "main"), "at").select("root", "dst", "main").distinct()
+    rest = rest.join(met.select("root", F.col("at").alias("main")), ["root", "main"], "left_anti")
+    return stack(through_main, rest.select(F.col("root").alias("src"), "dst"))
 
 
 class _Visited:
@@ -494,18 +528,72 @@ def strong_components(pairs: DataFrame, stride: int = 8) -> DataFrame:
     return whole.join(several, "component", "left_semi").select("id", "component")
 
 
+def _components_in_task(edges: DataFrame) -> DataFrame:
+    """(id, component) of a few edges (src, dst), without nodes that are alone; Tarjan's walk without recursion."""
+
+    def components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: dict = {}
+        kinds = None
+        for batch in batches:
+            kinds = batch.schema.field("src").type
+            for src, dst in zip(batch.column("src").to_pylist(), batch.column("dst").to_pylist(), strict=True):
+                out.setdefault(src, []).append(dst)
+        first, low, waiting, held, found = {}, {}, [], set(), ([], [])
+        for start in out:
+            if start in first:
+                continue
+            walk = [(start, iter(out[start]))]
+            first[start] = low[start] = len(first)
+            waiting.append(start)
+            held.add(start)
+            while walk:
+                node, ahead = walk[-1]
+                for to in ahead:
+                    if to not in first:
+                        first[to] = low[to] = len(first)
+                        waiting.append(to)
+                        held.add(to)
+                        walk.append((to, iter(out.get(to, ()))))
+                        break
+                    if to in held:
+                        low[node] = min(low[node], first[to])
+                else:
+                    walk.pop()
+                    if walk:
+                        low[walk[-1][0]] = min(low[walk[-1][0]], low[node])
+                    if low[node] == first[node]:
+                        place = len(waiting) - 1
+                        while waiting[place] != node:
+                            place -= 1
+                        members = waiting[place:]
+                        del waiting[place:]
+                        held.difference_update(members)
+                        if len(members) > 1:
+                            found[0].extend(members)
+                            found[1].extend([max(members)] * len(members))
+        if found[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(column, kinds) for column in found], ["id", "component"])
+
+    kind = edges.schema["src"].dataType.simpleString()
+    return edges.repartition(1).mapInArrow(components, f"id {kind}, component {kind}")
+
+
 def short_components(pairs: DataFrame) -> DataFrame:
     """(id, component): as ``strong_components``, under any id of the component, in few rounds where cycles are long.
 
     A node with a single edge out (or in) is taken out and its other edges go on to the node
     at that edge's end, which leaves all walks between the others. No two neighbours go in one
     round, which takes about a third of a chain or cycle, so rounds grow with the logarithm
-    of the longest. What has several edges both ways is left to ``strong_components``. Backwards,
-    a node belongs to the component of the node it was led to where that component led to it.
+    of the longest. What has several edges both ways is left to ``strong_components``. Once few edges
+    are left, one task finishes them, however many there were. Backwards, a node belongs to the
+    component of the node it was led to where that component led to it.
     """
     left, gone = store(pairs.where("src <> dst").select("src", "dst").distinct(), "edges-left"), []
     parts: list[DataFrame] = []
-    while not left.isEmpty():
+    while n := left.count():
+        if n <= EDGES_A_TASK:
+            parts.append(store(_components_in_task(left), "components"))
+            break
         outs = left.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("outs"), F.min("dst").alias("ahead"))
         ins = left.groupBy(F.col("dst").alias("node")).agg(F.count("*").alias("ins"), F.min("src").alias("behind"))
         # without an edge in or out a node is on no cycle
