@@ -318,6 +318,27 @@ def test_distances_of_many_landmarks(spark, monkeypatch):
     assert len(got) == len(want) and set(got) == want
 
 
+def test_distances_of_many_landmarks_by_levels(spark, monkeypatch):
+    monkeypatch.setattr(traverse, "EDGES_SHARED", 0)
+    test_distances_of_many_landmarks(spark, monkeypatch)
+
+
+def test_distances_of_many_landmarks_take_no_job_a_level(spark, monkeypatch):
+    written = []
+    kept = traverse.store
+    monkeypatch.setattr(traverse, "store", lambda df, name: written.append(name) or kept(df, name))
+    chain = [(f"n{i}", f"n{i + 1}") for i in range(300)] + [("n7", "n7"), (None, "n0"), ("n9", None)]
+    marks = [f"n{i}" for i in range(0, 301, 2)] + [None, "elsewhere"]
+    pairs = spark.createDataFrame(chain, "src string, dst string")
+    found = traverse.shortest_paths(pairs, spark.createDataFrame([(m,) for m in marks], "id string"))
+    want = {(f"n{i}", f"n{m}", m - i) for m in range(0, 301, 2) for i in range(m + 1)} | {(None, f"n{m}", m + 1) for m in range(0, 301, 2)}
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want | {(None, None, 0), ("elsewhere", "elsewhere", 0)}
+    assert len(written) <= 2
+    none = traverse.shortest_paths(pairs.limit(0), spark.createDataFrame([(m,) for m in marks], "id string"))
+    assert {tuple(r) for r in none.collect()} == {(m, m, 0) for m in marks}
+
+
 def test_nearest_targets(spark):
     pairs, made = random_edges(spark, 40, 70, 9)
     sources, targets = [f"n{i}" for i in range(0, 40, 3)], [f"n{i}" for i in range(0, 40, 7)]
