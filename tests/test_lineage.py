@@ -259,3 +259,22 @@ def test_exports_elsewhere_are_written_by_spark(spark, tmp_path, monkeypatch):
     exports.write_notebook_exports(spark.createDataFrame([("a",), ("b\nc",), (None,)], "content string"), str(tmp_path / "e"), 3)
     found = exports.read_notebook_exports(spark, str(tmp_path / "e")).select(F.col("content").cast("string").alias("content")).collect()
     assert sorted(r.content for r in found) == ["\n", "a\n", "b\nc\n"]
+
+
+def test_files_of_a_local_folder_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exports, "FILES_A_FOLDER", 10)
+    names = ["a.py", "b c.ipynb", "d%20e.txt", "é/f.txt", "g/h=1/i.txt", "_j=1/k.txt", "_l/m.txt", ".n/o.txt", "_p", ".q.txt", "r._COPYING_", "_metadata_s", "_metadata/v", "_common_metadata", "_w=1", *(f"t/{n}/u" for n in range(60))]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(f" {{{name}".encode())
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "to").symlink_to(tmp_path / "g")
+    (tmp_path / "lost").symlink_to(tmp_path / "nowhere")
+    found = exports.read_notebook_exports(spark, str(tmp_path))
+    assert not found.inputFiles() or not any(str(tmp_path) in f for f in found.inputFiles())
+    got = {(r.path, r.format, bytes(r.content)) for r in found.collect()}
+    monkeypatch.setattr(exports, "local_path", lambda *_: None)
+    want = {(r.path, r.format, bytes(r.content)) for r in exports.read_notebook_exports(spark, str(tmp_path)).collect()}
+    assert got == want and len(got) == found.count() == 69
+    one = {r.path for r in exports.read_notebook_exports(spark, f"{tmp_path}/a.p*").collect()}
+    assert one == {f"file:{tmp_path}/a.py"}

@@ -5,14 +5,17 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadline.session import local_path
+from threadline.session import local_path, stack, store
 
 #: Files below one folder, which one task writes.
 FILES_A_FOLDER = 1_000
+#: Folders that one task lists.
+FOLDERS_A_TASK = 100
 
 
 def write_notebook_exports(texts: DataFrame, folder: str, files: int) -> None:
@@ -47,12 +50,69 @@ def write_notebook_exports(texts: DataFrame, folder: str, files: int) -> None:
     rows.mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
 
 
+def _list_files(spark: SparkSession, place: str) -> DataFrame:
+    """(path) of every file below a local folder, a level of folders a round; names that Spark's readers pass over are left out."""
+
+    def look(batches: Iterator) -> Iterator:
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                paths, kinds = [], []
+                with os.scandir(folder) as entries:
+                    for entry in entries:
+                        name, is_folder = entry.name, entry.is_dir()
+                        passed = name.startswith(".") or name.endswith("._COPYING_") or name.startswith("_") and "=" not in name
+                        if passed and not (is_folder and name.startswith(("_metadata", "_common_metadata"))) or not os.path.exists(entry.path):
+                            continue
+                        paths.append(entry.path)
+                        kinds.append(is_folder)
+                        if len(paths) == 10_000:
+                            yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(kinds)], ["path", "is_folder"])
+                            paths, kinds = [], []
+                if paths:
+                    yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(kinds)], ["path", "is_folder"])
+
+    folders, n, levels = spark.range(1).select(F.lit(place).alias("path")), 1, []
+    while n:
+        tasks = min(n, max(spark.sparkContext.defaultParallelism, -(-n // FOLDERS_A_TASK)))
+        found = store(folders.repartition(tasks).mapInArrow(look, "path string, is_folder boolean"), "listed")
+        levels.append(found.where("NOT is_folder").select("path"))
+        folders = found.where("is_folder").select("path")
+        n = folders.count()
+    return stack(*levels)
+
+
+def _read_files(files: DataFrame) -> DataFrame:
+    """(path, content) of local files, some ``FILES_A_FOLDER`` a task, with the paths as Spark's readers give them."""
+
+    def read(batches: Iterator) -> Iterator:
+        paths, contents, size = [], [], 0
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with open(path, "rb") as file:
+                    contents.append(file.read())
+                paths.append(f"file:{path}")
+                size += len(contents[-1])
+                if size >= 8_000_000 or len(paths) == 1000:
+                    yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(contents, pa.binary())], ["path", "content"])
+                    paths, contents, size = [], [], 0
+        if paths:
+            yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(contents, pa.binary())], ["path", "content"])
+
+    tasks = max(files.sparkSession.sparkContext.defaultParallelism, -(-files.count() // FILES_A_FOLDER))
+    return files.repartition(tasks).mapInArrow(read, "path string, content binary")
+
+
 def read_notebook_exports(spark: SparkSession, folder: str) -> DataFrame:
     """(path, format, content) of every file below a folder.
 
     The format follows the extension, and for others whether the first sign of the text that is no blank begins a JSON object.
+    Spark's reader lists all files in the driver's memory; of a folder that tasks can open they list and read the files themselves.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    place = local_path(spark, folder)
+    if place is not None and os.path.isdir(place):
+        files = _read_files(_list_files(spark, place))
+    else:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     looks_like_json = F.col("content").cast("string").rlike(r"\A[\x{FEFF}\s]*+\{")
     kind = (
         F.when(F.lower("path").endswith(".ipynb"), "JUPYTER")
